@@ -32,16 +32,15 @@ def missing_days(events: DataFrame) -> DataFrame:
 
     Filter the events first to ask about one kind, e.g. days without a purchase.
     """
-    days = (
-        with_event_date(events)
-        .filter(F.col("event_date").isNotNull())
-        .select("event_date")
-        .distinct()
-    )
-    # Both sides read the distinct days, at most one row per calendar day.
-    span = days.agg(F.min("event_date").alias("first"), F.max("event_date").alias("last"))
-    calendar = span.select(F.explode(F.sequence("first", "last")).alias("event_date"))
-    return calendar.join(days, "event_date", "left_anti").orderBy("event_date")
+    days = with_event_date(events).select("event_date").distinct()
+    # One window partition is enough: it holds distinct days, never events, and
+    # four-digit years bound those.  It also reads the events only once.  A NULL
+    # day sorts first and has no distance to the next, so it opens no gap.
+    following = F.lead("event_date").over(Window.orderBy("event_date"))
+    gaps = days.withColumn("following", following).filter(F.date_diff("following", "event_date") > 1)
+    return gaps.select(
+        F.explode(F.sequence(F.date_add("event_date", 1), F.date_sub("following", 1))).alias("event_date")
+    ).orderBy("event_date")
 
 
 def daily_spikes(daily: DataFrame, threshold: float = 2.0) -> DataFrame:

@@ -4,23 +4,35 @@
 brand, type and size come from ``part``.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_EVENTS = """
+    event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING
+"""
+_PART = "p_partkey BIGINT, p_brand STRING, p_type STRING, p_size INT"
+
+# Fixed damage, by event number: column -> (period, {slot: replacement}).
+_DAMAGE = {
+    "event_time": (31, {0: "'2024-02-30 00:00:00 UTC'", 1: "'garbage'"}),
+    "event_type": (29, {0: "NULL"}),
+    "brand": (20, {0: "NULL", 1: "''", 2: "'   '"}),
+    "price": (23, {0: "NULL", 1: "0D", 2: "-price", 3: "double('NaN')"}),
+}
+
 
 def read_star_events(spark: SparkSession, folder: str) -> DataFrame:
     """The event columns that need no join: time, type, product, price and user."""
-    events = spark.read.parquet(f"{folder}/events.parquet")
+    events = spark.read.schema(_EVENTS).parquet(f"{folder}/events.parquet")
     # The text form of ts does not depend on the session time zone.
-    time = F.substring(F.col("ts").cast("string"), 1, 19)
-    return events.select(
+    return events.selectExpr(
         "event_id",
-        F.concat(time, F.lit(" UTC")).alias("event_time"),
+        "substring(string(ts), 1, 19) || ' UTC' AS event_time",
         "event_type",
-        F.get_json_object("props", "$.k").cast("bigint").alias("product_id"),
-        F.col("value").alias("price"),
+        "bigint(get_json_object(props, '$.k')) AS product_id",
+        "value AS price",
         "user_id",
-        F.concat_ws("-", F.col("user_id").cast("string"), F.substring(time, 1, 10)).alias("user_session"),
+        "user_id || '-' || substring(string(ts), 1, 10) AS user_session",
     )
 
 
@@ -31,15 +43,16 @@ def read_clickstream(spark: SparkSession, folder: str) -> DataFrame:
     measured size is below the threshold, and beyond it splits skewed products
     at run time.
     """
-    part = spark.read.parquet(f"{folder}/part.parquet").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_size").cast("bigint").alias("category_id"),
-        F.lower("p_type").alias("category_code"),
-        F.lower("p_brand").alias("brand"),
+    part = spark.read.schema(_PART).parquet(f"{folder}/part.parquet")
+    product = part.selectExpr(
+        "p_partkey AS product_id",
+        "bigint(p_size) AS category_id",
+        "lower(p_type) AS category_code",
+        "lower(p_brand) AS brand",
     )
     return (
         read_star_events(spark, folder)
-        .join(part, "product_id", "left")
+        .join(product, "product_id", "left")
         .select(
             "event_id",
             "event_time",
@@ -58,31 +71,11 @@ def read_clickstream(spark: SparkSession, folder: str) -> DataFrame:
 def damaged(clickstream: DataFrame) -> DataFrame:
     """The same rows with fixed damage to time, type, brand and price, to exercise the edge rules."""
 
-    def every(period: int, cases: dict[int, Column], otherwise: str) -> Column:
-        slot = F.col("event_id") % period
-        result = F.col(otherwise)
-        for value, replacement in cases.items():
-            result = F.when(slot == value, replacement).otherwise(result)
-        return result
+    def case(column: str) -> str:
+        period, slots = _DAMAGE[column]
+        cases = " ".join(f"WHEN {slot} THEN {value}" for slot, value in slots.items())
+        return f"CASE event_id % {period} {cases} ELSE {column} END"
 
-    changes = {
-        "event_time": every(
-            31, {0: F.lit("2024-02-30 00:00:00 UTC"), 1: F.lit("garbage")}, "event_time"
-        ),
-        "event_type": every(29, {0: F.lit(None).cast("string")}, "event_type"),
-        "brand": every(
-            20, {0: F.lit(None).cast("string"), 1: F.lit(""), 2: F.lit("   ")}, "brand"
-        ),
-        "price": every(
-            23,
-            {
-                0: F.lit(None).cast("double"),
-                1: F.lit(0.0),
-                2: -F.col("price"),
-                3: F.lit(float("nan")),
-            },
-            "price",
-        ),
-    }
-    present = {name: column for name, column in changes.items() if name in clickstream.columns}
-    return clickstream.withColumns(present)
+    return clickstream.withColumns(
+        {column: F.expr(case(column)) for column in _DAMAGE if column in clickstream.columns}
+    )

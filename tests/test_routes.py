@@ -1,0 +1,144 @@
+"""The rollup route against the direct route, and published totals as a check on both."""
+
+import clicktally as ct
+import pytest
+from clicktally.sources.star_tables import damaged, read_clickstream
+from compare import spark_rows
+from pyspark.sql import functions as F
+
+SCALES = ["sf0.001", "sf0.01", "sf0.1"]
+
+# Published totals of a full month of events.
+PUBLISHED_EVENTS = {"view": 63_556_110, "cart": 3_028_930, "purchase": 916_939}
+PUBLISHED_SHARES = {"view": 94.15, "cart": 4.49, "purchase": 1.36}
+PUBLISHED_BRANDS = {
+    "apple": (127_512_524.88, 166_064),
+    "samsung": (54_869_880.87, 200_027),
+    "xiaomi": (11_259_865.96, 68_292),
+}
+
+
+@pytest.fixture(scope="module", params=SCALES)
+def clean(spark, request):
+    return read_clickstream(spark, f"/root/testdata/{request.param}").persist()
+
+
+@pytest.fixture(scope="module", params=SCALES)
+def dirty(spark, request):
+    return damaged(read_clickstream(spark, f"/root/testdata/{request.param}")).persist()
+
+
+def assert_close(left, right, averages):
+    """Equal rows; the named averages may differ by a cent, where a double sum misses a half cent."""
+    left_columns, left_rows = spark_rows(left)
+    right_columns, right_rows = spark_rows(right)
+    assert left_columns == right_columns
+    exact = [i for i, name in enumerate(left_columns) if name not in averages]
+    loose = [i for i, name in enumerate(left_columns) if name in averages]
+    order = lambda rows: sorted(rows, key=lambda row: repr([row[i] for i in exact]))
+    for a, b in zip(order(left_rows), order(right_rows), strict=True):
+        assert [a[i] for i in exact] == [b[i] for i in exact]
+        for i in loose:
+            assert a[i] == b[i] or abs(a[i] - b[i]) < 0.0101
+
+
+def test_distribution(clean):
+    assert_close(
+        ct.event_distribution(clean), ct.event_distribution_from_rollup(ct.event_rollup(clean)), []
+    )
+
+
+def test_daily(clean):
+    assert_close(
+        ct.daily_purchase_revenue(clean),
+        ct.daily_purchase_revenue_from_rollup(ct.event_rollup(clean)),
+        ["avg_order_value"],
+    )
+
+
+def test_brands(clean):
+    assert_close(ct.top_brands(clean), ct.top_brands_from_rollup(ct.event_rollup(clean)), [])
+
+
+def test_price_mix(clean):
+    assert_close(
+        ct.brand_price_mix(clean),
+        ct.brand_price_mix_from_rollup(ct.event_rollup(clean)),
+        ["avg_selling_price"],
+    )
+
+
+def test_valid_variants(dirty):
+    rollup = ct.event_rollup(dirty)
+    average = ["avg_purchase_event_value"]
+    assert_close(ct.valid_daily_revenue(dirty), ct.valid_daily_revenue_from_rollup(rollup), average)
+    assert_close(ct.valid_top_brands(dirty), ct.valid_top_brands_from_rollup(rollup), average)
+
+
+def test_plain_variants_on_damaged_rows(dirty):
+    rollup = ct.event_rollup(dirty)
+    assert_close(
+        ct.daily_purchase_revenue(dirty), ct.daily_purchase_revenue_from_rollup(rollup), ["avg_order_value"]
+    )
+    assert_close(ct.conversion_rate(dirty), ct.conversion_rate_from_rollup(rollup), [])
+
+
+def test_counts_add_up(clean):
+    distribution = {row["event_type"]: row["event_count"] for row in ct.event_distribution(clean).collect()}
+    total = ct.total_events(clean).first()["total_events"]
+    assert sum(distribution.values()) == total
+    daily = ct.daily_purchase_revenue(clean).agg(F.sum("num_purchases")).first()[0]
+    assert daily == distribution["purchase"]
+
+
+def test_top_brands_are_in_the_brand_totals(clean):
+    totals = {row["brand"]: row for row in ct.brand_price_mix(clean).collect()}
+    top = ct.top_brands(clean).collect()
+    for row in top:
+        assert totals[row["brand"]]["estimated_revenue"] == row["estimated_revenue"]
+    floor = top[-1]["estimated_revenue"]
+    outside = set(totals) - {row["brand"] for row in top}
+    assert all(totals[brand]["estimated_revenue"] <= floor for brand in outside)
+
+
+def rollup_rows(spark, rows):
+    """A rollup with whole-cent prices only: (type, day, brand, events, cents)."""
+    return spark.createDataFrame(rows, "event_type string, day string, brand string, n bigint, c bigint").selectExpr(
+        "event_type", "date(day) AS event_date", "brand", "n AS event_count",
+        "n AS priced_events", "c AS price_cents", "double(NULL) AS other_price",
+        "n AS valid_events", "c AS valid_cents", "double(NULL) AS valid_other_price",
+    )
+
+
+def test_published_shares_and_conversion(spark):
+    rollup = rollup_rows(spark, [(kind, "2019-11-01", "x", n, 0) for kind, n in PUBLISHED_EVENTS.items()])
+    shares = ct.event_distribution_from_rollup(rollup).collect()
+    assert {row["event_type"]: row["pct_of_total"] for row in shares} == PUBLISHED_SHARES
+    assert [row["event_type"] for row in shares] == ["view", "cart", "purchase"]
+    assert 69 < ct.conversion_rate_from_rollup(rollup).first()["views_per_purchase"] < 70
+
+
+def test_published_brand_ranking_and_price_mix(spark):
+    rollup = rollup_rows(
+        spark,
+        [("purchase", "2019-11-01", b, n, round(r * 100)) for b, (r, n) in PUBLISHED_BRANDS.items()],
+    )
+    top = ct.top_brands_from_rollup(rollup).collect()
+    assert [(row["brand"], row["estimated_revenue"], row["num_purchases"]) for row in top] == [
+        (brand, revenue, n) for brand, (revenue, n) in PUBLISHED_BRANDS.items()
+    ]
+    by_volume = ct.brand_price_mix_from_rollup(rollup).collect()
+    assert [row["brand"] for row in by_volume] == ["samsung", "apple", "xiaomi"]
+    assert by_volume[1]["avg_selling_price"] > 2 * by_volume[0]["avg_selling_price"]
+
+
+def test_rollup_of_a_split_table_adds_up(clean):
+    """Rollups of two halves, put together, answer like the rollup of the whole."""
+    halves = [ct.event_rollup(clean.filter(F.col("event_id") % 2 == side)) for side in (0, 1)]
+    together = halves[0].unionByName(halves[1])
+    for question in (
+        ct.event_distribution_from_rollup,
+        ct.daily_purchase_revenue_from_rollup,
+        ct.top_brands_from_rollup,
+    ):
+        assert spark_rows(question(together)) == spark_rows(question(ct.event_rollup(clean)))
