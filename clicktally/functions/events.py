@@ -47,12 +47,12 @@ def is_purchase(event_type: str = "event_type") -> Column:
 
 
 def has_brand(brand: str = "brand") -> Column:
-    """Not NULL and not empty.  A brand made of spaces passes."""
-    return F.col(brand).isNotNull() & (F.col(brand) != "")
+    """Neither empty nor NULL, as a filter: comparing NULL is not true.  A brand made of spaces passes."""
+    return F.col(brand) != ""
 
 
 def has_nonblank_brand(brand: str = "brand") -> Column:
-    """Not NULL and not only whitespace (tabs and newlines count as whitespace)."""
+    """Neither NULL nor whitespace only, as a filter; tabs and newlines count as whitespace."""
     # (?U) makes \s follow Unicode, so a no-break space is blank as well; the
     # four separators are blank to Python's strip but not to Unicode.
     return F.col(brand).rlike(r"(?U)[^\s\x1c-\x1f]")

@@ -26,15 +26,18 @@ def read_input(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 
 def job_session(name: str) -> SparkSession:
-    """The session of spark-submit, with room for large shuffles unless the caller chose otherwise.
-
-    Adaptive execution merges the partitions that turn out small, so starting
-    with many costs little on small input.
-    """
+    """The session of spark-submit, with defaults for large input where the caller set none."""
     spark = SparkSession.builder.appName(name).getOrCreate()
-    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    if spark.conf.get(initial, None) is None:
-        cores = spark.sparkContext.defaultParallelism
-        chosen = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        spark.conf.set(initial, str(max(chosen, 4 * cores)))
+    cores = spark.sparkContext.defaultParallelism
+    chosen = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    defaults = {
+        # Events are added up before they are shuffled, so a few thousand
+        # partitions do for any input; adaptive execution merges the small ones.
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": max(chosen, min(cores, 2000)),
+        # Makes the splits of a very large input bigger instead of more numerous.
+        "spark.sql.files.maxPartitionNum": 100_000,
+    }
+    for setting, value in defaults.items():
+        if spark.conf.get(setting, None) is None:
+            spark.conf.set(setting, str(value))
     return spark

@@ -52,7 +52,7 @@ def test_brand_predicates(spark):
         "brand", has_brand().alias("has"), has_nonblank_brand().alias("nonblank")
     )
     for brand, has, nonblank in got.collect():
-        assert has == (brand is not None and brand != "")
+        assert bool(has) == (brand is not None and brand != "")
         assert bool(nonblank) == (brand is not None and brand.strip() != "")
 
 

@@ -22,10 +22,19 @@ def events(spark, tmp_path_factory):
 
 
 def executed_plan(df, capsys):
+    """The plan as it ran, without the initial plans that adaptive execution prints beside it."""
     df.collect()
     capsys.readouterr()
     df.explain()
-    return capsys.readouterr().out.split("== Initial Plan ==")[0]
+    kept, hidden_below = [], None
+    for line in capsys.readouterr().out.splitlines():
+        indent = len(line) - len(line.lstrip(" :"))
+        if hidden_below is not None and indent > hidden_below:
+            continue
+        hidden_below = indent if "== Initial Plan ==" in line else None
+        if hidden_below is None:
+            kept.append(line)
+    return "\n".join(kept)
 
 
 def read_columns(plan):

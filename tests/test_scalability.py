@@ -5,6 +5,7 @@ import glob
 import clicktally as ct
 import pytest
 from clicktally.jobs import report, scalability
+from clicktally.jobs.options import job_session
 from clicktally.plans import scalability as plan
 from edge_rows import write_edge_file
 from pyspark.sql import functions as F
@@ -99,3 +100,20 @@ def test_scalability_job(spark, tmp_path):
     timings = spark.read.csv(f"{tmp_path}/out/timings", header=True, inferSchema=True).collect()
     assert [row["rows"] for row in timings] == [5, 11]
     assert len(parts(f"{tmp_path}/out/largest_sample/top10_brands")) == 1
+
+    staged = f"{tmp_path}/out/staged"
+    scalability.run(spark, [staged, f"{tmp_path}/again", "--key", "row_id", "--sizes", "7", "--repeats", "1"])
+    again = spark.read.csv(f"{tmp_path}/again/timings", header=True, inferSchema=True).collect()
+    assert [row["rows"] for row in again] == [7]
+
+
+def test_job_session_keeps_settings_the_caller_chose(spark):
+    partitions = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    splits = "spark.sql.files.maxPartitionNum"
+    spark.conf.set(partitions, "5")
+    try:
+        assert job_session("test").conf.get(partitions) == "5"
+        assert spark.conf.get(splits) == "100000"
+    finally:
+        spark.conf.unset(partitions)
+        spark.conf.unset(splits)
