@@ -1,0 +1,56 @@
+"""Rollup sums and means against decimal arithmetic in Python."""
+
+from collections import defaultdict
+from decimal import ROUND_HALF_UP, Decimal
+
+import clicktally as ct
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+CENT = Decimal("0.01")
+PURCHASES = st.lists(
+    st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(min_value=0, max_value=10**9)),
+    min_size=1,
+    max_size=80,
+)
+
+
+def expected(rows):
+    prices = defaultdict(list)
+    for brand, cents in rows:
+        prices[brand].append(Decimal(cents) / 100)
+    return {
+        brand: (
+            len(values),
+            float(sum(values)),
+            float((sum(values) / len(values)).quantize(CENT, ROUND_HALF_UP)),
+        )
+        for brand, values in prices.items()
+    }
+
+
+def price_mix(rollup):
+    return {
+        row["brand"]: (row["num_purchases"], row["estimated_revenue"], row["avg_selling_price"])
+        for row in ct.brand_price_mix_from_rollup(rollup).collect()
+    }
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=PURCHASES, partitions=st.integers(min_value=1, max_value=7))
+def test_same_as_decimals_however_the_rows_are_spread(spark, rows, partitions):
+    events = spark.createDataFrame(
+        [("2019-11-01 x", "purchase", brand, cents / 100) for brand, cents in rows],
+        "event_time string, event_type string, brand string, price double",
+    ).repartition(partitions)
+    assert price_mix(ct.event_rollup(events)) == expected(rows)
+
+
+def test_a_double_sum_would_drift(spark):
+    """Three million additions of ten cents: exact here, visibly off as a running double."""
+    n = 3_000_000
+    events = spark.range(0, n, numPartitions=8).selectExpr(
+        "'2019-11-01 x' AS event_time", "'purchase' AS event_type", "'a' AS brand", "0.1D AS price"
+    )
+    assert price_mix(ct.event_rollup(events)) == {"a": (n, n / 10, 0.1)}
+    assert events.selectExpr("sum(price) AS s").first()["s"] != n / 10

@@ -128,3 +128,17 @@ def test_dates_are_written_as_iso_text(spark, tmp_path):
 def test_scratch_path_uses_the_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+class ClusterSession:
+    """Stands in for a session on a cluster that names no shared folder."""
+
+    class conf:
+        @staticmethod
+        def get(name, default=None):
+            return {"spark.master": "yarn"}.get(name, default)
+
+
+def test_no_machine_local_scratch_on_a_cluster():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(ClusterSession, "x")
