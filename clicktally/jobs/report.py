@@ -14,6 +14,9 @@ from clicktally.jobs.options import input_arguments, job_session, read_input
 from clicktally.plans import findings, rollup
 from clicktally.sinks.results import write_result
 
+# Results with a row for every brand keep their partitions.
+PER_BRAND = {"brand_price_mix"}
+
 
 def results(table: DataFrame, valid: bool, extras: bool) -> dict[str, DataFrame]:
     daily = rollup.daily_purchase_revenue_from_rollup(table)
@@ -43,7 +46,13 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
 
     table = rollup.write_rollup(read_input(spark, args), f"{args.output.rstrip('/')}/event_rollup")
     for name, result in results(table, args.valid_prices, args.findings).items():
-        write_result(result, args.output, name, preview_rows=31 if args.preview else 0)
+        write_result(
+            result,
+            args.output,
+            name,
+            preview_rows=31 if args.preview else 0,
+            single_file=name not in PER_BRAND,
+        )
 
 
 if __name__ == "__main__":

@@ -1,28 +1,24 @@
-"""Small result tables as CSV folders."""
+"""Result tables as CSV folders."""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-# Results up to this size become one file; larger ones keep their partitions.
-SINGLE_FILE_ROWS = 1_000_000
 
-
-def write_result(result: DataFrame, base: str, name: str, preview_rows: int = 0) -> str:
+def write_result(
+    result: DataFrame, base: str, name: str, *, preview_rows: int = 0, single_file: bool = True
+) -> str:
     """Write ``result`` to the CSV folder ``base/name``, replacing it, and return that path.
 
-    A result of ordinary size ends up in exactly one part file.  The rows are
-    computed once and serve the size check, the preview and the write.
+    One part file is right for results of bounded size, such as one row per day
+    or the top ten; the last step of the query then runs as one task.  With
+    ``single_file`` false every partition writes its own file.  A preview shows
+    the first rows of what was written, so the query runs once.
     """
     path = f"{base.rstrip('/')}/{name}"
-    rows = result.persist()
-    try:
-        single = rows.count() <= SINGLE_FILE_ROWS
-        if preview_rows:
-            rows.show(preview_rows, truncate=False)
-        output = rows.coalesce(1) if single else rows
-        output.write.csv(path, mode="overwrite", header=True)
-    finally:
-        rows.unpersist()
+    output = result.coalesce(1) if single_file else result
+    output.write.csv(path, mode="overwrite", header=True)
+    if preview_rows:
+        read_result(result.sparkSession, path, result.schema).show(preview_rows, truncate=False)
     return path
 
 

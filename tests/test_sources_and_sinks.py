@@ -106,19 +106,30 @@ def test_result_is_one_file_and_reads_back(spark, tmp_path):
     assert ct.read_result(spark, path, result.schema).count() == 3
 
 
-def test_large_result_keeps_its_partitions(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("clicktally.sinks.results.SINGLE_FILE_ROWS", 10)
+def test_result_of_unbounded_size_keeps_its_partitions(spark, tmp_path):
     result = spark.range(0, 1000, numPartitions=4)
-    path = ct.write_result(result, str(tmp_path), "many")
+    path = ct.write_result(result, str(tmp_path), "many", single_file=False)
     assert len(glob.glob(f"{path}/part-*.csv")) == 4
     assert ct.read_result(spark, path, result.schema).count() == 1000
 
 
-def test_preview_prints_the_rows(spark, tmp_path, capsys):
+def test_preview_prints_what_was_written(spark, tmp_path, capsys):
     ct.write_result(spark.range(3), str(tmp_path), "shown", preview_rows=2)
     assert "only showing top 2 rows" in capsys.readouterr().out
 
 
+def test_writing_with_preview_runs_the_query_once(spark, tmp_path):
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        runs.add(1)
+        yield from batches
+
+    result = spark.range(0, 3, numPartitions=1).mapInPandas(counted, "id bigint")
+    ct.write_result(result, str(tmp_path), "once", preview_rows=3)
+    assert runs.value == 1
+
+
 def test_dates_are_written_as_iso_text(spark, tmp_path):
     path = ct.write_result(spark.sql("SELECT DATE '2019-11-01' AS event_date"), str(tmp_path), "day")
     (part,) = glob.glob(f"{path}/part-*.csv")
