@@ -25,8 +25,8 @@ TIMING_SCHEMA = """
     completed BOOLEAN
 """
 
-# A task on this many cached rows takes some tens of milliseconds.
-ROWS_PER_PARTITION = 125_000
+# A task on this many cached rows takes about a tenth of a second.
+ROWS_PER_PARTITION = 500_000
 
 QUESTIONS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "event_distribution": event_distribution,
