@@ -14,16 +14,11 @@ def event_date_text(event_time: str = "event_time") -> Column:
 def event_date(event_time: str = "event_time") -> Column:
     """The day of an event as DATE; NULL unless the text starts with a real ``yyyy-MM-dd`` day.
 
-    A cast parses several times faster than ``to_date`` with a pattern, which
-    matters when it runs once per event, but it also takes loose forms such as
-    ``2019-1-1`` or ``2019-11``.  The three position tests leave only the
-    strict form: a dash in places 5 and 8 and a digit in place 10.
+    A cast takes about half the time of ``to_date`` with a pattern, which
+    matters when it runs once per event.  It also accepts loose forms such as
+    ``2019-1-1`` or ``2019-11``, so the shape is tested first.
     """
-    strict = (
-        (F.substring(event_time, 5, 1) == "-")
-        & (F.substring(event_time, 8, 1) == "-")
-        & F.substring(event_time, 10, 1).between("0", "9")
-    )
+    strict = F.col(event_time).rlike(r"^\d{4}-\d\d-\d\d")
     return F.when(strict, event_date_text(event_time).try_cast("date"))
 
 
