@@ -26,6 +26,13 @@ from clicktally.schema import event_columns  # noqa: E402
 from clicktally.sources.scratch import scratch_path  # noqa: E402
 from clicktally.sources.star_tables import damaged, read_clickstream, read_star_events  # noqa: E402
 
+try:
+    from clicktally.llm import queries as corpus_queries
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith("clicktally.llm"):
+        raise
+    corpus_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_FOLDER = "/root/testdata/sf0.001"
@@ -189,9 +196,9 @@ def queries() -> dict[str, Query]:
         "daily_spikes": _events(lambda e: ct.daily_spikes(ct.daily_purchase_revenue(e), 1.1)),
         "typical_day": _events(lambda e: ct.typical_day(ct.daily_purchase_revenue(e))),
         "brand_price_mix": _clean(ct.brand_price_mix),
-    }
+    } | (corpus_queries.queries() if corpus_queries else {})
 
 
 def oracle_sql() -> dict[str, str]:
     """The same queries for DuckDB.  ``scalability_run`` returns times, so it has none."""
-    return duckdb_oracles.oracle_sql()
+    return duckdb_oracles.oracle_sql() | (corpus_queries.oracle_sql() if corpus_queries else {})
