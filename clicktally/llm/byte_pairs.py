@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from clicktally.llm.codepoints import SPACE, batched, kinds, points, span_hashes
 from clicktally.llm.tables import identified_texts, written
 
-CHUNK_CHARS = 16_000_000
+CHUNK_CHARS = 32_000_000
 _BLOCK_CHARS = 1_000_000
 
 _PARTS = "chunk long, bucket int, ranks binary, words binary, doc_ids array<long>, n_words array<long>"
@@ -102,7 +102,7 @@ def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 def _packed(numbers: np.ndarray) -> bytes:
     """The four bytes of unsigned numbers, all first bytes together, then all second ones, and so on."""
     planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+    return zstandard.ZstdCompressor(level=9).compress(planes.tobytes())
 
 
 def _unpacked(blob: bytes) -> np.ndarray:
@@ -113,7 +113,7 @@ def _unpacked(blob: bytes) -> np.ndarray:
 def _packed_words(words: list[bytes]) -> bytes:
     lengths = np.fromiter(map(len, words), "<u4", len(words))
     body = len(words).to_bytes(8, "little") + lengths.tobytes() + b"".join(words)
-    return zstandard.ZstdCompressor(level=3).compress(body)
+    return zstandard.ZstdCompressor(level=9).compress(body)
 
 
 def _unpacked_words(blob: bytes) -> list[bytes]:
@@ -135,25 +135,27 @@ def _pieces(text: str) -> Iterator[str]:
     yield text[at:]
 
 
-def _words_of(rows: list[tuple]) -> tuple[np.ndarray, dict[int, str], np.ndarray]:
-    """Hashes of all words in order, the word of each hash, and the number of words of each row."""
-    hashes, found, counts = [], {}, np.zeros(len(rows), np.int64)
+def _words_of(rows: list[tuple]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
+    """The words of all rows in order, as numbers of distinct words; those words, their hashes, and the
+    number of words of each row."""
+    order, words, seen, counts = [], [], {}, np.zeros(len(rows), np.int64)
     pieces = ((k, piece) for k, (_, text) in enumerate(rows) for piece in _pieces(text))
     for block in batched(pieces, lambda x: len(x[1]), _BLOCK_CHARS):
         text = "".join(piece for _, piece in block)
         sizes = np.array([len(piece) for _, piece in block])
         doc_starts = np.append(0, np.cumsum(sizes))[:-1]
         starts = word_starts(chars := points(text), doc_starts[doc_starts < len(text)])
-        own = span_hashes(chars, starts)
-        hashes.append(own)
         owner = np.searchsorted(doc_starts, starts, side="right") - 1
         np.add.at(counts, np.array([k for k, _ in block])[owner], 1)
         ends = np.append(starts[1:], len(text))
-        distinct, first = np.unique(own, return_index=True)
-        for h, a, b in zip(distinct.tolist(), starts[first].tolist(), ends[first].tolist(), strict=True):
-            if h not in found:
-                found[h] = text[a:b]
-    return np.concatenate([*hashes, np.zeros(0, np.uint64)]), found, counts
+        distinct, first, place = np.unique(span_hashes(chars, starts), return_index=True, return_inverse=True)
+        numbers = np.empty(len(distinct), np.int32)
+        for i, (h, a, b) in enumerate(zip(distinct.tolist(), starts[first].tolist(), ends[first].tolist(), strict=True)):
+            if (number := seen.setdefault(h, len(words))) == len(words):
+                words.append(text[a:b])
+            numbers[i] = number
+        order.append(numbers[place])
+    return np.concatenate([*order, np.zeros(0, np.int32)]), words, np.fromiter(seen, np.uint64, len(seen)), counts
 
 
 def _cut(buckets: int, chunk_chars: int) -> Callable:
@@ -164,18 +166,21 @@ def _cut(buckets: int, chunk_chars: int) -> Callable:
         part = TaskContext.get().partitionId()
         for number, chunk in enumerate(batched(rows, lambda row: len(row[1]), chunk_chars)):
             name = (part << 32) + number
-            hashes, found, counts = _words_of(chunk)
-            distinct, place, uses = np.unique(hashes, return_inverse=True, return_counts=True)
-            order = np.argsort(-uses, kind="stable")
-            rank = np.empty(len(order), np.uint32)
-            rank[order] = np.arange(len(order), dtype=np.uint32)
-            out = [(name, None, _packed(rank[place]), None, [row[0] for row in chunk], counts.tolist())]
-            bucket = (distinct[order] >> np.uint64(20)) % np.uint64(buckets)
+            order, words, hashes, counts = _words_of(chunk)
+            uses = np.bincount(order, minlength=len(words))
+            # Words used once come last, in the order of their use: then 0 says "the next of them".
+            often = np.argsort(-uses, kind="stable")[: int((uses > 1).sum())]
+            once = uses[order] == 1
+            ranked = np.append(often, order[once])
+            rank = np.zeros(len(words), np.uint32)
+            rank[often] = np.arange(1, len(often) + 1)
+            ids = [row[0] for row in chunk]
+            out = [(name, None, _packed(np.append(len(often), rank[order])), None, ids, counts.tolist())]
+            bucket = (hashes[ranked] >> np.uint64(20)) % np.uint64(buckets)
             for b in np.unique(bucket).tolist():
-                ranks = np.flatnonzero(bucket == b)
-                words = [found[h].encode("utf-8", "surrogatepass") for h in distinct[order[ranks]].tolist()]
-                steps = np.diff(ranks, prepend=0)
-                out.append((name, b, _packed(steps), _packed_words(words), None, None))
+                places = np.flatnonzero(bucket == b)
+                own = [words[k].encode("utf-8", "surrogatepass") for k in ranked[places].tolist()]
+                out.append((name, b, _packed(np.diff(places, prepend=0)), _packed_words(own), None, None))
             yield _batch(out, _PARTS)
 
     return cut
@@ -221,7 +226,10 @@ def _put_back(token_bytes) -> Callable:
             base += len(flat)
         pool = np.concatenate([*ids, np.zeros(0, np.uint32)])
         table, ends = token_bytes.value
-        words = _unpacked(order["ranks"])
+        often, *_ = words = _unpacked(order["ranks"]).astype(np.int64)
+        words = words[1:] - 1
+        once = words < 0
+        words[once] = often + np.arange(once.sum())
         out, at = [], 0
         for doc_id, n in zip(order["doc_ids"], order["n_words"], strict=True):
             own = words[at : at + n]
