@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from clicktally.llm.oracles import LINE_DEDUP, SOURCE_MIX
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,12 +25,65 @@ def byte_pair_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return token_digests(_table(spark, folder, "documents"), ranks)
 
 
+def language_mixtures(spark: SparkSession, folder: str) -> DataFrame:
+    from clicktally.llm.languages import with_languages
+    from clicktally.llm.tables import is_held_out
+
+    found = with_languages(_table(spark, folder, "documents"), ~is_held_out() & F.col("doc_id").isNotNull())
+    return found.select(
+        "row.doc_id",
+        is_held_out("row.doc_id").alias("held_out"),
+        F.col("language.lang").alias("lang_pred"),
+        "language.score",
+        "language.n_languages",
+    )
+
+
+def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
+    from clicktally.llm.quality import learn_quality, quality_udf
+    from clicktally.llm.tables import is_held_out
+
+    docs = _table(spark, folder, "documents")
+    training = ~is_held_out() & F.col("doc_id").isNotNull()
+    model = learn_quality(docs, _table(spark, folder, "labels"), training)
+    scored = docs.select("doc_id", is_held_out().alias("held_out"), quality_udf(model, spark)("text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from clicktally.llm.line_runs import without_repeated_lines
+
+    return without_repeated_lines(_table(spark, folder, "documents")).select(
+        "row.doc_id", "lines.n_lines", "lines.n_dropped", F.sha2("lines.text", 256).alias("kept_sha256")
+    )
+
+
+def source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    from clicktally.llm.mixing import mixed
+
+    return mixed(_table(spark, folder, "documents")).select("row.doc_id", "row.source", "copy", "place", "row.text")
+
+
+def near_duplicate_documents(spark: SparkSession, folder: str) -> DataFrame:
+    from clicktally.llm.near_duplicates import near_duplicates
+
+    return near_duplicates(_table(spark, folder, "documents"), shingle_words=2, percent=80)
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op3_language_mixture": language_mixtures,
+        "op5_subword_quality": quality_scores,
+        "op6_line_runs": line_dedup,
+        "op7_poisson_mix": source_mix,
         "op8_byte_level_bpe": byte_pair_encoding,
+        "op10_circulant_minhash": near_duplicate_documents,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for those queries that SQL can express."""
-    return {}
+    return {
+        "op6_line_runs": LINE_DEDUP,
+        "op7_poisson_mix": SOURCE_MIX,
+    }
