@@ -70,13 +70,27 @@ def near_duplicate_documents(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"), shingle_words=2, percent=80)
 
 
+def near_duplicate_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    from clicktally.llm.near_vectors import near_vectors
+
+    return near_vectors(_table(spark, folder, "embeddings"))
+
+
+def nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    from clicktally.llm.forest import nearest
+
+    return nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op3_language_mixture": language_mixtures,
+        "op4_collision_counting": near_duplicate_vectors,
         "op5_subword_quality": quality_scores,
         "op6_line_runs": line_dedup,
         "op7_poisson_mix": source_mix,
         "op8_byte_level_bpe": byte_pair_encoding,
+        "op9_projection_forest": nearest_vectors,
         "op10_circulant_minhash": near_duplicate_documents,
     }
 
