@@ -7,12 +7,12 @@ of the signature is the minimum after a shift of the universe by k.
 Copies with the same shingle set form a class, whose smallest document stands
 for it.  Representatives that share a band of their signatures are candidates:
 
-1. In the buckets of the first bands every member is compared with the
-   smallest one.  The links found join most of each group.
+1. In the buckets of the first bands every member is compared with one of them,
+   drawn by a hash.  The links found join most of each group.
 2. Then, over all bands, members of a bucket that are still in different
-   components are compared, each with each.  Members of the same component
-   need no comparison, so a large group of near copies does not become all its
-   pairs, and no link between components is lost.
+   components are compared, each with each.  Crowded buckets are cut into
+   blocks, and only a tree over the links found leaves a block.  Members of the
+   same component need no comparison.  No link between components is lost.
 
 Every candidate is confirmed on the full shingle sets.
 
@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clicktally.llm.blocks import block_pairs, local_roots, pieces, sides
 from clicktally.llm.components import components
 from clicktally.llm.shingles import shingle_hashes, texts_with_words
 from clicktally.llm.tables import identified_texts, written
@@ -122,15 +123,18 @@ def _similar(percent: int) -> Callable:
     return similar
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs ``a``, ``b`` whose full shingle sets are as similar as asked."""
-    wanted = written(
-        pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "candidates"
-    )
-    sets = written(
+def _sets_of(ids: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """``doc_id``, ``shingles`` (sorted hashes) of the documents with these numbers."""
+    wanted = written(ids, "candidates")
+    return written(
         texts.join(wanted, "doc_id", "left_semi").mapInArrow(_shingle_sets(size), "doc_id long, shingles binary"),
         "shingles",
     )
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs ``a``, ``b`` whose full shingle sets are as similar as asked."""
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), texts, size)
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a").join(
         sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b"
     )
@@ -138,25 +142,64 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
 
 
 def _star_pairs(members: DataFrame) -> DataFrame:
-    """Each member of a bucket with the smallest of the bucket."""
-    centres = members.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("last")).filter("a < last")
-    return members.join(centres, "key").filter("id > a").select("a", F.col("id").alias("b")).distinct()
+    """Each member of a bucket with one of the bucket, another one in each band."""
+    drawn = F.min(F.struct(F.xxhash64("id", "band"), "id"))
+    centres = members.groupBy("band", "key").agg(drawn["id"].alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    met = members.join(centres, ["band", "key"]).filter("id != centre")
+    return met.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
 
 
-def _cross_pairs(members: DataFrame, joined: DataFrame) -> DataFrame:
-    """Members of one bucket in different components: those outside the bucket's largest, with all others."""
-    placed = (
-        members.join(joined.withColumnRenamed("node", "id"), "id", "left")
-        .select("key", "id", F.coalesce("component_id", "id").alias("part"))
+def _unsettled(members: DataFrame, joined: DataFrame) -> DataFrame:
+    """Members (with their component as ``part``) of buckets that hold more than one component."""
+    placed = members.join(joined.withColumnRenamed("node", "id"), "id", "left").select(
+        "band", "key", "id", "weight", F.coalesce("component_id", "id").alias("part")
     )
-    sizes = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
-    tops = sizes.groupBy("key").agg(F.max_by("part", F.struct("n", "part")).alias("top"),
-                                    F.count(F.lit(1)).alias("parts"))
-    unsettled = written(placed.join(tops.filter("parts > 1").drop("parts"), "key"), "unsettled")
-    x = unsettled.filter("part != top").select("key", F.col("id").alias("x"), F.col("part").alias("x_part"))
-    y = unsettled.select("key", F.col("id").alias("y"), F.col("part").alias("y_part"), "top")
-    met = x.join(y, "key").filter("x_part != y_part and (y_part = top or x < y)")
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    parts = placed.groupBy("band", "key").agg(F.min("part").alias("first"), F.max("part").alias("last"))
+    return placed.join(parts.filter("first != last").select("band", "key"), ["band", "key"])
+
+
+def _crossing(percent: int) -> Callable:
+    """A tree over the links between components in each pair of blocks of a bucket."""
+
+    def links(piece: list[dict]) -> list[tuple[int, int]]:
+        band, (x, y, same) = piece[0]["band"], sides(piece)
+        ids, parts = (np.array([row[c] for row in piece]) for c in ("id", "part"))
+        bands = np.array([row["bands"] for row in piece])
+        sets = [np.frombuffer(row["shingles"], np.uint64) for row in piece]
+        sizes = np.array([len(own) for own in sets])
+        firsts, seconds = [], []
+        # Members of the commonest component are never compared with each other, so the others go through.
+        commonest = np.bincount(np.unique(parts, return_inverse=True)[1]).argmax()
+        common = parts == np.unique(parts)[commonest]
+        for left, right, both in ((x, y, same), (y, x, True)):
+            for k in left[~common[left]].tolist():
+                other = right[(parts[right] != parts[k])]
+                if both:  # each pair once
+                    other = other[common[other] | (other < k)] if same else other[common[other]]
+                other = other[~(bands[other, :band] == bands[k, :band]).any(axis=1)]
+                least, most = np.minimum(sizes[other], sizes[k]), np.maximum(sizes[other], sizes[k])
+                other = other[100 * least >= percent * most]
+                if not len(other):
+                    continue
+                flat = np.concatenate([sets[o] for o in other.tolist()])
+                at = np.minimum(np.searchsorted(sets[k], flat), sizes[k] - 1)
+                shared = np.add.reduceat(sets[k][at] == flat, np.cumsum(sizes[other]) - sizes[other])
+                linked = other[100 * shared >= percent * (sizes[other] + sizes[k] - shared)]
+                firsts.append(np.full(len(linked), k))
+                seconds.append(linked)
+            if same:
+                break
+        if not firsts:
+            return []
+        root = local_roots(ids, np.concatenate(firsts), np.concatenate(seconds))
+        return [(int(r), int(i)) for r, i in zip(root, ids, strict=True) if r != i]
+
+    def crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches, ["band", "key"]):
+            a, b = zip(*found, strict=True) if (found := links(piece)) else ([], [])
+            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return crossing
 
 
 def near_duplicates(
@@ -179,19 +222,23 @@ def near_duplicates(
     signed = written(texts.mapInArrow(_sign(shingle_words, bands, rows), _SIGNED), "signed")
     named = signed.filter("digest is not null and doc_id is not null")
     classes = written(named.groupBy("digest").agg(F.min("doc_id").alias("id")), "classes")
-    members = written(
+    standing = written(
         named.join(classes.select(F.col("id").alias("doc_id"), F.col("digest").alias("d")), "doc_id")
         .filter("digest = d")
-        .select(F.posexplode("bands").alias("band", "key"), F.col("doc_id").alias("id")),
-        "members",
-    )
-    first = _confirmed(
-        written(_star_pairs(members.filter(F.col("band") < first_bands)), "stars"), texts, shingle_words, percent
+        .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("weight"), "bands"),
+        "representatives",
     )
+    members = standing.select("id", "weight", F.posexplode("bands").alias("band", "key"))
+    stars = written(_star_pairs(members.filter(F.col("band") < first_bands)), "stars")
+    first = _confirmed(stars, texts, shingle_words, percent)
     copies = named.join(classes, "digest").filter("doc_id != id").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
     joined = components(first.union(copies))
-    crossing = written(_cross_pairs(members.drop("band"), joined), "crossing")
-    second = _confirmed(crossing, texts, shingle_words, percent)
+    unsettled = written(_unsettled(members, joined), "unsettled")
+    sets = _sets_of(unsettled.select(F.col("id").alias("doc_id")).distinct(), texts, shingle_words)
+    payload = standing.select("id", "bands").join(sets.withColumnRenamed("doc_id", "id"), "id")
+    second = written(
+        block_pairs(unsettled, ["band", "key"], payload, block_rows=2048).mapInArrow(_crossing(percent), "a long, b long"), "crossing"
+    )
     final = components(joined.select(F.col("component_id").alias("a"), F.col("node").alias("b")).union(second))
     return signed.join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "doc_id",

@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clicktally.llm.blocks import block_pairs, local_roots, pieces, sides
 from clicktally.llm.codepoints import mixed
 from clicktally.llm.components import components
 from clicktally.llm.tables import written
@@ -42,7 +43,6 @@ from clicktally.llm.vectors import matrices, unpacked
 
 PROJECTIONS = 32
 CELL_ROWS = 2000
-BLOCK_ROWS = 1024
 
 _CLASSED = "id long, digest binary, vector binary"
 _FOUND = "id long, n long, root long"
@@ -115,18 +115,6 @@ def _placed(how: dict[int, dict]) -> Callable:
     return placed
 
 
-def _local_roots(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For each row the smallest id that the pairs of rows ``a``, ``b`` reach."""
-    root = ids.copy()
-    while True:
-        before = root.copy()
-        least = np.minimum(root[a], root[b])
-        np.minimum.at(root, a, least)
-        np.minimum.at(root, b, least)
-        if (root == before).all():
-            return root
-
-
 def _links_of(group: list[dict], threshold: float, how: dict[int, dict]) -> list[tuple[int, int, int]]:
     """``id``, number of links and local root of each row of one block pair that has a link."""
     size = len(group[0]["vector"]) // 8
@@ -134,12 +122,10 @@ def _links_of(group: list[dict], threshold: float, how: dict[int, dict]) -> list
     rule, table = how[size], group[0]["t"]
     ids = np.array([row["id"] for row in group])
     counts = np.array([row["n"] for row in group])
-    side = np.array([row["own"] for row in group])
     units = unpacked([row["vector"] for row in group])
     cells = np.array([row["cells"] for row in group])
     projected = (units @ directions(size)).astype(np.float32)
-    low, high = group[0]["i"], group[0]["j"]
-    x, y = (np.arange(len(ids)),) * 2 if low == high else (np.flatnonzero(side == low), np.flatnonzero(side == high))
+    x, y, same = sides(group)
     firsts, seconds = [], []
     step = max(1, 1_000_000 // (PROJECTIONS * max(len(y), 1)))
     for at in range(0, len(x), step):
@@ -147,7 +133,7 @@ def _links_of(group: list[dict], threshold: float, how: dict[int, dict]) -> list
         near = np.abs(projected[some, None, :] - projected[None, y, :]) <= np.float32(rule["window"])
         p, q = np.nonzero(near.sum(axis=2) >= rule["least"])
         p, q = some[p], y[q]
-        if low == high:
+        if same:
             p, q = p[p < q], q[p < q]
         linked = np.einsum("ij,ij->i", units[p], units[q]) >= threshold
         p, q = p[linked], q[linked]
@@ -156,31 +142,19 @@ def _links_of(group: list[dict], threshold: float, how: dict[int, dict]) -> list
         seconds.append(q[new])
     p, q = np.concatenate([*firsts, x[:0]]), np.concatenate([*seconds, x[:0]])
     total = np.bincount(p, counts[q], len(ids)) + np.bincount(q, counts[p], len(ids))
-    root = _local_roots(ids, p, q)
+    root = local_roots(ids, p, q)
     return [(int(ids[k]), int(total[k]), int(root[k])) for k in np.flatnonzero(total)]
 
 
 def _counted(threshold: float, how: dict[int, dict]) -> Callable:
     """Over batches sorted by table, cell and block pair: the links of each block pair."""
 
-    def flush(group: list[dict]) -> pa.RecordBatch:
-        found = _links_of(group, threshold, how)
-        ids, counts, roots = zip(*found, strict=True) if found else ([], [], [])
-        return pa.record_batch([pa.array(ids, pa.int64()), pa.array(counts, pa.int64()), pa.array(roots, pa.int64())],
-                               names=["id", "n", "root"])
-
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, key = [], None
-        for batch in batches:
-            for row in batch.to_pylist():
-                own = (row["t"], row["cell"], row["i"], row["j"])
-                if own != key and len(group) > 1:
-                    yield flush(group)
-                group = group if own == key else []
-                key = own
-                group.append(row)
-        if len(group) > 1:
-            yield flush(group)
+        for piece in pieces(batches, ["t", "cell"]):
+            found = _links_of(piece, threshold, how)
+            ids, counts, roots = zip(*found, strict=True) if found else ([], [], [])
+            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(counts, pa.int64()), pa.array(roots, pa.int64())],
+                                  names=["id", "n", "root"])
 
     return counted
 
@@ -205,20 +179,8 @@ def near_vectors(
     placed = written(
         classes.mapInArrow(_placed(how), "id long, n long, vector binary, cells array<long>"), "vector-cells"
     )
-    cells = placed.select("id", F.posexplode("cells").alias("t", "cell"))
-    crowds = cells.groupBy("t", "cell").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
-    blocks = F.ceil(F.col("rows") / BLOCK_ROWS).cast("int")
-    met = (
-        placed.select("*", F.posexplode("cells").alias("t", "cell"))
-        .join(crowds, ["t", "cell"])
-        .withColumn("blocks", blocks)
-        .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        .select("t", "cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "n",
-                "vector", "cells")
-        .repartition("t", "cell", "i", "j")
-        .sortWithinPartitions("t", "cell", "i", "j")
-    )
+    cells = placed.select("id", F.posexplode("cells").alias("t", "cell"), F.lit(1).alias("weight"))
+    met = block_pairs(cells, ["t", "cell"], placed)
     found = written(met.mapInArrow(_counted(threshold, how), _FOUND), "vector-links")
     joined = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     totals = found.groupBy("id").agg(F.sum("n").alias("links"))
