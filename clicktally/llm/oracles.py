@@ -52,3 +52,43 @@ WITH sizes AS (
 )
 SELECT doc_id, source, copy, md5('0:place:' || coalesce(doc_id, -1) || ':' || copy) AS place, text FROM copied
 """
+
+
+def licence_scan(notices: dict[str, str]) -> str:
+    """Every grid window that holds 0.8 of a template's shingles, found without MinHash."""
+    rows = ", ".join(f"""('{name}', '{text.replace("'", "''")}')""" for name, text in sorted(notices.items()))
+    gap = "concat('[ ', chr(9), '-', chr(13), '\".,:;()!?]+')"
+
+    def words(column: str) -> str:
+        low = f"translate(coalesce({column}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+        return f"list_filter(string_split_regex({low}, {gap}), lambda w: w <> '')"
+
+    def shingles(column: str) -> str:
+        return f"[array_to_string({column}[i:i + 4], ' ') FOR i IN range(1, len({column}) - 3)]"
+
+    return f"""
+WITH templates AS (
+  SELECT licence, {shingles('words')} AS shingles
+  FROM (SELECT licence, {words('notice')} AS words FROM (VALUES {rows}) AS n(licence, notice))
+), wanted AS (
+  SELECT licence, len(shingles) AS span, len(list_distinct(shingles)) AS n, unnest(list_distinct(shingles)) AS shingle
+  FROM templates
+), texts AS (
+  SELECT row_number() OVER () AS row_no, doc_id, {words('text')} AS words FROM documents
+), have AS (
+  SELECT row_no, doc_id, unnest(shingles) AS shingle, generate_subscripts(shingles, 1) - 1 AS place
+  FROM (SELECT row_no, doc_id, {shingles('words')} AS shingles FROM texts)
+), hits AS (
+  SELECT h.row_no, h.doc_id, h.place, w.licence, w.span, w.n, w.shingle
+  FROM have h JOIN wanted w ON h.shingle = w.shingle
+), windows AS (
+  SELECT row_no, doc_id, licence, n, shingle, span * (place // span - k) AS first
+  FROM hits, (SELECT unnest([0, 1]) AS k) WHERE place // span - k >= 0
+), shares AS (
+  SELECT row_no, doc_id, licence, first, count(DISTINCT shingle) / any_value(n) AS containment
+  FROM windows GROUP BY row_no, doc_id, licence, first
+)
+SELECT any_value(doc_id) AS doc_id, licence, min(first) AS first_word, count(*) AS windows,
+       max(containment) AS containment
+FROM shares WHERE containment >= 0.8 GROUP BY row_no, licence
+"""

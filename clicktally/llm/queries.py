@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktally.llm.oracles import LINE_DEDUP, SOURCE_MIX
+from clicktally.llm.licences import NOTICES
+from clicktally.llm.oracles import LINE_DEDUP, SOURCE_MIX, licence_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,8 +83,15 @@ def nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def licence_scan_matches(spark: SparkSession, folder: str) -> DataFrame:
+    from clicktally.llm.licences import licence_matches
+
+    return licence_matches(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_licence_scan": licence_scan_matches,
         "op3_language_mixture": language_mixtures,
         "op4_collision_counting": near_duplicate_vectors,
         "op5_subword_quality": quality_scores,
@@ -98,6 +106,7 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for those queries that SQL can express."""
     return {
+        "op1_licence_scan": licence_scan(NOTICES),
         "op6_line_runs": LINE_DEDUP,
         "op7_poisson_mix": SOURCE_MIX,
     }
