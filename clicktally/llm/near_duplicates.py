@@ -43,7 +43,7 @@ BANDS, ROWS, FIRST_BANDS = 32, 5, 8
 _SIGNED = "doc_id long, n_shingles long, digest binary, bands array<long>"
 
 
-def _permuted(x: np.ndarray, a: int, b: int) -> np.ndarray:
+def permuted(x: np.ndarray, a: int, b: int) -> np.ndarray:
     """A permutation of the 32-bit numbers, in place."""
     t = x >> np.uint32(16)
     x ^= t
@@ -58,12 +58,12 @@ def _permuted(x: np.ndarray, a: int, b: int) -> np.ndarray:
 
 def signature(shingles: np.ndarray, size: int) -> np.ndarray:
     """``size`` MinHash coordinates of a set of 64-bit shingle hashes; the set has a member at least."""
-    place = _permuted((shingles >> np.uint64(32)).astype(np.uint32), 0x7FEB352D, 0x846CA68B)
+    place = permuted((shingles >> np.uint64(32)).astype(np.uint32), 0x7FEB352D, 0x846CA68B)
     shift = np.arange(size, dtype=np.uint32)
     least = np.full(size, 0xFFFFFFFF, np.uint32)
     for at in range(0, len(place), 1024):
         shifted = place[at : at + 1024, None] - shift
-        np.minimum(least, _permuted(shifted, 0x21F0AAAD, 0xD35A2D97).min(axis=0), out=least)
+        np.minimum(least, permuted(shifted, 0x21F0AAAD, 0xD35A2D97).min(axis=0), out=least)
     return least
 
 

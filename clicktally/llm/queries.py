@@ -89,9 +89,22 @@ def licence_scan_matches(spark: SparkSession, folder: str) -> DataFrame:
     return licence_matches(_table(spark, folder, "documents"))
 
 
+def shared_passages(spark: SparkSession, folder: str) -> DataFrame:
+    from clicktally.llm.passages import repeated_passages
+
+    return repeated_passages(_table(spark, folder, "documents"))
+
+
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_licence_scan": licence_scan_matches,
+        "op2_paragraph_minhash": shared_passages,
         "op3_language_mixture": language_mixtures,
         "op4_collision_counting": near_duplicate_vectors,
         "op5_subword_quality": quality_scores,
@@ -100,6 +113,7 @@ def queries() -> dict[str, Query]:
         "op8_byte_level_bpe": byte_pair_encoding,
         "op9_projection_forest": nearest_vectors,
         "op10_circulant_minhash": near_duplicate_documents,
+        "pipeline": pipeline,
     }
 
 
