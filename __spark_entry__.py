@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import clicktally as ct  # noqa: E402
@@ -23,6 +23,9 @@ from clicktally.functions.events import (  # noqa: E402
     with_event_date,
 )
 from clicktally.schema import event_columns  # noqa: E402
+from clicktally.plans.rollup import write_rollup  # noqa: E402
+from clicktally.sinks.results import LOSSLESS  # noqa: E402
+from clicktally.sources.csv_events import REJECT_COLUMN  # noqa: E402
 from clicktally.sources.scratch import scratch_path  # noqa: E402
 from clicktally.sources.star_tables import damaged, read_clickstream, read_star_events  # noqa: E402
 
@@ -72,17 +75,29 @@ def _as_event_file(clickstream: DataFrame) -> DataFrame:
     return clickstream.select(*event_columns())
 
 
-def _csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch_path(spark, "events-csv")
-    _as_event_file(read_clickstream(spark, folder)).write.csv(path, header=True)
-    return ct.event_distribution(ct.require_columns(ct.read_events_csv(spark, path)))
+def _written_csv(events: DataFrame, name: str) -> str:
+    path = scratch_path(events.sparkSession, name)
+    _as_event_file(events).write.csv(path, header=True, **LOSSLESS)
+    return path
+
+
+def _csv_round_trip(question: Callable[[DataFrame], DataFrame]) -> Query:
+    """All nine columns, written and read again."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        path = _written_csv(question(read_clickstream(spark, folder)), "events-csv")
+        return ct.require_columns(ct.read_events_csv(spark, path))
+
+    return query
 
 
 def _recursive_csv_events(spark: SparkSession, folder: str) -> DataFrame:
     """Events in one folder per day, found by a recursive search for a file name."""
     path = scratch_path(spark, "events-by-day")
     events = with_event_date(_as_event_file(read_clickstream(spark, folder)))
-    events.write.partitionBy("event_date").csv(path, header=True)
+    # A day goes to a few tasks, however large it is, and a task writes a few days.
+    salt = F.pmod(F.xxhash64("user_session", "event_time"), F.lit(4))
+    events.repartition("event_date", salt).write.partitionBy("event_date").csv(path, header=True, **LOSSLESS)
     found = ct.read_events_csv(spark, path, recursive=True, file_name="part-*.csv")
     return (
         with_event_date(found)
@@ -91,23 +106,49 @@ def _recursive_csv_events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _csv_rejected_rows(spark: SparkSession, folder: str) -> DataFrame:
+def _csv_with_bad_numbers(spark: SparkSession, folder: str) -> DataFrame:
     """The product number of every 37th event is replaced by text that is no number."""
-    path = scratch_path(spark, "events-with-bad-numbers")
     events = damaged(read_clickstream(spark, folder))
     bad = F.when(F.col("event_id") % 37 == 0, "x").otherwise(F.col("product_id").cast("string"))
-    _as_event_file(events.withColumn("product_id", bad)).write.csv(path, header=True)
-    return ct.rejected_rows(ct.read_events_csv(spark, path, keep_rejected=True))
+    path = _written_csv(events.withColumn("product_id", bad), "events-with-bad-numbers")
+    return ct.read_events_csv(spark, path, keep_rejected=True)
+
+
+def _csv_rejected_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return ct.rejected_rows(_csv_with_bad_numbers(spark, folder))
+
+
+def _csv_rejected_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of the lines that held bad text, and where in the line it was."""
+    lines = _csv_with_bad_numbers(spark, folder).filter(F.col(REJECT_COLUMN).isNotNull())
+    return lines.select(
+        "event_time", "user_id", "product_id", F.split(REJECT_COLUMN, ",")[2].alias("product_text")
+    )
 
 
 def _result_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    brands = ct.top_brands(read_clickstream(spark, folder))
-    path = ct.write_result(brands, scratch_path(spark, "results"), "top10_brands")
-    return ct.read_result(spark, path, brands.schema)
+    """Every brand of the damaged rows, blank and spaced ones too, as written and read again."""
+    events = damaged(read_clickstream(spark, folder))
+    spaced = F.when(F.col("event_id") % 20 == 3, F.concat(F.lit(" "), "brand", F.lit(" "))).otherwise(F.col("brand"))
+    counts = events.withColumn("brand", spaced).groupBy("brand").agg(F.count(F.lit(1)).alias("events"), F.max("event_time").alias("last_time"))
+    path = ct.write_result(counts, scratch_path(spark, "results"), "brands")
+    return ct.read_result(spark, path, counts.schema)
 
 
 def _staged_events(spark: SparkSession, folder: str) -> DataFrame:
-    return ct.stage_events(read_clickstream(spark, folder), scratch_path(spark, "staged")).drop("row_id")
+    """The staged table with its rows counted in the order of their numbers, events going in by number."""
+    events = read_clickstream(spark, folder).repartitionByRange("event_id").sortWithinPartitions("event_id")
+    staged = ct.stage_events(events, scratch_path(spark, "staged"))
+    in_order = Window.partitionBy("event_date").orderBy("row_id")
+    return staged.withColumn("place_in_day", F.row_number().over(in_order)).drop("row_id")
+
+
+def _stored_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """Written twice: the second one replaces the first."""
+    path = scratch_path(spark, "rollup")
+    events = read_clickstream(spark, folder)
+    write_rollup(events, path)
+    return write_rollup(events, path)
 
 
 def _sizes(events: DataFrame) -> list[int]:
@@ -122,16 +163,30 @@ def _scalability_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _scalability_run(spark: SparkSession, folder: str) -> DataFrame:
+    """The timed run without its times, the same on every machine."""
     events = read_clickstream(spark, folder)
-    return ct.scalability_run(events, _sizes(read_star_events(spark, folder)), key="event_id", repeats=1)
+    timings = ct.scalability_run(events, _sizes(read_star_events(spark, folder)), key="event_id", repeats=1)
+    seconds = [name for name in timings.columns if name.endswith("_sec")]
+    return timings.select(
+        "rows", "completed", F.array_min(F.array(*[F.col(name) > 0 for name in seconds])).alias("timed")
+    )
 
 
-def _missing_days(events: DataFrame) -> DataFrame:
-    """The tables have no gap, so one day is taken out to have one to find."""
-    return ct.missing_days(events.filter(~F.col("event_time").startswith("2024-01-15")))
+def _largest_sample(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily answer that the timed run wrote for its largest sample."""
+    base = scratch_path(spark, "largest-sample")
+    events = read_clickstream(spark, folder)
+    half = read_star_events(spark, folder).count() // 2
+    ct.scalability_run(events, [half // 10, half], key="event_id", repeats=1, results_path=base)
+    return ct.read_result(spark, f"{base}/daily_purchase_revenue", ct.daily_purchase_revenue(events).schema)
 
 
-def queries() -> dict[str, Query]:
+def _days_without_purchase(events: DataFrame) -> DataFrame:
+    return ct.missing_days(events.filter(is_purchase() & has_brand()), "brand")
+
+
+def event_queries() -> dict[str, Query]:
+    """The queries of the library itself."""
     return {
         # The three questions.
         "event_distribution": _events(ct.event_distribution),
@@ -179,26 +234,36 @@ def queries() -> dict[str, Query]:
         "conversion_rate_from_rollup": _clean_rollup(ct.conversion_rate_from_rollup),
         "brand_price_mix_from_rollup": _clean_rollup(ct.brand_price_mix_from_rollup),
         # Sources and sinks.
-        "csv_round_trip": _csv_round_trip,
+        "csv_round_trip": _csv_round_trip(lambda e: e),
+        "csv_round_trip_damaged": _csv_round_trip(damaged),
         "recursive_csv_events": _recursive_csv_events,
         "csv_rejected_rows": _csv_rejected_rows,
+        "csv_rejected_lines": _csv_rejected_lines,
         "result_round_trip": _result_round_trip,
         "staged_events": _staged_events,
+        "stored_rollup": _stored_rollup,
+        "daily_purchase_revenue_damaged": _dirty_events(lambda e: ct.daily_purchase_revenue(e.filter(~F.isnan("price")))),
         # Scalability.
         "scalability_rows": _scalability_rows,
         "largest_completed": lambda spark, folder: ct.largest_completed(
             _scalability_rows(spark, folder)
         ),
         "scalability_run": _scalability_run,
+        "largest_sample": _largest_sample,
         # Findings.
         "conversion_rate": _events(ct.conversion_rate),
-        "missing_days": _events(_missing_days),
+        "missing_days": _events(ct.missing_days),
+        "missing_days_by_brand": _clean(_days_without_purchase),
         "daily_spikes": _events(lambda e: ct.daily_spikes(ct.daily_purchase_revenue(e), 1.1)),
         "typical_day": _events(lambda e: ct.typical_day(ct.daily_purchase_revenue(e))),
         "brand_price_mix": _clean(ct.brand_price_mix),
-    } | (corpus_queries.queries() if corpus_queries else {})
+    }
+
+
+def queries() -> dict[str, Query]:
+    return event_queries() | (corpus_queries.queries() if corpus_queries else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    """The same queries for DuckDB.  ``scalability_run`` returns times, so it has none."""
+    """The same queries for DuckDB, where SQL can express them."""
     return duckdb_oracles.oracle_sql() | (corpus_queries.oracle_sql() if corpus_queries else {})

@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from clicktally.schema import PURCHASE
 
@@ -23,8 +24,8 @@ def event_date(event_time: str = "event_time") -> Column:
 
 
 def with_event_date(events: DataFrame) -> DataFrame:
-    """Add ``event_date`` unless the table already carries it."""
-    if "event_date" in events.columns:
+    """Add ``event_date`` unless the table already carries it as a DATE; any other type is derived anew."""
+    if "event_date" in events.columns and isinstance(events.schema["event_date"].dataType, DateType):
         return events
     return events.withColumn("event_date", event_date())
 

@@ -1,41 +1,80 @@
 """Exact money sums.
 
-A sum of doubles depends on the order of the additions, so a rerun after a
-lost executor may differ in the last cent.  Prices that are a whole number of
-cents are therefore added up as integers.  Whatever is not (fractions of a
-cent, NaN, infinities, values too large for exact cents) is added up apart as
-a double, so no price is lost or altered.
+A sum of doubles depends on the order of the additions, so a rerun after a lost
+executor may differ in the last cent.  Prices that are a whole number of cents
+are therefore added up as whole numbers, other finite prices as decimals with
+eight places, and what is no amount (NaN, infinities, and numbers of 10^18 and
+more) is counted.  None of these sums can overflow or depends on order.
 """
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Below this, price * 100 stays inside the range where doubles hold every integer.
-_EXACT_LIMIT = 1e13
+_WHOLE_LIMIT = 1e13
+_AMOUNT = "decimal(26,8)"
+_TOTAL = "decimal(36,8)"
+
+#: What is kept of the prices of a group, to be added up further.
+PARTS = ("priced", "cents", "other", "nans", "highs", "lows")
 
 
 def whole_cents(price: Column) -> Column:
     """The price in cents as BIGINT if it is exactly that, else NULL."""
     cents = F.rint(price * 100.0)
-    exact = (F.abs(price) < _EXACT_LIMIT) & (cents / 100.0 == price)
-    return F.when(exact, cents.cast("bigint"))
+    return F.when((F.abs(price) < _WHOLE_LIMIT) & (cents / 100.0 == price), cents.cast("bigint"))
+
+
+def parts(price: Column, prefix: str) -> list[Column]:
+    """Aggregates of a price column, each named by the prefix and one of ``PARTS``."""
+    cents = whole_cents(price)
+    amount = F.when(cents.isNull(), price.try_cast(_AMOUNT))
+    beyond = cents.isNull() & amount.isNull() & ~F.isnan(price)
+    values = (
+        F.count(price),
+        F.sum(cents.cast("decimal(18,0)")),
+        F.sum(amount),
+        F.count_if(F.isnan(price)),
+        F.count_if(beyond & (price > 0)),
+        F.count_if(beyond & (price < 0)),
+    )
+    return [value.alias(f"{prefix}_{name}") for value, name in zip(values, PARTS, strict=True)]
+
+
+def added_parts(prefix: str) -> list[Column]:
+    """Aggregates that add up the parts of several groups."""
+    return [
+        F.sum(f"{prefix}_{name}").cast("decimal(28,0)" if name == "cents" else _TOTAL if name == "other" else "bigint")
+        .alias(f"{prefix}_{name}")
+        for name in PARTS
+    ]
+
+
+def _total(prefix: str) -> Column:
+    cents = F.coalesce(F.col(f"{prefix}_cents"), F.lit(0)).cast("decimal(28,0)") * F.lit(0.01).cast("decimal(3,2)")
+    return cents.cast(_TOTAL) + F.coalesce(F.col(f"{prefix}_other"), F.lit(0).cast(_TOTAL)).cast(_TOTAL)
 
 
-def sum_of_cents(cents: str) -> Column:
-    return F.coalesce(F.sum(cents), F.lit(0).cast("bigint"))
+def _finite(prefix: str, value: Column) -> Column:
+    """The value where all prices are amounts, what adding doubles gives elsewhere, NULL without a price."""
+    nans, highs, lows, priced = (F.col(f"{prefix}_{name}") for name in ("nans", "highs", "lows", "priced"))
+    return (
+        F.when((nans > 0) | ((highs > 0) & (lows > 0)), F.lit(float("nan")))
+        .when(highs > 0, F.lit(float("inf")))
+        .when(lows > 0, F.lit(float("-inf")))
+        .when(priced > 0, value.cast("double"))
+    )
 
 
-def revenue(cents: str, other: str, priced: str) -> Column:
-    """Sum in currency units, rounded to cents; NULL if nothing had a price."""
-    whole = F.col(cents) / 100.0
-    total = F.when(F.col(other).isNull(), whole).otherwise(F.round(whole + F.col(other), 2))
-    return F.when(F.col(priced) > 0, total)
+def revenue(prefix: str) -> Column:
+    """Sum in currency units, rounded half-up to cents; NULL if nothing had a price."""
+    return _finite(prefix, F.round(_total(prefix), 2))
 
 
-def average(cents: str, other: str, priced: str) -> Column:
+def average(prefix: str) -> Column:
     """Mean in currency units, rounded half-up to cents; NULL if nothing had a price."""
-    # DECIMAL division keeps the half-cent boundary exact.
-    divisor = F.nullif(F.col(priced), F.lit(0).cast("bigint"))
-    whole = F.round(F.col(cents).cast("decimal(20,0)") / divisor.cast("decimal(20,0)"), 0)
-    mixed = F.round((F.col(cents) / 100.0 + F.col(other)) / divisor, 2)
-    return F.when(F.col(other).isNull(), whole.cast("double") / 100.0).otherwise(mixed)
+    priced = F.nullif(F.col(f"{prefix}_priced"), F.lit(0).cast("bigint")).cast("decimal(18,0)")
+    # The narrower type leaves the quotient 18 places, so rounding it again is safe below 10^15 prices.
+    total = _total(prefix)
+    mean = F.coalesce(total.try_cast("decimal(28,8)") / priced, total / priced)
+    return _finite(prefix, F.round(mean, 2))

@@ -21,6 +21,8 @@ def input_arguments(description: str) -> argparse.ArgumentParser:
 
 def read_input(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.format == "parquet":
+        if args.recursive or args.file_name:
+            raise ValueError("--recursive and --file-name are for CSV input")
         return read_events_parquet(spark, args.input)
     return read_events_csv(spark, args.input, recursive=args.recursive, file_name=args.file_name)
 
@@ -28,12 +30,12 @@ def read_input(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 def job_session(name: str) -> SparkSession:
     """The session of spark-submit, with defaults for large input where the caller set none."""
     spark = SparkSession.builder.appName(name).getOrCreate()
-    cores = spark.sparkContext.defaultParallelism
     chosen = int(spark.conf.get("spark.sql.shuffle.partitions"))
     defaults = {
-        # Events are added up before they are shuffled, so a few thousand
-        # partitions do for any input; adaptive execution merges the small ones.
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": max(chosen, min(cores, 2000)),
+        # Adaptive execution merges small partitions but splits none, so start with plenty: two for each core.
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": max(
+            chosen, 2 * spark.sparkContext.defaultParallelism
+        ),
         # Makes the splits of a very large input bigger instead of more numerous.
         "spark.sql.files.maxPartitionNum": 100_000,
     }

@@ -3,9 +3,10 @@
     spark-submit --py-files clicktally.zip clicktally/jobs/report.py INPUT OUTPUT
 
 Reads the input once into OUTPUT/event_rollup (Parquet); every result folder
-is then computed from that table.
+is then computed from that table.  OUTPUT/stage_seconds has the time of each step.
 """
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ PER_BRAND = {"brand_price_mix"}
 def results(table: DataFrame, valid: bool, extras: bool) -> dict[str, DataFrame]:
     daily = rollup.daily_purchase_revenue_from_rollup(table)
     answers = {
+        "total_events": rollup.total_events_from_rollup(table),
         "event_distribution": rollup.event_distribution_from_rollup(table),
         "daily_purchase_revenue": daily,
         "top10_brands": rollup.top_brands_from_rollup(table),
@@ -44,15 +46,22 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--findings", action="store_true", help="add conversion, gaps, spikes, price mix")
     args = parser.parse_args(argv)
 
-    table = rollup.write_rollup(read_input(spark, args), f"{args.output.rstrip('/')}/event_rollup")
+    stages = []
+
+    def timed(name: str, action):
+        started = time.perf_counter()
+        out = action()
+        stages.append((name, time.perf_counter() - started))
+        return out
+
+    base = args.output.rstrip("/")
+    table = timed("event_rollup", lambda: rollup.write_rollup(read_input(spark, args), f"{base}/event_rollup"))
     for name, result in results(table, args.valid_prices, args.findings).items():
-        write_result(
-            result,
-            args.output,
-            name,
-            preview_rows=31 if args.preview else 0,
-            single_file=name not in PER_BRAND,
-        )
+        timed(name, lambda: write_result(  # noqa: B023
+            result, base, name, preview_rows=31 if args.preview else 0, single_file=name not in PER_BRAND  # noqa: B023
+        ))
+    seconds = spark.createDataFrame(stages, "stage string, seconds double").coalesce(1)
+    write_result(seconds, base, "stage_seconds", preview_rows=len(stages) if args.preview else 0, single_file=True)
 
 
 if __name__ == "__main__":

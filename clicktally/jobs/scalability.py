@@ -11,7 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
+from clicktally.functions.events import with_event_date
 from clicktally.jobs.options import input_arguments, job_session, read_input
+from clicktally.operators.checks import require_columns
 from clicktally.plans.scalability import SAMPLE_SIZES, scalability_run
 from clicktally.sinks.results import write_result
 from clicktally.sources.parquet_events import ROW_ID, stage_events
@@ -26,7 +28,11 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
 
     base = args.output.rstrip("/")
     if args.key:
-        table = spark.read.parquet(args.input)
+        if args.format != "parquet":
+            raise ValueError("--key needs --format parquet")
+        table = require_columns(
+            with_event_date(spark.read.parquet(args.input)), [args.key, "event_type", "event_date", "brand", "price"]
+        )
     else:
         table = stage_events(read_input(spark, args), f"{base}/staged")
     timings = scalability_run(
@@ -36,7 +42,7 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
         repeats=args.repeats,
         results_path=f"{base}/largest_sample",
     )
-    write_result(timings, base, "timings", preview_rows=len(args.sizes) if args.preview else 0)
+    write_result(timings, base, "timings", single_file=True, preview_rows=len(args.sizes) if args.preview else 0)
 
 
 if __name__ == "__main__":

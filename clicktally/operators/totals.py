@@ -1,8 +1,9 @@
 """Grouped counts, sums and shares."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clicktally.functions import money
 from clicktally.functions.events import percentage
 
 
@@ -13,11 +14,10 @@ def count_by(df: DataFrame, key: str, name: str) -> DataFrame:
 def with_share(counts: DataFrame, count: str, share: str) -> DataFrame:
     """Add each row's percentage of the column total.
 
-    The total is a scalar subquery over the same grouped rows.  Spark reuses
-    their shuffle, so the events are scanned once, and the total is summed in
-    parallel instead of moving every group into one window partition.
+    ``counts`` holds a row per group; its total is taken over these few rows, so
+    the events are grouped once however they are partitioned.
     """
-    total = counts.agg(F.sum(count)).scalar()
+    total = F.sum(count).over(Window.partitionBy())
     return counts.withColumn(share, percentage(F.col(count), total))
 
 
@@ -30,17 +30,15 @@ def revenue_by(
     revenue: str,
     average: str | None = None,
 ) -> DataFrame:
-    """Per key: number of rows, summed price and (if named) mean price, in cents precision.
+    """Per key: number of rows, summed price and (if named) mean price, exact and then rounded to cents.
 
     Rows without a price count but add nothing to the sum or the mean.
     """
-    measures = {
-        count: F.count(F.lit(1)),
-        revenue: F.round(F.sum(price), 2),
-    }
+    sums = purchases.groupBy(key).agg(F.count(F.lit(1)).alias(count), *money.parts(price, "price"))
+    measures = [F.col(count), money.revenue("price").alias(revenue)]
     if average:
-        measures[average] = F.round(F.avg(price), 2)
-    return purchases.groupBy(key).agg(*[agg.alias(name) for name, agg in measures.items()])
+        measures.append(money.average("price").alias(average))
+    return sums.select(key, *measures)
 
 
 def top_by(df: DataFrame, measure: str, key: str, k: int) -> DataFrame:

@@ -27,20 +27,20 @@ def conversion_rate(events: DataFrame) -> DataFrame:
     return conversion_columns(events, lambda kind: F.count_if(F.col("event_type") == kind))
 
 
-def missing_days(events: DataFrame) -> DataFrame:
-    """Calendar days without an event between the first and the last day seen.
+def missing_days(events: DataFrame, *by: str) -> DataFrame:
+    """Calendar days without an event between the first and the last day seen, for each group of ``by``.
 
     Filter the events first to ask about one kind, e.g. days without a purchase.
     """
-    days = with_event_date(events).select("event_date").distinct()
-    # One window partition is enough: it holds distinct days, never events, and
-    # four-digit years bound those.  It also reads the events only once.  A NULL
-    # day sorts first and has no distance to the next, so it opens no gap.
-    following = F.lead("event_date").over(Window.orderBy("event_date"))
+    days = with_event_date(events).select(*by, "event_date").distinct()
+    # A window holds the distinct days of a group, never events, and four-digit
+    # years bound those.  It also reads the events only once.  A NULL day sorts
+    # first and has no distance to the next, so it opens no gap.
+    following = F.lead("event_date").over(Window.partitionBy(*by).orderBy("event_date"))
     gaps = days.withColumn("following", following).filter(F.date_diff("following", "event_date") > 1)
     return gaps.select(
-        F.explode(F.sequence(F.date_add("event_date", 1), F.date_sub("following", 1))).alias("event_date")
-    ).orderBy("event_date")
+        *by, F.explode(F.sequence(F.date_add("event_date", 1), F.date_sub("following", 1))).alias("event_date")
+    ).orderBy(*by, "event_date")
 
 
 def daily_spikes(daily: DataFrame, threshold: float = 2.0) -> DataFrame:

@@ -5,6 +5,8 @@ cents can be added up again along any of the three, so all queries below read
 the rollup and never the events, and give the same cents on every run.
 """
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,64 +20,41 @@ from clicktally.functions.events import (
 )
 from clicktally.operators.totals import top_by, with_share
 from clicktally.plans.findings import conversion_columns
-
-_ALL = ("priced_events", "price_cents", "other_price")
-_VALID = ("valid_events", "valid_cents", "valid_other_price")
-
+from clicktally.sources.scratch import replace_folder
 
 def event_rollup(events: DataFrame) -> DataFrame:
     """Counts and sums per (event_type, event_date, brand), NULLs included.
 
-    ``price_cents`` sums the prices that are whole cents, ``other_price`` all
-    remaining ones (NULL if there are none); the ``valid_`` columns do the same
-    over valid prices.
+    The ``price_`` columns are the parts of :mod:`clicktally.functions.money`
+    over all prices, the ``valid_`` columns the same over valid prices.
     """
     priced = with_event_date(events).select(
-        "event_type",
-        "event_date",
-        "brand",
-        "price",
-        money.whole_cents(F.col("price")).alias("cents"),
-        valid_price().alias("valid_price"),
+        "event_type", "event_date", "brand", "price", valid_price().alias("valid_price")
     )
-    is_valid = F.col("valid_price").isNotNull()
-    in_cents = F.col("cents").isNotNull()
-    split = priced.select(
-        "event_type",
-        "event_date",
-        "brand",
-        "price",
-        "valid_price",
-        "cents",
-        F.when(~in_cents, F.col("price")).alias("other"),
-        F.when(is_valid, F.col("cents")).alias("valid_cents"),
-        F.when(~in_cents, F.col("valid_price")).alias("valid_other"),
-    )
-    return split.groupBy("event_type", "event_date", "brand").agg(
+    return priced.groupBy("event_type", "event_date", "brand").agg(
         F.count(F.lit(1)).alias("event_count"),
-        F.count("price").alias("priced_events"),
-        money.sum_of_cents("cents").alias("price_cents"),
-        F.sum("other").alias("other_price"),
-        F.count("valid_price").alias("valid_events"),
-        money.sum_of_cents("valid_cents").alias("valid_cents"),
-        F.sum("valid_other").alias("valid_other_price"),
+        *money.parts(F.col("price"), "price"),
+        *money.parts(F.col("valid_price"), "valid"),
     )
 
 
 def write_rollup(events: DataFrame, path: str) -> DataFrame:
-    """Store the rollup as Parquet and return the stored table."""
-    event_rollup(events).write.mode("overwrite").parquet(path)
+    """Store the rollup as Parquet and return the stored table.
+
+    It is written beside the old one, which goes only once the new one is complete.
+    """
+    fresh = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    event_rollup(events).write.parquet(fresh)
+    replace_folder(events.sparkSession, fresh, path)
     return events.sparkSession.read.parquet(path)
 
 
-def _sums_by(rollup: DataFrame, key: str, measures: tuple[str, str, str]) -> DataFrame:
-    priced, cents, other = measures
-    return rollup.groupBy(key).agg(
-        F.sum("event_count").alias("events"),
-        F.sum(priced).alias("priced"),
-        F.sum(cents).alias("cents"),
-        F.sum(other).alias("other"),
-    )
+def _sums_by(rollup: DataFrame, key: str, prefix: str) -> DataFrame:
+    return rollup.groupBy(key).agg(F.sum("event_count").alias("events"), *money.added_parts(prefix))
+
+
+def total_events_from_rollup(rollup: DataFrame) -> DataFrame:
+    return rollup.agg(F.coalesce(F.sum("event_count"), F.lit(0).cast("bigint")).alias("total_events"))
 
 
 def event_distribution_from_rollup(rollup: DataFrame) -> DataFrame:
@@ -86,19 +65,19 @@ def event_distribution_from_rollup(rollup: DataFrame) -> DataFrame:
 
 
 def daily_purchase_revenue_from_rollup(rollup: DataFrame) -> DataFrame:
-    daily = _sums_by(rollup.filter(is_purchase()), "event_date", _ALL)
+    daily = _sums_by(rollup.filter(is_purchase()), "event_date", "price")
     return daily.select(
         "event_date",
         F.col("events").alias("num_purchases"),
-        money.revenue("cents", "other", "priced").alias("total_revenue"),
-        money.average("cents", "other", "priced").alias("avg_order_value"),
+        money.revenue("price").alias("total_revenue"),
+        money.average("price").alias("avg_order_value"),
     ).orderBy("event_date")
 
 
 def top_brands_from_rollup(rollup: DataFrame, k: int = 10) -> DataFrame:
-    brands = _sums_by(rollup.filter(is_purchase() & has_brand()), "brand", _ALL).select(
+    brands = _sums_by(rollup.filter(is_purchase() & has_brand()), "brand", "price").select(
         "brand",
-        money.revenue("cents", "other", "priced").alias("estimated_revenue"),
+        money.revenue("price").alias("estimated_revenue"),
         F.col("events").alias("num_purchases"),
     )
     return top_by(brands, "estimated_revenue", "brand", k)
@@ -115,11 +94,11 @@ def valid_top_brands_from_rollup(rollup: DataFrame, k: int = 10) -> DataFrame:
 
 
 def _valid_measures(purchases: DataFrame, key: str) -> DataFrame:
-    return _sums_by(purchases, key, _VALID).select(
+    return _sums_by(purchases, key, "valid").select(
         key,
-        money.revenue("cents", "other", "priced").alias("estimated_revenue"),
+        money.revenue("valid").alias("estimated_revenue"),
         F.col("events").alias("num_purchase_events"),
-        money.average("cents", "other", "priced").alias("avg_purchase_event_value"),
+        money.average("valid").alias("avg_purchase_event_value"),
     )
 
 
@@ -134,10 +113,10 @@ def conversion_rate_from_rollup(rollup: DataFrame) -> DataFrame:
 
 
 def brand_price_mix_from_rollup(rollup: DataFrame) -> DataFrame:
-    brands = _sums_by(rollup.filter(is_purchase() & has_brand()), "brand", _ALL)
+    brands = _sums_by(rollup.filter(is_purchase() & has_brand()), "brand", "price")
     return brands.select(
         "brand",
         F.col("events").alias("num_purchases"),
-        money.revenue("cents", "other", "priced").alias("estimated_revenue"),
-        money.average("cents", "other", "priced").alias("avg_selling_price"),
+        money.revenue("price").alias("estimated_revenue"),
+        money.average("price").alias("avg_selling_price"),
     ).orderBy(F.desc("num_purchases"), "brand")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicktally.functions.events import with_event_date
-from clicktally.operators.first_n import first_n
+from clicktally.operators.first_n import nth_smallest
 from clicktally.plans.direct import daily_purchase_revenue, event_distribution, top_brands
 from clicktally.sinks.results import write_result
 
@@ -25,8 +25,8 @@ TIMING_SCHEMA = """
     completed BOOLEAN
 """
 
-# A task on this many cached rows takes about a tenth of a second.
-ROWS_PER_PARTITION = 500_000
+# What a failure says when memory or an executor is gone: heap, container limit, kill, fetch failure.
+OUT_OF_RESOURCES = ("OutOfMemory", "ExecutorLostFailure", "exit code 137", "exit status 137", "Container killed", "FetchFailed")
 
 QUESTIONS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "event_distribution": event_distribution,
@@ -48,31 +48,31 @@ def scalability_run(
     Each sample is the first rows by ``key``, spread over the cluster and held in
     memory before the clock starts.  Times are medians over ``repeats`` runs;
     the smallest sample gets an untimed run first, so that no size pays for
-    warming up.  A size that runs out of memory gets a row with ``completed``
-    false and ends the run.  With ``results_path`` the answers of
-    the largest completed sample are written there.
+    warming up.  Every size has a row: one that a failure of memory or of an
+    executor ends has ``completed`` false, and the larger ones are tried all the
+    same.  With ``results_path`` the answers of the largest completed sample are
+    written there.
     """
     sizes = sorted(sizes)
+    cuts = nth_smallest(events, sizes, key)
     narrow = with_event_date(events).select(key, "event_type", "event_date", "brand", "price")
-    # Smaller samples are cut from the largest one, not from the whole table.
-    pool = first_n(narrow, sizes[-1], key)
     timings = []
     for size in sizes:
         try:
-            warm_up = not timings
-            timings.append(_time_sample(pool, size, key, repeats, warm_up, results_path))
+            warm_up = not any(done for *_, done in timings)
+            pool = narrow if cuts[size] is None else narrow.filter(F.col(key) <= F.lit(cuts[size]))
+            timings.append(_time_sample(pool, key, repeats, warm_up, results_path))
         except Exception as error:
-            if "OutOfMemory" not in str(error):
+            if not any(sign in str(error) for sign in OUT_OF_RESOURCES):
                 raise
             timings.append((size, None, None, None, None, None, False))
-            break
     return events.sparkSession.createDataFrame(timings, TIMING_SCHEMA)
 
 
 def _time_sample(
-    pool: DataFrame, size: int, key: str, repeats: int, warm_up: bool, results_path: str | None
+    pool: DataFrame, key: str, repeats: int, warm_up: bool, results_path: str | None
 ) -> tuple:
-    sample, rows, load_time = load_sample(pool, size, key)
+    sample, rows, load_time = load_sample(pool, key)
     try:
         if warm_up:
             for question in QUESTIONS.values():
@@ -82,24 +82,19 @@ def _time_sample(
         ]
         if results_path:
             for name, question in QUESTIONS.items():
-                write_result(question(sample), results_path, name)
+                write_result(question(sample), results_path, name, single_file=True)
     finally:
         sample.unpersist()
     return (rows, load_time, *seconds, sum(seconds), True)
 
 
-def load_sample(pool: DataFrame, size: int, key: str) -> tuple[DataFrame, int, float]:
+def load_sample(pool: DataFrame, key: str) -> tuple[DataFrame, int, float]:
     """A cached sample, its row count and the seconds it took to fill the cache."""
     started = time.perf_counter()
     # The first rows sit in few file splits; hashing the unique key spreads them
-    # evenly.  The number is explicit because a cached shuffle is not merged.
-    partitions = -(-size // ROWS_PER_PARTITION) or 1
-    sample = (
-        first_n(pool, size, key)
-        .repartition(partitions, key)
-        .drop(key)
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    # over all cores.  The number is explicit because a cached shuffle is not merged.
+    partitions = pool.sparkSession.sparkContext.defaultParallelism
+    sample = pool.repartition(partitions, key).drop(key).persist(StorageLevel.MEMORY_AND_DISK)
     rows = sample.count()
     return sample, rows, time.perf_counter() - started
 
@@ -113,18 +108,17 @@ def _run(question: Callable[[DataFrame], DataFrame], sample: DataFrame) -> float
 
 def scalability_rows(events: DataFrame, sizes: Sequence[int], *, key: str) -> DataFrame:
     """Requested and actual rows per size: the run without its times."""
-    narrow = events.select(key)
-    pool = first_n(narrow, max(sizes), key)
-    counted = [
-        first_n(pool, size, key).agg(
-            F.lit(size).cast("bigint").alias("requested_rows"), F.count(F.lit(1)).alias("rows")
-        )
-        for size in sorted(sizes)
+    cuts = nth_smallest(events, sizes, key)
+    inside = [
+        F.count_if(F.lit(True) if cuts[size] is None else F.col(key) <= F.lit(cuts[size])).alias(f"n{i}")
+        for i, size in enumerate(sorted(sizes))
     ]
-    table = counted[0]
-    for row in counted[1:]:
-        table = table.unionAll(row)
-    return table.withColumn("completed", F.lit(True))
+    counted = events.select(key).agg(*inside)
+    rows = F.array(
+        *(F.struct(F.lit(size).cast("bigint").alias("requested_rows"), F.col(f"n{i}").alias("rows"))
+          for i, size in enumerate(sorted(sizes)))
+    )
+    return counted.select(F.inline(rows)).withColumn("completed", F.lit(True))
 
 
 def completed_runs(timings: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ def read_events_csv(
     ``paths`` may be one path or several, may hold globs and may point to any
     file system Spark knows.  ``recursive`` searches all folders below and
     ``file_name`` keeps only files whose name matches that glob; a recursive
-    search that finds no event raises FileNotFoundError.
+    search that finds no file raises FileNotFoundError.
 
     A header that does not match the schema fails the read instead of loading
     columns into each other's place.  A field that does not parse becomes NULL;
@@ -40,8 +40,8 @@ def read_events_csv(
         reader = reader.option("pathGlobFilter", file_name)
 
     events = reader.schema(schema).csv(paths if isinstance(paths, str) else list(paths))
-    if recursive and events.isEmpty():
-        raise FileNotFoundError(f"no events below {paths} in files named {file_name or '*'}")
+    if recursive and not events.inputFiles():
+        raise FileNotFoundError(f"no files named {file_name or '*'} below {paths}")
     return events
 
 

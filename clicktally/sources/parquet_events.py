@@ -4,14 +4,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicktally.functions.events import with_event_date
-from clicktally.operators.checks import require_columns
+from clicktally.operators.checks import conform
 
 ROW_ID = "row_id"
 
 
 def read_events_parquet(spark: SparkSession, *paths: str) -> DataFrame:
-    """Read event tables by column name; raises ValueError if a column is absent."""
-    return require_columns(spark.read.parquet(*paths))
+    """Read event tables by column name, in the types of the schema; raises ValueError if a column is
+    absent or of a type that can't be converted."""
+    return conform(spark.read.parquet(*paths))
 
 
 def stage_events(events: DataFrame, path: str) -> DataFrame:

@@ -18,3 +18,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="clicktally-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def replace_folder(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put the complete folder ``fresh`` in the place of ``path``, on whatever file system they are."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    fresh, path = hadoop.Path(fresh), hadoop.Path(path)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(path, True)
+    if not files.rename(fresh, path):
+        raise OSError(f"{fresh} could not be renamed to {path}")

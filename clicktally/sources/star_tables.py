@@ -17,7 +17,7 @@ _DAMAGE = {
     "event_time": (31, {0: "'2024-02-30 00:00:00 UTC'", 1: "'garbage'"}),
     "event_type": (29, {0: "NULL"}),
     "brand": (20, {0: "NULL", 1: "''", 2: "'   '"}),
-    "price": (23, {0: "NULL", 1: "0D", 2: "-price", 3: "double('NaN')"}),
+    "price": (23, {0: "NULL", 1: "0D", 2: "-price", 3: "double('NaN')", 4: "price + 0.005D"}),
 }
 
 
@@ -29,7 +29,7 @@ def read_star_events(spark: SparkSession, folder: str) -> DataFrame:
         "event_id",
         "substring(string(ts), 1, 19) || ' UTC' AS event_time",
         "event_type",
-        "bigint(get_json_object(props, '$.k')) AS product_id",
+        "try_cast(get_json_object(props, '$.k') AS BIGINT) AS product_id",
         "value AS price",
         "user_id",
         "user_id || '-' || substring(string(ts), 1, 10) AS user_session",

@@ -5,7 +5,7 @@ clean AS (
   SELECT e.event_id,
          strftime(e.ts, '%Y-%m-%d %H:%M:%S') || ' UTC' AS event_time,
          e.event_type,
-         CAST(json_extract_string(e.props, '$.k') AS BIGINT) AS product_id,
+         TRY_CAST(json_extract_string(e.props, '$.k') AS BIGINT) AS product_id,
          CAST(p.p_size AS BIGINT) AS category_id,
          lower(p.p_type) AS category_code,
          lower(p.p_brand) AS brand,
@@ -13,7 +13,7 @@ clean AS (
          e.user_id,
          CAST(e.user_id AS VARCHAR) || '-' || strftime(e.ts, '%Y-%m-%d') AS user_session
   FROM events e
-  LEFT JOIN part p ON CAST(json_extract_string(e.props, '$.k') AS BIGINT) = p.p_partkey
+  LEFT JOIN part p ON TRY_CAST(json_extract_string(e.props, '$.k') AS BIGINT) = p.p_partkey
 )"""
 
 _DIRTY = (
@@ -28,7 +28,7 @@ dirty AS (
          CASE event_id % 20 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '   '
               ELSE brand END AS brand,
          CASE event_id % 23 WHEN 0 THEN NULL WHEN 1 THEN CAST(0 AS DOUBLE) WHEN 2 THEN -price
-              WHEN 3 THEN CAST('NaN' AS DOUBLE) ELSE price END AS price,
+              WHEN 3 THEN CAST('NaN' AS DOUBLE) WHEN 4 THEN price + CAST(0.005 AS DOUBLE) ELSE price END AS price,
          user_id, user_session
   FROM clean
 )"""
@@ -38,7 +38,23 @@ _DAY = "try_cast(substr(event_time, 1, 10) AS DATE)"
 _VALID = "CASE WHEN price > 0 AND NOT isnan(price) THEN price END"
 _NONBLANK = r"regexp_replace(brand, '^\s+|\s+$', '', 'g') <> ''"
 _HUNDRED = "CAST(100 AS DOUBLE)"
-_CENTS = "CAST(round(price * 100) AS BIGINT)"
+
+
+def _amount(price: str) -> str:
+    """A price with eight places, exactly; NULL and NaN add nothing."""
+    return f"CASE WHEN NOT isnan({price}) THEN CAST({price} AS DECIMAL(26, 8)) END"
+
+
+def _sum(price: str) -> str:
+    """An exact sum, rounded half-up to cents."""
+    return f"CAST(round(sum({_amount(price)}), 2) AS DOUBLE)"
+
+
+def _mean(price: str) -> str:
+    """An exact mean, rounded half-up to cents, by whole numbers of 10^-8."""
+    total, count = f"CAST(sum({_amount(price)}) * 100000000 AS HUGEINT)", f"count({price})"
+    units = f"(2 * abs({total}) + 1000000 * {count}) // nullif(2000000 * {count}, 0)"
+    return f"sign({total}) * {units} / {_HUNDRED}"
 
 
 def _clean(sql: str) -> str:
@@ -59,13 +75,13 @@ FROM {table} GROUP BY event_type"""
 def _daily(table: str) -> str:
     return f"""
 SELECT {_DAY} AS event_date, count(*) AS num_purchases,
-       round(sum(price), 2) AS total_revenue, round(avg(price), 2) AS avg_order_value
+       {_sum("price")} AS total_revenue, {_mean("price")} AS avg_order_value
 FROM {table} WHERE event_type = 'purchase' GROUP BY 1"""
 
 
 def _top_brands(table: str) -> str:
     return f"""
-SELECT brand, round(sum(price), 2) AS estimated_revenue, count(*) AS num_purchases
+SELECT brand, {_sum("price")} AS estimated_revenue, count(*) AS num_purchases
 FROM {table} WHERE event_type = 'purchase' AND brand IS NOT NULL AND brand <> ''
 GROUP BY brand ORDER BY estimated_revenue DESC, brand LIMIT 10"""
 
@@ -73,34 +89,40 @@ GROUP BY brand ORDER BY estimated_revenue DESC, brand LIMIT 10"""
 def _valid_daily() -> str:
     return f"""
 SELECT {_DAY} AS event_date, count(*) AS num_purchase_events,
-       round(sum({_VALID}), 2) AS estimated_revenue,
-       round(avg({_VALID}), 2) AS avg_purchase_event_value
+       {_sum(_VALID)} AS estimated_revenue, {_mean(_VALID)} AS avg_purchase_event_value
 FROM dirty WHERE event_type = 'purchase' AND {_DAY} IS NOT NULL GROUP BY 1"""
 
 
 def _valid_top_brands() -> str:
     return f"""
-SELECT brand, round(sum({_VALID}), 2) AS estimated_revenue, count(*) AS num_purchase_events,
-       round(avg({_VALID}), 2) AS avg_purchase_event_value
+SELECT brand, {_sum(_VALID)} AS estimated_revenue, count(*) AS num_purchase_events,
+       {_mean(_VALID)} AS avg_purchase_event_value
 FROM dirty WHERE event_type = 'purchase' AND {_NONBLANK}
 GROUP BY brand ORDER BY estimated_revenue DESC NULLS LAST, brand LIMIT 10"""
 
 
-def _exact_mean(total: str, count: str) -> str:
-    """Half-up mean of non-negative whole cents, in currency units."""
-    return f"((2 * {total} + {count}) // (2 * {count})) / {_HUNDRED}"
+def _parts(price: str, prefix: str) -> str:
+    whole = f"(abs({price}) < 1e13 AND round({price} * 100) / 100 = {price})"
+    return f"""count({price}) AS {prefix}_priced,
+       CAST(sum(CASE WHEN {whole} THEN CAST(round({price} * 100) AS BIGINT) END) AS DECIMAL(28, 0)) AS {prefix}_cents,
+       CAST(sum(CASE WHEN NOT {whole} AND NOT isnan({price}) THEN CAST({price} AS DECIMAL(26, 8)) END)
+         AS DECIMAL(36, 8)) AS {prefix}_other,
+       CAST(count(*) FILTER (isnan({price})) AS BIGINT) AS {prefix}_nans,
+       CAST(0 AS BIGINT) AS {prefix}_highs, CAST(0 AS BIGINT) AS {prefix}_lows"""
 
 
-_ROLLUP = f"""
+def _rollup(table: str) -> str:
+    return f"""
 SELECT event_type, {_DAY} AS event_date, brand, count(*) AS event_count,
-       count(price) AS priced_events,
-       CAST(coalesce(sum(CASE WHEN NOT isnan(price) THEN {_CENTS} END), 0) AS BIGINT) AS price_cents,
-       sum(CASE WHEN isnan(price) THEN price END) AS other_price,
-       count({_VALID}) AS valid_events,
-       CAST(coalesce(sum(CASE WHEN price > 0 AND NOT isnan(price) THEN {_CENTS} END), 0) AS BIGINT)
-         AS valid_cents,
-       CAST(NULL AS DOUBLE) AS valid_other_price
-FROM {{table}} GROUP BY 1, 2, 3"""
+       {_parts("price", "price")}, {_parts(f"({_VALID})", "valid")}
+FROM {table} GROUP BY 1, 2, 3"""
+
+
+def _price_mix(table: str) -> str:
+    return f"""
+SELECT brand, count(*) AS num_purchases, {_sum("price")} AS estimated_revenue, {_mean("price")} AS avg_selling_price
+FROM {table} WHERE event_type = 'purchase' AND brand IS NOT NULL AND brand <> '' GROUP BY brand"""
+
 
 _CONVERSION = """
 SELECT v AS num_views, p AS num_purchases,
@@ -109,11 +131,18 @@ SELECT v AS num_views, p AS num_purchases,
 FROM (SELECT count(*) FILTER (event_type = 'view') AS v,
              count(*) FILTER (event_type = 'purchase') AS p FROM clean)"""
 
-_MISSING = f"""
-, days AS (SELECT DISTINCT {_DAY} AS d FROM clean WHERE {_DAY} <> DATE '2024-01-15')
-SELECT CAST(day AS DATE) AS event_date
-FROM (SELECT unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS day FROM days)
-WHERE CAST(day AS DATE) NOT IN (SELECT d FROM days)"""
+_COLUMNS = "event_time, event_type, product_id, category_id, category_code, brand, price, user_id, user_session"
+
+
+def _missing(table: str, where: str = "true", by: str | None = None) -> str:
+    """Days between the first and the last of a group that it lacks."""
+    group = by or "1"
+    return f"""
+, days AS (SELECT DISTINCT {group} AS g, {_DAY} AS d FROM {table} WHERE {where} AND {_DAY} IS NOT NULL),
+every AS (SELECT g, CAST(unnest(generate_series(first, last, INTERVAL 1 DAY)) AS DATE) AS d
+          FROM (SELECT g, min(d) AS first, max(d) AS last FROM days GROUP BY g))
+SELECT {f"e.g AS {by}, " if by else ""}e.d AS event_date
+FROM every e WHERE NOT EXISTS (SELECT 1 FROM days x WHERE x.g = e.g AND x.d = e.d)"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -147,41 +176,41 @@ def oracle_sql() -> dict[str, str]:
             f" round(count(*) * {_HUNDRED} / 500, 2) AS pct_of_total"
             " FROM (SELECT * FROM clean ORDER BY event_id LIMIT 500) GROUP BY event_type"
         ),
-        "event_rollup": _clean(_ROLLUP.format(table="clean")),
-        "event_rollup_damaged": _dirty(_ROLLUP.format(table="dirty")),
+        "event_rollup": _clean(_rollup("clean")),
+        "event_rollup_damaged": _dirty(_rollup("dirty")),
         "q1_from_rollup": _clean(_distribution("clean")),
-        "q2_from_rollup": _clean(f"""
-SELECT d AS event_date, n AS num_purchases, c / {_HUNDRED} AS total_revenue,
-       {_exact_mean("c", "n")} AS avg_order_value
-FROM (SELECT {_DAY} AS d, count(*) AS n, CAST(sum({_CENTS}) AS BIGINT) AS c
-      FROM clean WHERE event_type = 'purchase' GROUP BY 1)"""),
+        "q2_from_rollup": _clean(_daily("clean")),
         "q3_from_rollup": _clean(_top_brands("clean")),
-        "valid_daily_from_rollup": _dirty(f"""
-SELECT d AS event_date, n AS num_purchase_events,
-       CASE WHEN v > 0 THEN c / {_HUNDRED} END AS estimated_revenue,
-       {_exact_mean("c", "nullif(v, 0)")} AS avg_purchase_event_value
-FROM (SELECT {_DAY} AS d, count(*) AS n, count({_VALID}) AS v,
-             CAST(sum(CASE WHEN price > 0 AND NOT isnan(price) THEN {_CENTS} END) AS BIGINT) AS c
-      FROM dirty WHERE event_type = 'purchase' AND {_DAY} IS NOT NULL GROUP BY 1)"""),
-        "valid_top10_brands_from_rollup": _dirty(f"""
-SELECT brand, CASE WHEN v > 0 THEN c / {_HUNDRED} END AS estimated_revenue, n AS num_purchase_events,
-       {_exact_mean("c", "nullif(v, 0)")} AS avg_purchase_event_value
-FROM (SELECT brand, count(*) AS n, count({_VALID}) AS v,
-             CAST(sum(CASE WHEN price > 0 AND NOT isnan(price) THEN {_CENTS} END) AS BIGINT) AS c
-      FROM dirty WHERE event_type = 'purchase' AND {_NONBLANK} GROUP BY brand)
-ORDER BY estimated_revenue DESC NULLS LAST, brand LIMIT 10"""),
+        "valid_daily_from_rollup": _dirty(_valid_daily()),
+        "valid_top10_brands_from_rollup": _dirty(_valid_top_brands()),
+        "daily_purchase_revenue_damaged": _dirty(_daily("(SELECT * FROM dirty WHERE isnan(price) IS NOT TRUE)")),
         "conversion_rate_from_rollup": _clean(_CONVERSION),
-        "csv_round_trip": _clean(_distribution("clean")),
+        "csv_round_trip": _clean(f"SELECT {_COLUMNS} FROM clean"),
+        # An empty brand field reads as NULL.
+        "csv_round_trip_damaged": _dirty(f"SELECT * REPLACE (nullif(brand, '') AS brand) FROM (SELECT {_COLUMNS} FROM dirty)"),
+        "csv_rejected_lines": _dirty(
+            "SELECT event_time, user_id, CAST(NULL AS BIGINT) AS product_id, 'x' AS product_text"
+            " FROM dirty WHERE event_id % 37 = 0"
+        ),
+        "stored_rollup": _clean(_rollup("clean")),
         "recursive_csv_events": _clean(
             f"SELECT {_DAY} AS event_date, count(*) AS events, count(brand) AS branded FROM clean GROUP BY 1"
         ),
         "csv_rejected_rows": _dirty(
             "SELECT count(*) AS total_rows, count(*) FILTER (event_id % 37 = 0) AS rejected_rows FROM dirty"
         ),
-        "result_round_trip": _clean(_top_brands("clean")),
+        "result_round_trip": _dirty("""
+SELECT brand, count(*) AS events, max(event_time) AS last_time
+FROM (SELECT event_time, CASE WHEN event_id % 20 = 3 THEN ' ' || brand || ' ' ELSE brand END AS brand FROM dirty)
+GROUP BY brand"""),
         "staged_events": _clean(
-            f"SELECT event_type, {_DAY} AS event_date, brand, price FROM clean"
+            f"SELECT event_type, {_DAY} AS event_date, brand, price,"
+            f" CAST(row_number() OVER (PARTITION BY {_DAY} ORDER BY event_id) AS INTEGER) AS place_in_day FROM clean"
         ),
+        "scalability_run": """
+SELECT least(total * pct // 100, total) AS rows, true AS completed, true AS timed
+FROM (SELECT count(*) AS total FROM events), (SELECT unnest([1, 10, 50, 100, 200]) AS pct)""",
+        "largest_sample": _clean(_daily("(SELECT * FROM clean ORDER BY event_id LIMIT (SELECT count(*) // 2 FROM events))")),
         "scalability_rows": """
 SELECT requested_rows, least(requested_rows, total) AS rows, true AS completed
 FROM (SELECT count(*) AS total FROM events),
@@ -189,7 +218,10 @@ FROM (SELECT count(*) AS total FROM events),
      LATERAL (SELECT total * pct // 100 AS requested_rows)""",
         "largest_completed": "SELECT count(*) AS largest_rows FROM events",
         "conversion_rate": _clean(_CONVERSION),
-        "missing_days": f"WITH {_CLEAN}{_MISSING}",
+        "missing_days": _clean(_missing("clean")),
+        "missing_days_by_brand": _clean(
+            _missing("clean", "event_type = 'purchase' AND brand IS NOT NULL AND brand <> ''", "brand")
+        ),
         "daily_spikes": _clean(f"""
 , daily AS ({_daily("clean")}),
 rated AS (SELECT event_date, num_purchases, total_revenue,
@@ -204,13 +236,6 @@ long AS (SELECT 'num_purchases' AS measure, CAST(num_purchases AS DOUBLE) AS v F
 SELECT measure, round(quantile_cont(v, 0.25), 4) AS low, round(quantile_cont(v, 0.5), 4) AS middle,
        round(quantile_cont(v, 0.75), 4) AS high
 FROM long GROUP BY measure"""),
-        "brand_price_mix": _clean("""
-SELECT brand, count(*) AS num_purchases, round(sum(price), 2) AS estimated_revenue,
-       round(avg(price), 2) AS avg_selling_price
-FROM clean WHERE event_type = 'purchase' AND brand IS NOT NULL AND brand <> '' GROUP BY brand"""),
-        "brand_price_mix_from_rollup": _clean(f"""
-SELECT brand, n AS num_purchases, c / {_HUNDRED} AS estimated_revenue,
-       {_exact_mean("c", "n")} AS avg_selling_price
-FROM (SELECT brand, count(*) AS n, CAST(sum({_CENTS}) AS BIGINT) AS c FROM clean
-      WHERE event_type = 'purchase' AND brand IS NOT NULL AND brand <> '' GROUP BY brand)"""),
+        "brand_price_mix": _clean(_price_mix("clean")),
+        "brand_price_mix_from_rollup": _clean(_price_mix("clean")),
     }

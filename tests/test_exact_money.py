@@ -1,4 +1,4 @@
-"""Rollup sums and means against decimal arithmetic in Python."""
+"""Sums and means against decimal arithmetic in Python."""
 
 from collections import defaultdict
 from decimal import ROUND_HALF_UP, Decimal
@@ -54,3 +54,38 @@ def test_a_double_sum_would_drift(spark):
     )
     assert price_mix(ct.event_rollup(events)) == {"a": (n, n / 10, 0.1)}
     assert events.selectExpr("sum(price) AS s").first()["s"] != n / 10
+
+
+def totals(spark, prices, ansi="true"):
+    previous = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        events = spark.createDataFrame(
+            [("2019-11-01 x", "purchase", "a", p) for p in prices],
+            "event_time string, event_type string, brand string, price double",
+        ).repartition(3)
+        direct = ct.brand_price_mix(events).first()
+        assert repr(direct) == repr(ct.brand_price_mix_from_rollup(ct.event_rollup(events)).first())
+        return direct["estimated_revenue"], direct["avg_selling_price"]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", previous)
+
+
+def test_very_large_prices_do_not_overflow(spark):
+    for ansi in ("true", "false"):
+        assert totals(spark, [9e12] * 20_000, ansi) == (1.8e17, 9e12)
+
+
+def test_fractions_of_a_cent_are_exact(spark):
+    assert totals(spark, [0.001] * 5 + [10.0]) == (10.01, 1.67)
+    assert totals(spark, [82.915]) == (82.92, 82.92)
+
+
+def test_what_is_no_amount(spark):
+    inf = float("inf")
+    assert totals(spark, [1.0, inf]) == (inf, inf)
+    assert totals(spark, [1.0, -inf]) == (-inf, -inf)
+    assert totals(spark, [1e300, 2.0]) == (inf, inf)
+    assert repr(totals(spark, [inf, -inf])) == "(nan, nan)"
+    assert repr(totals(spark, [float("nan"), 1.0])) == "(nan, nan)"
+    assert totals(spark, [None]) == (None, None)

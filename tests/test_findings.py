@@ -24,6 +24,15 @@ def test_no_missing_days(spark):
     assert days(ct.missing_days(events_on(spark, ["garbage"]))) == []
 
 
+def test_missing_days_of_each_group(spark):
+    events = spark.createDataFrame(
+        [("2024-01-01 x", "a"), ("2024-01-03 x", "a"), ("2024-01-09 x", "b"), ("2024-01-11 x", None), ("2024-01-13 x", None)],
+        "event_time string, brand string",
+    )
+    found = ct.missing_days(events, "brand").collect()
+    assert [(row["brand"], row["event_date"].isoformat()) for row in found] == [(None, "2024-01-12"), ("a", "2024-01-02")]
+
+
 def daily(spark, revenues):
     start = datetime.date(2019, 11, 1)
     rows = [(start + datetime.timedelta(days=i), 10 + i, r, 5.0) for i, r in enumerate(revenues)]

@@ -44,19 +44,26 @@ def test_run_times_every_size_and_keeps_the_largest_answers(spark, events, tmp_p
     assert written.collect() == expected.collect()
 
 
-def test_run_out_of_memory_ends_the_run(events, monkeypatch):
+@pytest.mark.parametrize("message", ["java.lang.OutOfMemoryError: Java heap space", "ExecutorLostFailure (exit code 137)"])
+def test_a_size_that_fails_has_a_row_and_the_others_go_on(events, monkeypatch, message):
     original = plan.load_sample
 
-    def fails_above_100(pool, size, key):
-        if size > 100:
-            raise RuntimeError("java.lang.OutOfMemoryError: Java heap space")
-        return original(pool, size, key)
+    def fails_for_1000(pool, key):
+        if pool.count() == 1000:
+            raise RuntimeError(message)
+        return original(pool, key)
 
-    monkeypatch.setattr(plan, "load_sample", fails_above_100)
+    monkeypatch.setattr(plan, "load_sample", fails_for_1000)
     timings = ct.scalability_run(events, [100, 1000, 2000], key="event_id", repeats=1)
-    assert [(row["rows"], row["completed"]) for row in timings.collect()] == [(100, True), (1000, False)]
-    assert ct.completed_runs(timings).count() == 1
-    assert ct.largest_completed(timings).first()["largest_rows"] == 100
+    assert [(row["rows"], row["completed"]) for row in timings.collect()] == [(100, True), (1000, False), (2000, True)]
+    assert ct.completed_runs(timings).count() == 2
+    assert ct.largest_completed(timings).first()["largest_rows"] == 2000
+
+
+def test_samples_use_all_cores(spark, events):
+    sample, rows, _ = plan.load_sample(events, "event_id")
+    assert (sample.rdd.getNumPartitions(), rows) == (spark.sparkContext.defaultParallelism, 2000)
+    sample.unpersist()
 
 
 def test_other_errors_are_not_swallowed(events, monkeypatch):
@@ -79,7 +86,7 @@ def test_report_job(spark, tmp_path, capsys):
     names = [
         "event_distribution", "daily_purchase_revenue", "top10_brands",
         "daily_purchase_revenue_valid", "top10_brands_valid", "conversion_rate", "missing_days",
-        "missing_purchase_days", "daily_spikes", "typical_day", "brand_price_mix",
+        "missing_purchase_days", "daily_spikes", "typical_day", "brand_price_mix", "total_events", "stage_seconds",
     ]
     for name in names:
         assert len(parts(f"{out}/{name}")) == 1, name
@@ -102,7 +109,7 @@ def test_scalability_job(spark, tmp_path):
     assert len(parts(f"{tmp_path}/out/largest_sample/top10_brands")) == 1
 
     staged = f"{tmp_path}/out/staged"
-    scalability.run(spark, [staged, f"{tmp_path}/again", "--key", "row_id", "--sizes", "7", "--repeats", "1"])
+    scalability.run(spark, [staged, f"{tmp_path}/again", "--format", "parquet", "--key", "row_id", "--sizes", "7", "--repeats", "1"])
     again = spark.read.csv(f"{tmp_path}/again/timings", header=True, inferSchema=True).collect()
     assert [row["rows"] for row in again] == [7]
 
@@ -117,3 +124,10 @@ def test_job_session_keeps_settings_the_caller_chose(spark):
     finally:
         spark.conf.unset(partitions)
         spark.conf.unset(splits)
+
+
+def test_options_that_would_do_nothing_are_rejected(spark, tmp_path):
+    with pytest.raises(ValueError, match="CSV"):
+        report.run(spark, [str(tmp_path), f"{tmp_path}/out", "--format", "parquet", "--recursive"])
+    with pytest.raises(ValueError, match="--key"):
+        scalability.run(spark, [str(tmp_path), f"{tmp_path}/out", "--key", "row_id"])

@@ -98,7 +98,7 @@ def test_staged_rows_follow_the_file(spark, tmp_path):
 
 def test_result_is_one_file_and_reads_back(spark, tmp_path):
     result = spark.range(1000).select("id", (F.col("id") / 8).alias("x")).repartition(7).orderBy("id")
-    path = ct.write_result(result, str(tmp_path), "numbers")
+    path = ct.write_result(result, str(tmp_path), "numbers", single_file=True)
     assert len(glob.glob(f"{path}/part-*.csv")) == 1
     back = ct.read_result(spark, path, result.schema)
     assert back.collect() == result.collect()
@@ -108,7 +108,7 @@ def test_result_is_one_file_and_reads_back(spark, tmp_path):
 
 def test_result_of_unbounded_size_keeps_its_partitions(spark, tmp_path):
     result = spark.range(0, 1000, numPartitions=4)
-    path = ct.write_result(result, str(tmp_path), "many", single_file=False)
+    path = ct.write_result(result, str(tmp_path), "many")
     assert len(glob.glob(f"{path}/part-*.csv")) == 4
     assert ct.read_result(spark, path, result.schema).count() == 1000
 
@@ -126,12 +126,12 @@ def test_writing_with_preview_runs_the_query_once(spark, tmp_path):
         yield from batches
 
     result = spark.range(0, 3, numPartitions=1).mapInPandas(counted, "id bigint")
-    ct.write_result(result, str(tmp_path), "once", preview_rows=3)
+    ct.write_result(result, str(tmp_path), "once", preview_rows=3, single_file=True)
     assert runs.value == 1
 
 
 def test_dates_are_written_as_iso_text(spark, tmp_path):
-    path = ct.write_result(spark.sql("SELECT DATE '2019-11-01' AS event_date"), str(tmp_path), "day")
+    path = ct.write_result(spark.sql("SELECT DATE '2019-11-01' AS event_date"), str(tmp_path), "day", single_file=True)
     (part,) = glob.glob(f"{path}/part-*.csv")
     assert open(part).read().split() == ["event_date", "2019-11-01"]
 
@@ -153,3 +153,57 @@ class ClusterSession:
 def test_no_machine_local_scratch_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(ClusterSession, "x")
+
+
+def test_texts_come_back_as_they_were(spark, tmp_path):
+    texts = ["   ", " lg ", "lg", "", None, 'a "b" c', "a,b", "two\nlines", '"', "\\N", "\\", "NULL"]
+    result = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, brand string")
+    path = ct.write_result(result, str(tmp_path), "texts")
+    back = ct.read_result(spark, path, result.schema)
+    assert [row["brand"] for row in back.orderBy("n").collect()] == texts
+
+
+def test_search_finds_files_without_events(spark, tmp_path):
+    write_edge_file(tmp_path, "a/2019-Nov.csv", text=f"{HEADER}\n")
+    found = ct.read_events_csv(spark, str(tmp_path), recursive=True, file_name="2019-Nov.csv")
+    assert found.count() == 0
+
+
+def test_timestamps_give_the_same_day_in_any_zone(spark, tmp_path):
+    events = ct.read_events_csv(spark, write_edge_file(tmp_path)).filter("event_type = 'purchase'")
+    previous = spark.conf.get("spark.sql.session.timeZone")
+    events.withColumn("event_time", F.expr("timestamp '2019-11-01 23:30:00 UTC'")).write.parquet(f"{tmp_path}/zoned")
+    try:
+        for zone in ("UTC", "Asia/Tokyo", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            daily = ct.daily_purchase_revenue(ct.read_events_parquet(spark, f"{tmp_path}/zoned"))
+            assert [str(row["event_date"]) for row in daily.collect()] == ["2019-11-01"], zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", previous)
+
+
+def test_parquet_types_are_converted_or_rejected(spark, tmp_path):
+    events = ct.read_events_csv(spark, write_edge_file(tmp_path))
+    events.withColumn("price", F.col("price").cast("float")).withColumn("user_id", F.col("user_id").cast("int")).write.parquet(
+        f"{tmp_path}/narrow"
+    )
+    assert dict(ct.read_events_parquet(spark, f"{tmp_path}/narrow").dtypes)["price"] == "double"
+    events.withColumn("price", F.array("price")).write.parquet(f"{tmp_path}/unfit")
+    with pytest.raises(ValueError, match="price .array"):
+        ct.read_events_parquet(spark, f"{tmp_path}/unfit")
+
+
+def test_an_event_date_that_is_no_date_is_derived_anew(spark):
+    events = spark.createDataFrame([("2019-11-01 x", "whatever")], "event_time string, event_date string")
+    assert str(ct.missing_days(events).schema["event_date"].dataType) == "DateType()"
+
+
+def test_a_failed_rollup_leaves_the_old_one(spark, tmp_path):
+    from clicktally.plans.rollup import write_rollup
+
+    path = f"{tmp_path}/rollup"
+    events = ct.read_events_csv(spark, write_edge_file(tmp_path))
+    before = write_rollup(events, path).count()
+    with pytest.raises(Exception, match="lost"):
+        write_rollup(events.withColumn("price", F.raise_error(F.lit("lost")).cast("double")), path)
+    assert spark.read.parquet(path).count() == before
