@@ -1,0 +1,108 @@
+"""Operators on vectors against comparing all with all."""
+
+import numpy as np
+import plainly
+import pytest
+from clicktally.llm import near_vectors
+from clicktally.llm.components import components
+from clicktally.llm.forest import nearest
+from pyspark.sql import functions as F
+
+SCHEMA = "vec_id long, embedding array<float>, n long"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, v, 7) for i, v in rows], SCHEMA)
+
+
+def cloud(n, groups, seed=0, size=16):
+    """Random vectors with tight groups, pairs at about the threshold, and exact copies."""
+    rng = np.random.default_rng(seed)
+    base = rng.standard_normal((n, size))
+    for g in range(groups):
+        at = 20 * g
+        base[at : at + 12] = base[at] + rng.standard_normal((12, size)) * 0.33
+        base[at + 12 : at + 16] = base[at]
+    return [(i, v.astype(np.float32).tolist()) for i, v in enumerate(base)]
+
+
+def cosines(rows):
+    units = np.array([v for _, v in rows], dtype=np.float32).astype(np.float64)
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    return units @ units.T
+
+
+ODD = [(1100, None), (1101, []), (1102, [0.0] * 16), (1103, [float("nan")] + [1.0] * 15), (1104, [float("inf")] + [1.0] * 15),
+       (1105, [None] + [1.0] * 15), (None, [1.0] * 16), (1106, [1.0] * 3), (1107, [2.0] * 3)]
+
+
+@pytest.mark.parametrize("block", [1024, 3])
+def test_near_vectors_against_all_pairs(spark, monkeypatch, block):
+    original = near_vectors.block_pairs
+    monkeypatch.setattr(near_vectors, "block_pairs", lambda *a, **k: original(*a, **(k | {"block_rows": block})))
+    rows = cloud(300, 10)
+    near = cosines(rows) >= 0.9
+    np.fill_diagonal(near, False)
+    wanted = plainly.components(range(300), zip(*np.nonzero(near), strict=True))
+    found = {r.vec_id: r for r in near_vectors.near_vectors(table(spark, rows + ODD)).collect()}
+    links = sum(found[i].n_links for i in range(300))
+    assert links >= 0.99 * near.sum() and links <= near.sum()
+    assert sum(found[i].component_id != wanted[i] for i in range(300)) <= 3
+    for i in (1100, 1101, 1102, 1103, 1104, 1105):
+        assert (found[i].n_links, found[i].component_id, found[i].kept) == (0, i, True)
+    assert (found[None].n_links, found[None].kept) == (0, True)
+    assert (found[1107].n_links, found[1107].component_id) == (1, 1106)
+
+
+def test_pairs_at_the_threshold_are_found(spark):
+    """Two hundred pairs at a cosine of 0.9 and a little, in as many directions."""
+    rng = np.random.default_rng(1)
+    a = rng.standard_normal((200, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.standard_normal((200, 64))
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    b = 0.9005 * a + np.sqrt(1 - 0.9005**2) * b
+    rows = [(2 * i + k, v.tolist()) for i in range(200) for k, v in enumerate((a[i], b[i]))]
+    found = near_vectors.near_vectors(table(spark, rows)).filter("n_links = 1").count()
+    assert found >= 398
+
+
+def test_work_for_many_vectors_grows_with_tables():
+    small, large = (near_vectors.plan(n, 64, 0.9) for n in (10_000, 1_000_000))
+    assert large["combined"] > small["combined"] and large["tables"] > small["tables"]
+
+
+def test_no_vectors(spark):
+    assert near_vectors.near_vectors(table(spark, [])).count() == 0
+    assert nearest(table(spark, []), F.lit(True)).count() == 0
+    assert nearest(table(spark, ODD[:6]), F.lit(True)).count() == 0
+
+
+def test_nearest_against_all(spark):
+    rows = cloud(600, 10)
+    near = cosines(rows)
+    np.fill_diagonal(near, -2)
+    found = {}
+    for r in nearest(table(spark, rows + ODD[:6]), F.col("vec_id") % 10 == 0).collect():
+        found.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
+    hits = 0
+    for q in range(0, 600, 10):
+        own = [found[q][k] for k in range(1, 6)]
+        assert [score for _, score in own] == pytest.approx([near[q, i] for i, _ in own], abs=1e-12)
+        assert own == sorted(own, key=lambda x: (-x[1], x[0]))
+        hits += len({i for i, _ in own} & set(np.argsort(-near[q])[:5].tolist()))
+    assert hits >= 0.9 * 5 * 60
+
+
+def test_fewer_candidates_than_asked(spark):
+    found = nearest(table(spark, [(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 1.0])]), F.col("vec_id") == 1).collect()
+    assert [(r.rank, r.vec_id) for r in sorted(found, key=lambda r: r.rank)] == [(1, 3), (2, 2)]
+
+
+def test_components_of_chains_and_hubs(spark):
+    links = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 200)] + [(300, 300), (400, None)]
+    found = components(spark.createDataFrame(links, "a long, b long"))
+    got = {r.node: r.component_id for r in found.collect()}
+    assert got == {**{i: 0 for i in range(1, 61)}, **{i: 100 for i in range(101, 200)}}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
