@@ -31,7 +31,7 @@ from clicktally.sources.star_tables import damaged, read_clickstream, read_star_
 
 try:
     from clicktally.llm import queries as corpus_queries
-except ModuleNotFoundError as missing:
+except ImportError as missing:
     if not (missing.name or "").startswith("clicktally.llm"):
         raise
     corpus_queries = None

@@ -1,5 +1,7 @@
 """Where a job may keep tables between two steps."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -10,13 +12,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below ``spark.checkpoint.dir``, the folder all executors share.
 
     Only a local session without that setting falls back to a temporary
-    folder; on a cluster the other machines could not see it.
+    folder, which goes when the process ends; on a cluster the other machines
+    could not see it.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="clicktally-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
