@@ -5,6 +5,7 @@ of twice as many shingles, each starting half-way through the one before, so
 that the notice lies whole in one window.  Windows and templates that share one
 of ``hashes`` MinHash values of their shingles meet, and the match is then
 verified exactly: the share of the template's shingles that the window has.
+A notice of fewer words than a shingle is one shorter shingle: all its words.
 
 A window that holds the whole notice has a similarity of at least 0.5 with its
 template, and one that holds 0.8 of it at least 0.36.  With bands of one value
@@ -57,6 +58,7 @@ NOTICES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
         "was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
     ),
+    "All-rights-reserved": "All rights reserved.",
     "MIT-grant": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         'documentation files (the "Software"), to deal in the Software without restriction, including without '
@@ -67,9 +69,9 @@ NOTICES = {
 
 
 def _words(text: Column) -> Column:
-    """Words of letters, digits, dots and dashes, A-Z lower-cased; a dot or comma at the end is cut off."""
+    """Words between white space, punctuation and comment signs, A-Z lower-cased; signs alone are no word."""
     low = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.filter(F.split(low, r"[\x20\x09-\x0D\".,:;()!?]+"), lambda w: w != "")
+    return F.filter(F.split(low, r"(?:[\x20\x09-\x0D\".,:;()!?*#%]|//+|--+)+"), lambda w: w.rlike(r"[\p{L}\p{N}]"))
 
 
 def _shingles(words: Column, size: int) -> Column:
@@ -91,31 +93,39 @@ def _signature(shingles: Column, hashes: int) -> Column:
     return F.array(*(F.xxhash64(F.lit(k), _least(shingles, k)) for k in range(hashes)))
 
 
-def _meeting_windows(shingles: Column, span: int, keys: list[int], hashes: int) -> Column:
-    """The windows for templates of ``span`` shingles that share a band with one of them."""
-    starts = F.sequence(F.lit(0), F.floor((F.size(shingles) - 1) / span).cast("int"))
+def _meeting_windows(shingles: Column, width: int, span: int, keys: list[int], hashes: int) -> Column:
+    """The windows for templates of ``span`` shingles of ``width`` words that share a band with one of them."""
+    starts = F.when(
+        F.size(shingles) > 0, F.sequence(F.lit(0), F.floor((F.size(shingles) - 1) / span).cast("int"))
+    ).otherwise(F.array().cast("array<int>"))
     windows = F.transform(
         starts,
         lambda w: F.struct(
-            F.lit(span).alias("span"), (w * span).alias("first"), F.slice(shingles, w * span + 1, F.lit(2 * span)).alias("have")
+            F.lit(width).alias("width"), F.lit(span).alias("span"), (w * span).alias("first"),
+            F.slice(shingles, w * span + 1, F.lit(2 * span)).alias("have"),
         ),
     )
     signed = F.transform(
         windows,
-        lambda w: F.struct(w["span"].alias("span"), w["first"].alias("first"), w["have"].alias("have"),
-                           _signature(w["have"], hashes).alias("keys")),
+        lambda w: F.struct(w["width"].alias("width"), w["span"].alias("span"), w["first"].alias("first"),
+                           w["have"].alias("have"), _signature(w["have"], hashes).alias("keys")),
     )
     return F.filter(signed, lambda w: F.arrays_overlap(w["keys"], _numbers(keys)))
 
 
 def notices(spark: SparkSession, texts: dict[str, str] | None = None, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """``licence``, ``shingles`` of the templates; those with fewer words than a shingle are left out."""
+    """``licence``, ``width`` (words of a shingle), ``shingles`` of the templates; those without words are left out."""
     texts = NOTICES if texts is None else texts
     if sum(len(t.split()) for t in texts.values()) > MAX_TEMPLATE_WORDS:
         raise ValueError(f"templates of more than {MAX_TEMPLATE_WORDS} words")
     rows = spark.createDataFrame(sorted(texts.items()), "licence string, notice string")
-    words = rows.select("licence", _words(F.col("notice")).alias("words"))
-    return words.select("licence", _shingles(F.col("words"), shingle_words).alias("shingles")).filter(F.size("shingles") > 0)
+    words = rows.select("licence", _words(F.col("notice")).alias("words")).filter(F.size("words") > 0)
+    whole = F.array(F.xxhash64("words"))
+    return words.select(
+        "licence",
+        F.least(F.size("words"), F.lit(shingle_words)).alias("width"),
+        F.when(F.size("words") < shingle_words, whole).otherwise(_shingles(F.col("words"), shingle_words)).alias("shingles"),
+    )
 
 
 def _numbers(values: list[int]) -> Column:
@@ -135,33 +145,37 @@ def licence_matches(
     match) and ``containment`` (the best of them): one row per row of ``docs`` and template found in it."""
     templates = notices(docs.sparkSession, None, shingle_words) if templates is None else templates
     sought = templates.select(
-        "licence", F.array_distinct("shingles").alias("wanted"), F.size("shingles").alias("span"),
+        "licence", "width", F.array_distinct("shingles").alias("wanted"), F.size("shingles").alias("span"),
         _signature(F.col("shingles"), hashes).alias("keys"),
     )
     known = sought.collect()  # bounded by MAX_TEMPLATE_WORDS
     any_shingle = sorted({s for row in known for s in row["wanted"]})
+    widths = sorted({row["width"] for row in known}) or [shingle_words]
     # Bound as the argument of a lambda, the words are made once for a text, not once for each shingle.
-    shingles = F.transform(F.array(_words(F.col(text_col))), lambda words: _shingles(words, shingle_words))[0]
+    shingles = F.transform(
+        F.array(_words(F.col(text_col))), lambda words: F.array(*(_shingles(words, width) for width in widths))
+    )[0]
     shingled = docs.select(F.col(id_col).alias("doc_id"), shingles.alias("shingles"))
     touched = written(
-        shingled.filter(F.arrays_overlap("shingles", _numbers(any_shingle))).withColumn(
+        shingled.filter(F.arrays_overlap(F.flatten("shingles"), _numbers(any_shingle))).withColumn(
             "row_no", F.monotonically_increasing_id()
         ),
         "texts-with-template-shingles",
     )
     meeting = [
         _meeting_windows(
-            F.col("shingles"), span, sorted({k for row in known if row["span"] == span for k in row["keys"]}), hashes
+            F.col("shingles")[widths.index(width)], width, span,
+            sorted({k for row in known if (row["width"], row["span"]) == (width, span) for k in row["keys"]}), hashes,
         )
-        for span in sorted({row["span"] for row in known})
+        for width, span in sorted({(row["width"], row["span"]) for row in known})
     ]
     if not meeting:
-        meeting = [F.array().cast("array<struct<span:int,first:int,have:array<bigint>,keys:array<bigint>>>")]
+        meeting = [F.array().cast("array<struct<width:int,span:int,first:int,have:array<bigint>,keys:array<bigint>>>")]
     met = (
         touched.select("row_no", "doc_id", F.explode(F.concat(*meeting)).alias("window"))
         .select("row_no", "doc_id", "window.*")
         .withColumnRenamed("keys", "window_keys")
-        .join(F.broadcast(sought), "span")
+        .join(F.broadcast(sought), ["width", "span"])
         .filter(F.arrays_overlap("window_keys", "keys"))
     )
     share = F.size(F.array_intersect("wanted", "have")) / F.size("wanted")

@@ -13,8 +13,10 @@ from clicktally.llm import byte_pairs, licences, near_duplicates, passages
 from clicktally.llm.languages import with_languages
 from clicktally.llm.line_runs import LineRuns, line_hashes, without_repeated_lines
 from clicktally.llm.mixing import mixed, source_rates
+from clicktally.llm.oracles import licence_scan
 from clicktally.llm.quality import learn_quality, quality_udf
 from clicktally.llm.tables import is_held_out
+from compare import connect
 from pyspark.sql import functions as F
 
 RANKS = byte_pairs.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -165,6 +167,43 @@ def test_licences_in_long_and_short_texts(documents):
     assert licences.licence_matches(documents([])).count() == 0
 
 
+def test_licences_shorter_than_a_shingle(documents):
+    filler = " ".join(f"word{i}" for i in range(500))
+    rows = [(1, f"{filler} All rights reserved. {filler}", "en", "s"), (2, "ALL RIGHTS RESERVED", "en", "s"),
+            (3, "All rights were reserved", "en", "s"), (4, filler, "en", "s"), (5, "All rights", "en", "s"), *ODD]
+    found = licences.licence_matches(documents(rows)).collect()
+    assert sorted((r.doc_id, r.licence, r.first_word) for r in found) == [
+        (1, "All-rights-reserved", 499), (2, "All-rights-reserved", 0)
+    ]
+    assert all(r.containment == 1.0 for r in found)
+
+
+def test_every_short_notice_of_the_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = licences.licence_matches(docs).filter("licence = 'All-rights-reserved'").select("doc_id").collect()
+    wanted = docs.filter("contains(lower(text), 'all rights reserved')").select("doc_id").collect()
+    assert sorted(found) == sorted(wanted) != []
+
+
+@pytest.mark.parametrize("sign", ["# ", " * ", "//", "-- ", "% ", "; ", "> "])
+def test_licence_headers_in_code_comments(documents, sign):
+    own = licences.NOTICES["GPL-3.0-header"].split()
+    header = "\n".join(sign + " ".join(own[at : at + 7]) for at in range(0, len(own), 7))
+    rows = [(1, f"/*\n{header}\n*/\nint main() {{ return 0; }}", "en", "s")]
+    found = licences.licence_matches(documents(rows)).collect()
+    assert [(r.licence, r.containment) for r in found] == [("GPL-3.0-header", 1.0)]
+
+
+def test_longer_licences_against_sql(spark):
+    """The SQL makes no shingle of a notice under five words and counts comment signs as words, so longer
+    notices are compared, without their places."""
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    longer = licences.licence_matches(docs).filter("licence <> 'All-rights-reserved'")
+    wanted = connect(folder).execute(licence_scan(licences.NOTICES)).fetchall()
+    assert sorted((r.doc_id, r.licence) for r in longer.collect()) == sorted(row[:2] for row in wanted)
+
+
 def test_passages_wherever_they_stand(documents):
     rng = random.Random(1)
     fresh = lambda k: " ".join("".join(rng.choices("abcdefghijklmn", k=6)) for _ in range(k))
