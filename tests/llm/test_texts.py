@@ -224,6 +224,52 @@ def test_passages_wherever_they_stand(documents):
         assert r.kept == (r.doc_id < 200)
 
 
+def test_passages_are_covered_whole(documents):
+    """Pasted passages of 23 words and more are found to the word, and so are whole short texts."""
+    rng = random.Random(2)
+    fresh = lambda k: ["".join(rng.choices("abcdefghijklmn", k=6)) for _ in range(k)]
+    rows, planted = [], {}
+    for k, size in enumerate([23, 24, 27, 31, 40, 51, 60, 100] * 3):
+        passage = fresh(size)
+        for i in (1000 + k, 2**40 + k, -5 - k):
+            own, at = fresh(150), rng.randrange(150)
+            rows.append((i, " ".join(own[:at] + passage + own[at:]), "en", "s"))
+            planted[i] = [(at, at + size)]
+    for k, size in enumerate([16, 17, 20, 30] * 3):
+        line = " ".join(fresh(size))
+        for i, text in ((3000 + k, line), (4000 + k, line), (5000 + k, f"{' '.join(fresh(40))}\n{line}\n{' '.join(fresh(40))}")):
+            rows.append((i, text, "en", "s"))
+            planted[i] = [(0, size)] if i < 5000 else [(40, 40 + size)]
+    found = {}
+    for r in passages.repeated_passages(documents(rows)).collect():
+        found.setdefault(r.doc_id, []).append((r.first_word, r.end_word))
+        assert r.kept == (r.doc_id < 0 or 3000 <= r.doc_id < 4000)
+    assert found == planted
+
+
+def test_unshared_words_between_two_passages_stay(documents):
+    rng = random.Random(4)
+    fresh = lambda k: ["".join(rng.choices("abcdefghijklmn", k=6)) for _ in range(k)]
+    a, b = fresh(40), fresh(40)
+    rows = [(i, " ".join(fresh(30) + a + fresh(10) + b + fresh(30)), "en", "s") for i in range(2)]
+    found = passages.repeated_passages(documents(rows)).collect()
+    assert sorted((r.doc_id, r.first_word, r.end_word) for r in found) == [(i, *x) for i in range(2) for x in ((30, 70), (80, 120))]
+
+
+def test_near_copies_of_lines(documents):
+    """One changed word in the middle of 60 is a similarity of 0.84; a band is missed with 0.008."""
+    rng = random.Random(6)
+    fresh = lambda k: ["".join(rng.choices("abcdefghijklmn", k=6)) for _ in range(k)]
+    rows = []
+    for k in range(10):
+        line = fresh(60)
+        rows.append((k, " ".join(line), "en", "s"))
+        rows.append((100 + k, " ".join(fresh(20)) + "\n" + " ".join(line[:30] + ["changed"] + line[31:]), "en", "s"))
+    found = passages.repeated_passages(documents(rows)).collect()
+    whole = {r.doc_id for r in found if r.end_word - r.first_word == 60}
+    assert whole == {row[0] for row in rows}
+
+
 def test_passages_of_odd_rows(documents):
     found = passages.repeated_passages(documents(ODD)).collect()
     assert {(r.doc_id, r.kept) for r in found} == {(6, True), (7, False)}
