@@ -5,8 +5,9 @@ documents.  A document is taken as a mixture of languages: expectation
 maximisation estimates the proportions from the likelihoods of its trigrams.
 The languages are then ranked by proportion, and of the sets of the first one,
 two, three ... languages the one is chosen whose likelihood, less half the
-logarithm of the number of trigrams for each further language, is largest.
-The answer is the chosen set's largest language and its proportion.
+logarithm of the number of trigrams for each further language, is largest;
+from three languages on, the set grows as long as that still rises.
+The answer is the chosen set with its proportions, the largest first.
 
 Defined results: a NULL text or one without a letter is ``und`` with score 0.
 Without training rows every document is ``und``.
@@ -132,9 +133,12 @@ def _proportions(
 
 
 def mixtures(
-    grams: list[tuple[np.ndarray, np.ndarray]], table: np.ndarray, rounds: int = 10, set_rounds: int = 4, max_set: int = 3
-) -> list[tuple[int, float, int]]:
-    """For each document its largest language, that one's proportion and the size of the chosen set."""
+    grams: list[tuple[np.ndarray, np.ndarray]], table: np.ndarray, rounds: int = 10, set_rounds: int = 4, least_tried: int = 3
+) -> list[list[tuple[int, float]]]:
+    """For each document the chosen languages and their proportions, the largest first.
+
+    Sets of up to ``least_tried`` languages are all tried, larger ones while the penalised likelihood rises.
+    """
     counts = np.concatenate([c for _, c in grams]).astype(np.float32)
     starts = np.append(0, np.cumsum([len(b) for b, _ in grams]))[:-1]
     sizes = np.array([len(b) for b, _ in grams])
@@ -147,8 +151,9 @@ def mixtures(
     rank = np.argsort(order, axis=1)
     price = 0.5 * np.log(np.maximum(np.add.reduceat(counts, starts), 2))
     best = np.full(n_docs, -np.inf)
-    answer = [(0, 0.0, 0)] * n_docs
-    for k in range(1, min(max_set, n_langs) + 1):
+    answer: list[list[tuple[int, float]]] = [[]] * n_docs
+    rising = np.ones(n_docs, bool)
+    for k in range(1, n_langs + 1):
         if k == 1:
             first = np.repeat(order[:, 0], sizes)
             fit = np.add.reduceat(counts * np.log(np.maximum(likely[np.arange(len(counts)), first], 1e-30)), starts)
@@ -157,32 +162,42 @@ def mixtures(
             own = np.where(rank < k, np.maximum(shares, 1e-6), 0).astype(np.float32)
             own, fit = _proportions(likely, counts, starts, own / own.sum(axis=1, keepdims=True), set_rounds)
         score = fit - (k - 1) * price
-        for d in np.flatnonzero(score > best).tolist():
-            top = int(own[d].argmax())
-            answer[d] = (top, float(own[d, top]), k)
-        best = np.maximum(best, score)
+        better = rising & (score > best)
+        for d in np.flatnonzero(better).tolist():
+            chosen = order[d, :k]
+            chosen = chosen[np.argsort(-own[d, chosen], kind="stable")]
+            answer[d] = [(int(x), min(max(float(own[d, x]), 0.0), 1.0)) for x in chosen]
+        best = np.where(better, score, best)
+        if k >= least_tried:
+            rising = better
+            if not rising.any():
+                break
     return answer
 
 
 def language_udf(languages: list[str], table: np.ndarray, spark, bits: int = BUCKET_BITS) -> Callable:
-    """A function of a text column: struct of ``lang``, ``score`` and ``n_languages``."""
+    """A function of a text column: struct of ``lang``, ``score``, ``n_languages``, ``languages`` and ``shares``
+    (of the chosen set, the largest first) and ``has_letters``."""
     sent = spark.sparkContext.broadcast((languages, table))
 
-    @F.pandas_udf("lang string, score double, n_languages int")
+    @F.pandas_udf(
+        "lang string, score double, n_languages int, languages array<string>, shares array<double>, has_letters boolean"
+    )
     def language(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         names, logs = sent.value
         for texts in parts:
             out = []
             for block in batched(((t or "",) for t in texts), lambda row: len(row[0]), _BLOCK_CHARS):
                 grams = trigrams([x[0] for x in block], bits)
-                answers = [(UNKNOWN, 0.0, 0)] * len(grams)
+                answers = [(UNKNOWN, 0.0, 0, [], [], len(buckets) > 0) for buckets, _ in grams]
                 known = [k for k, (buckets, _) in enumerate(grams) if len(buckets) and names]
                 for some in batched(((k,) for k in known), lambda row: len(grams[row[0]][0]), _EM_BLOCK):
                     ks = [k for (k,) in some]
-                    for k, (top, share, size) in zip(ks, mixtures([grams[k] for k in ks], logs), strict=True):
-                        answers[k] = (names[top], min(max(share, 0.0), 1.0), size)
+                    for k, chosen in zip(ks, mixtures([grams[k] for k in ks], logs), strict=True):
+                        own, shares = [names[x] for x, _ in chosen], [share for _, share in chosen]
+                        answers[k] = (own[0], shares[0], len(own), own, shares, True)
                 out += answers
-            yield pd.DataFrame(out, columns=["lang", "score", "n_languages"])
+            yield pd.DataFrame(out, columns=["lang", "score", "n_languages", "languages", "shares", "has_letters"])
 
     return language
 
@@ -190,7 +205,8 @@ def language_udf(languages: list[str], table: np.ndarray, spark, bits: int = BUC
 def with_languages(
     docs: DataFrame, training: Column, text_col: str = "text", lang_col: str = "lang"
 ) -> DataFrame:
-    """``row`` (the whole row of ``docs``) and ``language`` (struct of ``lang``, ``score``, ``n_languages``).
+    """``row`` (the whole row of ``docs``) and ``language`` (struct of ``lang``, ``score``, ``n_languages``,
+    ``languages``, ``shares``, ``has_letters``).
 
     Languages are learned from the rows that ``training`` holds for; only texts
     enter a prediction.

@@ -297,6 +297,17 @@ def test_languages_and_mixtures(documents):
     assert {r.language.lang for r in with_languages(docs, F.lit(False)).collect()} == {"und"}
 
 
+def test_mixtures_of_four_languages(documents):
+    more = SENTENCES | {"es": "la gente de este pueblo caminaba por sus campos verdes con todas aquellas cosas hermosas"}
+    rows = [(i, text, lang, "s") for i, (lang, text) in enumerate(more.items())]
+    rows.append((10, " ".join(" ".join([text] * 3) for text in more.values()), None, "s"))
+    found = {r.row.doc_id: r.language for r in with_languages(documents(rows), F.col("doc_id") < 10).collect()}
+    assert found[10].n_languages == 4 and set(found[10].languages) == set(more)
+    assert all(0.15 < share < 0.35 for share in found[10].shares) and sum(found[10].shares) == pytest.approx(1, abs=0.01)
+    assert (found[10].lang, found[10].score) == (found[10].languages[0], found[10].shares[0])
+    assert (found[0].languages, found[0].shares) == (["en"], [1.0])
+
+
 def test_languages_of_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = with_languages(docs, ~is_held_out()).filter(is_held_out("row.doc_id"))
