@@ -28,9 +28,13 @@ def _row(docs: DataFrame, **changed):
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (NULL texts, and texts without a letter) go."""
+    """The largest language of the mixture becomes ``lang``; NULL texts and texts without a letter go.
+
+    Where no row could be learned from, ``lang`` stays as it is.
+    """
     found = with_languages(docs, ~is_held_out() & F.col("doc_id").isNotNull())
-    return found.filter(F.col("language.lang") != UNKNOWN).select(*_row(docs))
+    own = F.when(F.col("language.lang") != UNKNOWN, F.col("language.lang")).otherwise(F.col("row.lang"))
+    return found.filter("language.has_letters").select(*_row(docs, lang=own))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -48,6 +48,22 @@ def test_pipeline_stages_against_plain_versions(spark, documents):
     assert stages["byte_level_bpe"](spark, mix, FOLDER).count() == mix.count()
 
 
+def test_pipeline_takes_languages_from_the_mixture(spark, documents):
+    english, german = "the people of this town were walking", "die leute dieser stadt gingen durch felder"
+    rows = [(i, text, lang, "s") for i in range(9) for text, lang in [(f"{english} {i}", "en")]]
+    rows += [(20 + i, f"{german} {i}", "de", "s") for i in range(9)]
+    rows += [(40, "the people were walking", None, "s"), (41, "die leute gingen durch felder", "en", "s"), (42, "12", "en", "s")]
+    stage = dict(corpus_pipeline.STAGES)["language_id"]
+    found = {r.doc_id: r.lang for r in stage(spark, documents(rows), FOLDER).collect()}
+    assert found[40] == "en" and found[41] == "de" and 42 not in found and len(found) == 20
+
+
+def test_pipeline_without_rows_to_learn_from(spark, documents):
+    rows = [(1, "clean text", None, "s"), (2, "more clean text", None, "s"), (3, "123", None, "s"), (4, None, None, "s")]
+    kept = dict(corpus_pipeline.STAGES)["language_id"](spark, documents(rows), FOLDER)
+    assert {(r.doc_id, r.lang) for r in kept.collect()} == {(1, None), (2, None)}
+
+
 def test_pipeline_of_an_empty_table(spark, documents):
     docs = documents([])
     for _, stage in corpus_pipeline.STAGES:
