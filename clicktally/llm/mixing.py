@@ -8,13 +8,14 @@ another.  The copies are dealt out by a second hash and sorted by it: a global
 shuffle.  The documents of a source, however many, go to all tasks.
 
 Defined results: NULL is a source like any other.  An empty text counts as one
-code point in the size of its source.  Rows that share a document number get
-the same number of copies.  A row without a number draws like number -1.
+code point in the size of its source.  A row without a number, or with one that
+another row has too, draws by a hash of all its columns and by its place among
+rows equal in all of them, so each such row draws for itself.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicktally.llm.tables import written
@@ -23,6 +24,8 @@ from clicktally.llm.tables import written
 _STEP = 16.0
 #: Values of one step: beyond 80 the probability at mean 16 is below 2^-53.
 _VALUES = 80
+#: Equal rows counted together.
+_RUN = 4096
 
 
 def _uniform(*parts: Column) -> Column:
@@ -74,6 +77,28 @@ def source_rates(
     )
 
 
+def _numbered(named: DataFrame) -> DataFrame:
+    """The rows with an ``id`` of their own, made of their contents and their place among equal rows.
+
+    Equal rows are counted in runs of at most ``_RUN`` within a partition, and
+    the runs are then put one after another, so no task holds all equal rows.
+    """
+    held = written(
+        named.select(
+            "row", "own_source", F.md5(F.to_json("row").cast("binary")).alias("same"),
+            F.monotonically_increasing_id().alias("seq"),
+        ).withColumn("run", F.expr(f"seq div {_RUN}")),
+        "rows-without-own-number",
+    )
+    runs = written(held.groupBy("same", "run").agg(F.count(F.lit(1)).alias("n")), "runs-of-equal-rows")
+    earlier = Window.partitionBy("same").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select("same", "run", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    within = F.row_number().over(Window.partitionBy("same", "run").orderBy("seq"))
+    return held.withColumn("nth", within).join(runs, ["same", "run"]).select(
+        "row", "own_source", F.concat_ws("/", "same", (F.col("before") + F.col("nth")).cast("string")).alias("id")
+    )
+
+
 def mixed(
     docs: DataFrame,
     target_weights: dict[str, float] | None = None,
@@ -88,10 +113,16 @@ def mixed(
     steps = written(rates.withColumn("steps", F.greatest(F.ceil(F.col("rate") / _STEP), F.lit(1)).cast("int")).select(
         F.col("source").alias("rate_source"), "steps", _poisson(F.col("rate") / F.col("steps")).alias("up_to")
     ), "source-steps")
-    packed = docs.select(
-        F.struct("*").alias("row"),
-        F.col(source_col).alias("own_source"),
-        F.coalesce(F.col(id_col), F.lit(-1)).cast("long").cast("string").alias("id"),
+    named = docs.select(
+        F.struct("*").alias("row"), F.col(source_col).alias("own_source"), F.col(id_col).cast("long").alias("number")
+    )
+    given = named.filter("number is not null")
+    repeated = written(given.groupBy("number").count().filter("count > 1").select("number"), "repeated-numbers")
+    unclear = named.filter("number is null").unionByName(given.join(repeated, "number", "left_semi").select(*named.columns))
+    packed = (
+        given.join(repeated, "number", "left_anti")
+        .select("row", "own_source", F.col("number").cast("string").alias("id"))
+        .unionByName(_numbered(unclear))
     )
     draws = F.transform(
         F.sequence(F.lit(1), F.col("steps")),

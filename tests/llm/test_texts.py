@@ -155,6 +155,22 @@ def test_mix_of_large_rates_and_odd_rows(documents):
     assert mixed(documents([])).count() == 0
 
 
+def test_mix_of_rows_without_own_numbers(documents):
+    """Equal and different rows without a number, or with a shared one, draw each for itself."""
+    rows = [(None, "word " * 20, "en", "s")] * 600 + [(None, f"word {i} " * 10, "en", "s") for i in range(600)]
+    rows += [(7, "same " * 20, "en", "s")] * 600 + [(10_000 + i, "word " * 20, "en", "t") for i in range(1800)]
+    once = mixed(documents(rows), {"s": 1.0, "t": 3.0})
+    out = once.collect()
+    kinds = [lambda r: r.row.text == "word " * 20 and r.row.doc_id is None, lambda r: r.row.doc_id is None and r.row.text != "word " * 20,
+             lambda r: r.row.doc_id == 7]
+    rate = {r.source: r.rate for r in source_rates(documents(rows), {"s": 1.0, "t": 3.0}).collect()}["s"]
+    for kind in kinds:
+        assert abs(sum(map(kind, out)) / (600 * rate) - 1) < 0.2
+    assert len({r.place for r in out}) == len(out)
+    again = mixed(documents(rows).repartition(3), {"s": 1.0, "t": 3.0}).collect()
+    assert sorted((r.place, r.row.text) for r in again) == sorted((r.place, r.row.text) for r in out)
+
+
 def test_licences_in_long_and_short_texts(documents):
     filler = " ".join(f"word{i}" for i in range(500))
     header = licences.NOTICES["GPL-3.0-header"]
