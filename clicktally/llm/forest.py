@@ -122,11 +122,14 @@ def _best_of_leaf(k: int) -> Callable:
             for at in range(0, len(asked), 256):
                 scores = wanted[at : at + 256] @ units.T
                 scores[asked[at : at + 256, None] == ids] = -np.inf
-                top = np.argsort(-scores, axis=1, kind="stable")[:, : k]
-                for q, own, row in zip(asked[at : at + 256].tolist(), top, scores, strict=True):
-                    own = own[row[own] > -np.inf]
-                    # Rounding differs between block shapes, so the score that leaves is computed by itself.
-                    exact = (units[own] * wanted[at + int(np.flatnonzero(asked[at:] == q)[0])]).sum(axis=1)
+                # Rounding differs between block shapes, so what may be among the best is scored by itself and then cut.
+                margin = 8 * units.shape[1] * np.finfo(units.dtype).eps
+                last = np.partition(scores, -k, axis=1)[:, -k] if k < len(ids) else np.full(len(scores), -np.inf)
+                for n, (q, row) in enumerate(zip(asked[at : at + 256].tolist(), scores, strict=True)):
+                    own = np.flatnonzero((row >= last[n] - margin) & (row > -np.inf))
+                    exact = (units[own] * wanted[at + n]).sum(axis=1)
+                    best_first = np.lexsort((ids[own], -exact))[:k]
+                    own, exact = own[best_first], exact[best_first]
                     out[0].extend([q] * len(own))
                     out[1].extend(ids[own].tolist())
                     out[2].extend(exact.tolist())

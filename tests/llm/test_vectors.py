@@ -2,10 +2,11 @@
 
 import numpy as np
 import plainly
+import pyarrow as pa
 import pytest
 from clicktally.llm import near_vectors
 from clicktally.llm.components import components
-from clicktally.llm.forest import nearest
+from clicktally.llm.forest import _best_of_leaf, nearest
 from pyspark.sql import functions as F
 
 SCHEMA = "vec_id long, embedding array<float>, n long"
@@ -106,3 +107,18 @@ def test_components_of_chains_and_hubs(spark):
     got = {r.node: r.component_id for r in found.collect()}
     assert got == {**{i: 0 for i in range(1, 61)}, **{i: 100 for i in range(101, 200)}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_ties_in_a_leaf_go_to_the_smaller_number():
+    """Equal rows may differ in the last bit of a matrix product, by the shape of the block."""
+    rng = np.random.default_rng(0)
+    for size in (3, 16, 37, 64):
+        for n in (30, 37, 61, 130):
+            units = np.repeat(rng.standard_normal((1, size)), n, axis=0)
+            units /= np.linalg.norm(units, axis=1, keepdims=True)
+            asked = units[:3] + rng.standard_normal((3, size)) * 0.1
+            asked /= np.linalg.norm(asked, axis=1, keepdims=True)
+            filed = [pa.table({"id": pa.array(ids, pa.int64()), "vector": pa.array([u.tobytes() for u in own], pa.binary())})
+                     for ids, own in ((range(n), units), (range(1000, 1003), asked))]
+            found = _best_of_leaf(5)(*filed).to_pydict()
+            assert found["vec_id"] == [0, 1, 2, 3, 4] * 3
