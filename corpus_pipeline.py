@@ -46,9 +46,21 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents that share 0.8 of their five-word shingles the smallest stays."""
-    gone = near_duplicates(docs, shingle_words=5, percent=80).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of documents that share 0.8 of their five-word shingles the smallest stays.
+
+    Rows get keys of their own in the order of their numbers, so copies that
+    have no number or the same one are documents like any other.
+    """
+    packed = docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("seq"))
+    order = [F.col("row.doc_id").asc_nulls_last(), F.col("seq")]
+    keyed = written(
+        packed.repartitionByRange(*order).sortWithinPartitions(*order)
+        .select("row", F.col("row.text").alias("text"), F.monotonically_increasing_id().alias("row_key")),
+        "keyed-rows",
+    )
+    found = near_duplicates(keyed.select("row_key", "text"), shingle_words=5, percent=80, id_col="row_key")
+    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("row_key")).distinct()
+    return keyed.join(gone, "row_key", "left_anti").select(*_row(docs))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -58,6 +58,13 @@ def test_pipeline_takes_languages_from_the_mixture(spark, documents):
     assert found[40] == "en" and found[41] == "de" and 42 not in found and len(found) == 20
 
 
+def test_pipeline_leaves_one_of_copies_without_own_numbers(spark, documents):
+    text = [" ".join(f"{chr(97 + i)}{k}" for k in range(40)) for i in range(4)]
+    rows = [(None, text[0], "en", "s")] * 3 + [(5, text[1], "en", "s")] * 3 + [(7, text[2], "en", "s"), (None, text[2], "en", "s"), (6, text[3], "en", "s")]
+    left = dict(corpus_pipeline.STAGES)["near_dedup"](spark, documents(rows), FOLDER).collect()
+    assert sorted((r.text, r.doc_id) for r in left) == list(zip(text, [None, 5, 7, 6]))
+
+
 def test_pipeline_without_rows_to_learn_from(spark, documents):
     rows = [(1, "clean text", None, "s"), (2, "more clean text", None, "s"), (3, "123", None, "s"), (4, None, None, "s")]
     kept = dict(corpus_pipeline.STAGES)["language_id"](spark, documents(rows), FOLDER)
