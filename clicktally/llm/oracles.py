@@ -53,6 +53,33 @@ WITH sizes AS (
 SELECT doc_id, source, copy, md5('0:place:' || coalesce(doc_id, -1) || ':' || copy) AS place, text FROM copied
 """
 
+FILL_IN_MIDDLE = """
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest
+  FROM documents
+), drawn AS (
+  SELECT *, CAST('0x' || substr(digest, 1, 8) AS BIGINT) % (n + 1) AS a,
+         CAST('0x' || substr(digest, 9, 8) AS BIGINT) % (n + 1) AS b,
+         CAST('0x' || substr(digest, 17, 8) AS BIGINT) % 100 AS moves,
+         CAST('0x' || substr(digest, 25, 8) AS BIGINT) % 100 AS turns
+  FROM texts
+), formed AS (
+  SELECT doc_id, text, n, least(a, b) AS p, greatest(a, b) - least(a, b) AS m,
+         CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR moves >= 90
+              THEN 'plain' WHEN turns < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), parts AS (
+  SELECT *, substr(text, 1, p) AS prefix, substr(text, p + 1, m) AS middle, substr(text, p + m + 1) AS suffix FROM formed
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN p END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN m END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
 
 def licence_scan(notices: dict[str, str]) -> str:
     """Every grid window that holds 0.8 of a template's shingles, found without MinHash."""

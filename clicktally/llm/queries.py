@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicktally.llm.licences import NOTICES
-from clicktally.llm.oracles import LINE_DEDUP, SOURCE_MIX, licence_scan
+from clicktally.llm.oracles import FILL_IN_MIDDLE, LINE_DEDUP, SOURCE_MIX, licence_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -95,6 +95,38 @@ def shared_passages(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_passages(_table(spark, folder, "documents"))
 
 
+def whitened_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    from clicktally.llm.whitening import whitened
+
+    return whitened(_table(spark, folder, "embeddings"))
+
+
+def middles_moved(spark: SparkSession, folder: str) -> DataFrame:
+    from clicktally.llm.fill_middle import fill_in_middle, restored
+
+    return fill_in_middle(_table(spark, folder, "documents").select("doc_id", "text")).select(
+        "row.doc_id",
+        "fim.n",
+        "fim.form",
+        F.col("fim.prefix").alias("prefix_chars"),
+        F.col("fim.middle").alias("middle_chars"),
+        F.sha2("fim.output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("fim.output"), F.col("fim.form")), 256).alias("restored_sha256"),
+    )
+
+
+def packed_documents(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from clicktally.llm.packing import packed_pieces
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        pieces = packed_pieces(_table(spark, folder, "documents"), file.read())
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -113,6 +145,9 @@ def queries() -> dict[str, Query]:
         "op8_byte_level_bpe": byte_pair_encoding,
         "op9_projection_forest": nearest_vectors,
         "op10_circulant_minhash": near_duplicate_documents,
+        "op11_block_whitening": whitened_vectors,
+        "op12_wavelet_fill_in_middle": middles_moved,
+        "op13_best_fit_packing": packed_documents,
         "pipeline": pipeline,
     }
 
@@ -123,4 +158,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_licence_scan": licence_scan(NOTICES),
         "op6_line_runs": LINE_DEDUP,
         "op7_poisson_mix": SOURCE_MIX,
+        "op12_wavelet_fill_in_middle": FILL_IN_MIDDLE,
     }

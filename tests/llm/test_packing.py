@@ -1,0 +1,141 @@
+"""Packed sequences: every token once, little padding, best fit against a plain search, ids against the library."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from clicktally.llm import packing
+from clicktally.llm.packing import Encoder, RoomTree, best_fit, filled_up, packed_pieces, sequences
+from tokenizers import Tokenizer
+
+with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+    MODEL = file.read()
+LIBRARY = Tokenizer.from_str(MODEL)
+LIBRARY.encode_special_tokens = True
+
+LONG = "Long words repeat, don't they? " * 3000
+ODD = [
+    (1, None, "en", "a"), (2, "", "en", "a"), (3, " \n\t ", None, None), (4, "one", "en", "a"), (5, "one", "en", "a"),
+    (5, "one", "en", "a"), (None, "no number here at all", "en", "b"), (6, LONG, "en", "a"), (7, LONG + "end", "en", "b"),
+    (8, "12345 !!! ...", None, "b"), (9, "x" * 30_000, "en", "a"), (10, "don't we'll 's ''s \U0001f600 中文", "en", "a"),
+    (11, "<|startoftext|> and <|endoftext|>end", "en", "a"),
+]
+
+
+def whole(text):
+    return [*LIBRARY.encode(text or "", add_special_tokens=False).ids, 1]
+
+
+def plain_best_fit(sizes, window):
+    """Each rest, largest first, into the open window of least room that takes it; how much is used of each window."""
+    used = [window] * sum(n // window for n in sizes)
+    opened = []
+    for n in sorted((n % window for n in sizes if n % window), reverse=True):
+        rooms = [(window - u, i) for i, u in enumerate(opened) if window - u >= n]
+        if rooms:
+            opened[min(rooms)[1]] += n
+        else:
+            opened.append(n)
+    return sorted(used + opened)
+
+
+def used(windows):
+    return [sum(n for *_, n in pieces) for pieces in windows]
+
+
+def every_token_once(windows, sizes):
+    seen = [np.zeros(n, int) for n in sizes]
+    for pieces in windows:
+        for k, start, n in pieces:
+            assert n > 0
+            seen[k][start : start + n] += 1
+    return all((own == 1).all() for own in seen)
+
+
+@pytest.mark.parametrize("window", [1, 2, 7, 8, 100, 2048])
+def test_best_fit_against_a_plain_search(window):
+    rng = random.Random(window)
+    for count in (0, 1, 2, 30, 300):
+        sizes = [rng.choice([1, rng.randint(1, window), rng.randint(1, 4 * window)]) for _ in range(count)]
+        windows = best_fit(sizes, window)
+        assert sorted(used(windows)) == plain_best_fit(sizes, window)
+        assert every_token_once(windows, sizes)
+        full = filled_up(windows, window)
+        assert every_token_once(full, sizes)
+        assert all(n == window or n & (n - 1) == 0 for n in used(full))
+        assert sum(n < window for n in used(full)) <= window.bit_length()
+
+
+def test_room_tree_finds_the_least_room():
+    rng = random.Random(0)
+    tree, rooms = RoomTree(50), []
+    for step in range(3000):
+        if rooms and rng.random() < 0.5:
+            need = rng.randint(1, 50)
+            wanted = min((r for r in rooms if r >= need), default=None)
+            found = tree.tightest(need)
+            assert (found and found[0]) == wanted
+            if wanted is not None:
+                rooms.remove(wanted)
+        else:
+            rooms.append(rng.randint(1, 50))
+            tree.add(rooms[-1], step)
+
+
+def test_ids_are_those_of_whole_texts(monkeypatch):
+    monkeypatch.setattr(packing, "_KNOWN_WORDS", 50)  # so that the memory is dropped between blocks
+    rng, encoder = random.Random(2), Encoder(MODEL)
+    signs = "abcSTé é̈ 'stre  \n\t\r\x0b\x0c\x1c\x1f\x85\xa0 　,.!12３中文İßΣς\U0001f600<|>"
+    for _ in range(60):
+        texts = ["".join(rng.choices(signs, k=rng.randint(0, 40))) for _ in range(20)]
+        found = encoder.encode([t.encode() for t in texts])
+        assert [f.tolist() for f in found] == [whole(t)[:-1] for t in texts]
+
+
+@pytest.mark.parametrize("chunk_tokens", [4_000_000, 3000])
+def test_pieces_rebuild_their_documents(spark, documents, chunk_tokens):
+    rng = random.Random(7)
+    rows = ODD + [(100 + i, " ".join(rng.choices(["more", "words", "and", "some"], k=rng.randint(0, 900))), "en", "s") for i in range(80)]
+    docs = documents(rows).withColumnRenamed("n_chars", "offset").withColumnRenamed("lang", "ids")
+    found = packed_pieces(docs.coalesce(2), MODEL, chunk_tokens=chunk_tokens).cache()
+    pieces = found.collect()
+    by_sequence = {}
+    for r in pieces:
+        by_sequence.setdefault(r.sequence_id, []).append(r)
+        assert len(r.ids) == 4 * r.length
+    for own in by_sequence.values():
+        own.sort(key=lambda r: r.offset)
+        assert [r.offset for r in own] == np.cumsum([0, *[r.length for r in own]])[:-1].tolist()
+    lengths = [sum(r.length for r in own) for own in by_sequence.values()]
+    assert all(n <= 2048 and (n == 2048 or n & (n - 1) == 0) for n in lengths)
+
+    # Rows of one number are told apart by what they hold.
+    wanted = sorted(zlib.crc32(np.array(whole(t), "<u4").tobytes()) for i, t, *_ in rows if i != 5)
+    parts = {}
+    for r in pieces:
+        if r.doc_id != 5:
+            parts.setdefault(r.doc_id, []).append(r)
+    rebuilt = []
+    for own in parts.values():
+        own.sort(key=lambda r: r.start)
+        assert [r.start for r in own] == np.cumsum([0, *[r.length for r in own]])[:-1].tolist()
+        assert {r.doc_tokens for r in own} == {sum(r.length for r in own)}
+        rebuilt.append(zlib.crc32(b"".join(r.ids for r in own)))
+    assert sorted(rebuilt) == wanted
+    assert sum(r.length for r in pieces if r.doc_id == 5) == 2 * len(whole("one"))
+
+    whole_sequences = {r.sequence_id: r for r in sequences(found, padding_id=9).collect()}
+    for key, own in by_sequence.items():
+        n = sum(r.length for r in own)
+        ids = np.frombuffer(whole_sequences[key].ids, "<u4")
+        assert ids[:n].tobytes() == b"".join(r.ids for r in own)
+        assert (ids[n:] == 9).all() and len(ids) in (n, 2048)
+    padded = {r.sequence_id: r for r in sequences(packed_pieces(docs, MODEL, fill_up=False), padding_id=9).collect()}
+    assert {len(r.ids) // 4 for r in padded.values()} <= {2048, *[1 << k for k in range(11)]}
+    found.unpersist()
+
+
+def test_no_documents(spark, documents):
+    assert packed_pieces(documents([]), MODEL).count() == 0
