@@ -43,6 +43,8 @@ from clicktally.llm.vectors import matrices, unpacked
 
 PROJECTIONS = 32
 CELL_ROWS = 2000
+#: What vectors that are compared have in common: their length, and a cell of a table.
+KEYS = ["size", "t", "cell"]
 
 _CLASSED = "id long, digest binary, vector binary"
 _FOUND = "id long, n long, root long"
@@ -117,9 +119,8 @@ def _placed(how: dict[int, dict]) -> Callable:
 
 def _links_of(group: list[dict], threshold: float, how: dict[int, dict]) -> list[tuple[int, int, int]]:
     """``id``, number of links and local root of each row of one block pair that has a link."""
-    size = len(group[0]["vector"]) // 8
-    group = [row for row in group if len(row["vector"]) == 8 * size]
-    rule, table = how[size], group[0]["t"]
+    size, table = group[0]["size"], group[0]["t"]
+    rule = how[size]
     ids = np.array([row["id"] for row in group])
     counts = np.array([row["n"] for row in group])
     units = unpacked([row["vector"] for row in group])
@@ -150,7 +151,7 @@ def _counted(threshold: float, how: dict[int, dict]) -> Callable:
     """Over batches sorted by table, cell and block pair: the links of each block pair."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, ["t", "cell"]):
+        for piece in pieces(batches, KEYS):
             found = _links_of(piece, threshold, how)
             ids, counts, roots = zip(*found, strict=True) if found else ([], [], [])
             yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(counts, pa.int64()), pa.array(roots, pa.int64())],
@@ -179,8 +180,9 @@ def near_vectors(
     placed = written(
         classes.mapInArrow(_placed(how), "id long, n long, vector binary, cells array<long>"), "vector-cells"
     )
-    cells = placed.select("id", F.posexplode("cells").alias("t", "cell"), F.lit(1).alias("weight"))
-    met = block_pairs(cells, ["t", "cell"], placed)
+    size = (F.octet_length("vector") / 8).cast("int")
+    cells = placed.select("id", size.alias("size"), F.posexplode("cells").alias("t", "cell"), F.lit(1).alias("weight"))
+    met = block_pairs(cells, KEYS, placed)
     found = written(met.mapInArrow(_counted(threshold, how), _FOUND), "vector-links")
     joined = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     totals = found.groupBy("id").agg(F.sum("n").alias("links"))

@@ -55,6 +55,23 @@ def test_near_vectors_against_all_pairs(spark, monkeypatch, block):
     assert (found[1107].n_links, found[1107].component_id) == (1, 1106)
 
 
+def test_three_lengths_in_equal_numbers(spark, monkeypatch):
+    """Vectors of other lengths in the same cells take no link away, however small the blocks are."""
+    original = near_vectors.block_pairs
+    monkeypatch.setattr(near_vectors, "block_pairs", lambda *a, **k: original(*a, **(k | {"block_rows": 5})))
+    rows, wanted = [], {}
+    for k, size in enumerate((8, 16, 24)):
+        own = [(1000 * k + i, v) for i, v in cloud(120, 5, seed=k, size=size)]
+        near = cosines(own) >= 0.9
+        np.fill_diagonal(near, False)
+        wanted |= {1000 * k + i: int(n) for i, n in enumerate(near.sum(axis=1))}
+        rows += own
+    rows = [rows[i] for i in np.random.default_rng(9).permutation(len(rows))]
+    found = {r.vec_id: r.n_links for r in near_vectors.near_vectors(table(spark, rows)).collect()}
+    assert all(found[i] <= n for i, n in wanted.items())
+    assert sum(found.values()) >= 0.99 * sum(wanted.values())
+
+
 def test_pairs_at_the_threshold_are_found(spark):
     """Two hundred pairs at a cosine of 0.9 and a little, in as many directions."""
     rng = np.random.default_rng(1)
