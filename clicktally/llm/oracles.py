@@ -82,32 +82,40 @@ FROM parts
 
 
 def licence_scan(notices: dict[str, str]) -> str:
-    """Every grid window that holds 0.8 of a template's shingles, found without MinHash."""
+    """Every grid window that holds 0.8 of a template's shingles, found without MinHash.
+
+    The rule in words: words stand between white space, punctuation and comment signs and hold a letter or a
+    digit; a template of fewer than five words is one shingle of all its words.
+    """
     rows = ", ".join(f"""('{name}', '{text.replace("'", "''")}')""" for name, text in sorted(notices.items()))
-    gap = "concat('[ ', chr(9), '-', chr(13), '\".,:;()!?]+')"
+    gap = r"""(?:[\x20\x09-\x0D".,:;()!?*#%]|//+|--+)+"""
 
     def words(column: str) -> str:
         low = f"translate(coalesce({column}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-        return f"list_filter(string_split_regex({low}, {gap}), lambda w: w <> '')"
+        return rf"list_filter(string_split_regex({low}, '{gap}'), lambda w: regexp_matches(w, '[\p{{L}}\p{{N}}]'))"
 
-    def shingles(column: str) -> str:
-        return f"[array_to_string({column}[i:i + 4], ' ') FOR i IN range(1, len({column}) - 3)]"
+    def shingles(width: str) -> str:
+        return f"[array_to_string(words[i:i + {width} - 1], ' ') FOR i IN range(1, len(words) - {width} + 2)]"
 
     return f"""
 WITH templates AS (
-  SELECT licence, {shingles('words')} AS shingles
-  FROM (SELECT licence, {words('notice')} AS words FROM (VALUES {rows}) AS n(licence, notice))
+  SELECT licence, width, {shingles('width')} AS shingles
+  FROM (SELECT licence, words, least(len(words), 5) AS width
+        FROM (SELECT licence, {words('notice')} AS words FROM (VALUES {rows}) AS n(licence, notice)))
 ), wanted AS (
-  SELECT licence, len(shingles) AS span, len(list_distinct(shingles)) AS n, unnest(list_distinct(shingles)) AS shingle
+  SELECT licence, width, len(shingles) AS span, len(list_distinct(shingles)) AS n,
+         unnest(list_distinct(shingles)) AS shingle
   FROM templates
 ), texts AS (
   SELECT row_number() OVER () AS row_no, doc_id, {words('text')} AS words FROM documents
+), lists AS (
+  SELECT row_no, doc_id, width, {shingles('width')} AS shingles
+  FROM texts, (SELECT DISTINCT width FROM templates) WHERE len(words) >= width
 ), have AS (
-  SELECT row_no, doc_id, unnest(shingles) AS shingle, generate_subscripts(shingles, 1) - 1 AS place
-  FROM (SELECT row_no, doc_id, {shingles('words')} AS shingles FROM texts)
+  SELECT row_no, doc_id, width, unnest(shingles) AS shingle, generate_subscripts(shingles, 1) - 1 AS place FROM lists
 ), hits AS (
   SELECT h.row_no, h.doc_id, h.place, w.licence, w.span, w.n, w.shingle
-  FROM have h JOIN wanted w ON h.shingle = w.shingle
+  FROM have h JOIN wanted w ON h.shingle = w.shingle AND h.width = w.width
 ), windows AS (
   SELECT row_no, doc_id, licence, n, shingle, span * (place // span - k) AS first
   FROM hits, (SELECT unnest([0, 1]) AS k) WHERE place // span - k >= 0

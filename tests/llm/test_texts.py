@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import duckdb
 import numpy as np
 import plainly
 import public_tokenizers
@@ -16,7 +17,7 @@ from clicktally.llm.mixing import mixed, source_rates
 from clicktally.llm.oracles import licence_scan
 from clicktally.llm.quality import learn_quality, quality_udf
 from clicktally.llm.tables import is_held_out
-from compare import connect
+from compare import duckdb_rows, spark_rows
 from pyspark.sql import functions as F
 
 RANKS = byte_pairs.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -210,14 +211,20 @@ def test_licence_headers_in_code_comments(documents, sign):
     assert [(r.licence, r.containment) for r in found] == [("GPL-3.0-header", 1.0)]
 
 
-def test_longer_licences_against_sql(spark):
-    """The SQL makes no shingle of a notice under five words and counts comment signs as words, so longer
-    notices are compared, without their places."""
-    folder = "/root/testdata/sf0.01"
-    docs = spark.read.parquet(f"{folder}/documents.parquet")
-    longer = licences.licence_matches(docs).filter("licence <> 'All-rights-reserved'")
-    wanted = connect(folder).execute(licence_scan(licences.NOTICES)).fetchall()
-    assert sorted((r.doc_id, r.licence) for r in longer.collect()) == sorted(row[:2] for row in wanted)
+def test_notices_of_every_length_against_sql(spark, documents):
+    """Short notices, comment signs, signs alone and words with signs inside, by the rule the SQL states."""
+    rng = random.Random(4)
+    signs = [" ", "\n", "\n# ", "\n * ", " // ", "--", ", ", "\t-\t", "\n%% ", " | ", " ~ "]
+    rows = []
+    for i, notice in enumerate(sorted(licences.NOTICES.values()) * 3):
+        own = notice.split()
+        text = "".join(w.upper() + rng.choice(signs) if rng.random() < 0.2 else w + rng.choice(signs[:7]) for w in own)
+        rows.append((i, f"left {text} right all rights, reserved // here", "en", "s"))
+    rows += [(90, None, "en", "s"), (91, "", "en", "s"), (92, "all rights", "en", "s"), (93, "ALL--RIGHTS#RESERVED", "en", "s")]
+    docs = documents(rows)
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    assert spark_rows(licences.licence_matches(docs)) == duckdb_rows(con, licence_scan(licences.NOTICES))
 
 
 def test_passages_wherever_they_stand(documents):
