@@ -26,6 +26,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,43 +50,57 @@ Piece = tuple[int, int, int]
 class Encoder:
     """The ids of texts, by the library, for each run of bytes without ASCII white space once."""
 
+    #: Stands between words that are encoded in one call; its id tells them apart, as no other byte gives it.
+    BETWEEN = b"\0"
+    WORDS_A_CALL = 2000
+
     def __init__(self, model: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(model)
         self.library.encode_special_tokens = True
+        (self.between,) = self._encoded([self.BETWEEN.decode()])[0].ids
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.known_bytes = 0
-        self.pool, self.sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        self.pool, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _encoded(self, texts: list[str]) -> list:
+        return self.library.encode_batch_fast(texts, add_special_tokens=False)
 
     def _learn(self, words: list[bytes]) -> None:
-        found = self.library.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        ids = [e.ids for e in found]
-        self.pool.append(np.fromiter((i for own in ids for i in own), np.uint32))
-        self.sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
-        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
+        plain = [w for w in words if self.BETWEEN not in w]
+        rest = [w for w in words if self.BETWEEN in w]
+        glue = b" " + self.BETWEEN + b" "
+        lots = [plain[i : i + self.WORDS_A_CALL] for i in range(0, len(plain), self.WORDS_A_CALL)]
+        texts = [(glue.join(lot) + glue).decode("utf-8", "replace") for lot in lots]
+        ids = np.concatenate([np.zeros(0, np.uint32), *[np.array(e.ids, np.uint32) for e in self._encoded(texts)]])
+        last = np.flatnonzero(ids == self.between)
+        sizes, pool = np.diff(last, prepend=-1) - 1, [self.pool, ids[ids != self.between]]
+        for own in self._encoded([w.decode("utf-8", "replace") for w in rest]):
+            sizes = np.append(sizes, len(own.ids))
+            pool.append(np.array(own.ids, np.uint32))
+        self.known.update(zip(plain + rest, range(len(self.known), len(self.known) + len(words)), strict=True))
         self.known_bytes += sum(map(len, words))
+        self.pool, self.sizes = np.concatenate(pool), np.concatenate((self.sizes, sizes))
+        self.starts = np.cumsum(self.sizes) - self.sizes
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self.known) > _KNOWN_WORDS or self.known_bytes > _KNOWN_BYTES:
             self._forget()
-        split = [text.split() for text in texts]
-        # In the order in which they are met, so that a task that runs again does the same.
-        self._learn([w for w in dict.fromkeys(w for own in split for w in own) if w not in self.known])
-        self.pool, self.sizes = [np.concatenate(self.pool)], [np.concatenate(self.sizes)]
-        size, starts = self.sizes[0], np.cumsum(self.sizes[0]) - self.sizes[0]
-        out = []
-        for own in split:
-            words = np.fromiter(map(self.known.__getitem__, own), np.int64, len(own))
-            width = size[words]
-            ends = np.cumsum(width)
-            places = np.repeat(starts[words] - (ends - width), width) + np.arange(int(width.sum()))
-            out.append(self.pool[0][places])
-        return out
+        # The model lower-cases every letter; in front of an accent of its own that is not the same beforehand.
+        split = [(text.lower() if text.isascii() else text).split() for text in texts]
+        if fresh := set().union(*split).difference(self.known):
+            self._learn(list(fresh))
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        words = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        width = self.sizes[words]
+        ends = np.cumsum(width)
+        ids = self.pool[np.repeat(self.starts[words] - (ends - width), width) + np.arange(int(width.sum()))]
+        return np.split(ids, np.append(0, ends)[np.cumsum(counts)][:-1]) if texts else []
 
 
 @lru_cache(maxsize=1)
