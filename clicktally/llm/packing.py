@@ -39,7 +39,7 @@ from clicktally.llm.tables import identified_texts
 WINDOW = 2048
 CHUNK_TOKENS = 4_000_000
 _BLOCK_BYTES = 2_000_000
-_KNOWN_WORDS, _KNOWN_BYTES = 500_000, 32_000_000
+_KNOWN_WORDS, _KNOWN_BYTES = 1_000_000, 32_000_000
 
 _PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
