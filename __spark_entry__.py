@@ -10,6 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
 
 import clicktally as ct  # noqa: E402
 import duckdb_oracles  # noqa: E402
@@ -22,6 +23,7 @@ from clicktally.functions.events import (  # noqa: E402
     valid_price,
     with_event_date,
 )
+from clicktally.jobs import report  # noqa: E402
 from clicktally.schema import event_columns  # noqa: E402
 from clicktally.plans.rollup import write_rollup  # noqa: E402
 from clicktally.sinks.results import LOSSLESS  # noqa: E402
@@ -143,6 +145,43 @@ def _staged_events(spark: SparkSession, folder: str) -> DataFrame:
     return staged.withColumn("place_in_day", F.row_number().over(in_order)).drop("row_id")
 
 
+def _events_in_three_files(spark: SparkSession, folder: str) -> str:
+    """One event, then fifty, then all others, in folders whose names give that order; each by event number."""
+    place = F.when(F.col("event_id") < 1, "a").when(F.col("event_id") < 51, "b").otherwise("c")
+    events = read_clickstream(spark, folder).withColumn("part", place)
+    path = scratch_path(spark, "events-in-three-files")
+    order = ["part", "event_id"]
+    in_order = events.repartitionByRange(*order).sortWithinPartitions(*order)
+    in_order.select("part", *event_columns()).write.partitionBy("part").csv(path, header=True, **LOSSLESS)
+    return path
+
+
+def _staged_in_file_order(spark: SparkSession, folder: str) -> DataFrame:
+    """The numbers of the rows of several files, the largest of which comes last."""
+    path = _events_in_three_files(spark, folder)
+    events = ct.read_events_csv(spark, f"{path}/part=*/*.csv")
+    return ct.stage_events(events, scratch_path(spark, "staged"), file_order=True)
+
+
+def _growing_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """Counted in three steps, file by file; the last step finds nothing new."""
+    path, base = _events_in_three_files(spark, folder), scratch_path(spark, "growing-rollup")
+    for part in ("b", "*", "*"):
+        rollup = ct.update_rollup(spark, base, f"{path}/part={part}/*.csv")
+    return rollup
+
+
+def _report_input_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """What the report job says about its input, from the pass that made its rollup."""
+    events = damaged(read_clickstream(spark, folder))
+    bad = F.when(F.col("event_id") % 37 == 0, "x").otherwise(F.col("product_id").cast("string"))
+    path = _written_csv(events.withColumn("product_id", bad), "events-with-bad-numbers")
+    base = scratch_path(spark, "report")
+    report.run(spark, [path, base, "--count-rejected", "--versions"])
+    columns = T.StructType().add("total_rows", "long").add("rejected_rows", "long")
+    return ct.read_result(spark, f"{ct.current_version(spark, base)}/input_rows", columns)
+
+
 def _stored_rollup(spark: SparkSession, folder: str) -> DataFrame:
     """Written twice: the second one replaces the first."""
     path = scratch_path(spark, "rollup")
@@ -164,21 +203,25 @@ def _scalability_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def _scalability_run(spark: SparkSession, folder: str) -> DataFrame:
     """The timed run without its times, the same on every machine."""
-    events = read_clickstream(spark, folder)
-    timings = ct.scalability_run(events, _sizes(read_star_events(spark, folder)), key="event_id", repeats=1)
+    keys = read_star_events(spark, folder)
+    timings = ct.scalability_run(read_clickstream(spark, folder), _sizes(keys), key="event_id", keys=keys, repeats=1)
     seconds = [name for name in timings.columns if name.endswith("_sec")]
     return timings.select(
         "rows", "completed", F.array_min(F.array(*[F.col(name) > 0 for name in seconds])).alias("timed")
     )
 
 
-def _largest_sample(spark: SparkSession, folder: str) -> DataFrame:
-    """The daily answer that the timed run wrote for its largest sample."""
-    base = scratch_path(spark, "largest-sample")
-    events = read_clickstream(spark, folder)
-    half = read_star_events(spark, folder).count() // 2
-    ct.scalability_run(events, [half // 10, half], key="event_id", repeats=1, results_path=base)
-    return ct.read_result(spark, f"{base}/daily_purchase_revenue", ct.daily_purchase_revenue(events).schema)
+def _largest_sample(name: str, question: Callable[[DataFrame], DataFrame]) -> Query:
+    """An answer that the timed run wrote for its largest sample."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        base = scratch_path(spark, "largest-sample")
+        events, keys = read_clickstream(spark, folder), read_star_events(spark, folder)
+        half = keys.count() // 2
+        ct.scalability_run(events, [half // 10, half], key="event_id", keys=keys, repeats=1, results_path=base)
+        return ct.read_result(spark, f"{base}/{name}", question(events).schema)
+
+    return query
 
 
 def _days_without_purchase(events: DataFrame) -> DataFrame:
@@ -241,15 +284,20 @@ def event_queries() -> dict[str, Query]:
         "csv_rejected_lines": _csv_rejected_lines,
         "result_round_trip": _result_round_trip,
         "staged_events": _staged_events,
+        "staged_in_file_order": _staged_in_file_order,
         "stored_rollup": _stored_rollup,
-        "daily_purchase_revenue_damaged": _dirty_events(lambda e: ct.daily_purchase_revenue(e.filter(~F.isnan("price")))),
+        "growing_rollup": _growing_rollup,
+        "report_input_rows": _report_input_rows,
+        "daily_purchase_revenue_damaged": _dirty_events(ct.daily_purchase_revenue),
         # Scalability.
         "scalability_rows": _scalability_rows,
         "largest_completed": lambda spark, folder: ct.largest_completed(
             _scalability_rows(spark, folder)
         ),
         "scalability_run": _scalability_run,
-        "largest_sample": _largest_sample,
+        "largest_sample": _largest_sample("daily_purchase_revenue", ct.daily_purchase_revenue),
+        "largest_sample_distribution": _largest_sample("event_distribution", ct.event_distribution),
+        "largest_sample_top10_brands": _largest_sample("top10_brands", ct.top_brands),
         # Findings.
         "conversion_rate": _events(ct.conversion_rate),
         "missing_days": _events(ct.missing_days),
@@ -257,6 +305,8 @@ def event_queries() -> dict[str, Query]:
         "daily_spikes": _events(lambda e: ct.daily_spikes(ct.daily_purchase_revenue(e), 1.1)),
         "typical_day": _events(lambda e: ct.typical_day(ct.daily_purchase_revenue(e))),
         "brand_price_mix": _clean(ct.brand_price_mix),
+        "brand_price_quartiles": _clean(lambda e: ct.brand_price_quartiles(ct.price_counts(e))),
+        "brand_price_quartiles_damaged": _dirty(lambda e: ct.brand_price_quartiles(ct.price_counts(e))),
     }
 
 

@@ -4,14 +4,21 @@
 
 Reads the input once into OUTPUT/event_rollup (Parquet); every result folder
 is then computed from that table.  OUTPUT/stage_seconds has the time of each step.
+
+``--count-rejected`` adds OUTPUT/input_rows: how many lines there were and how
+many held a field that did not parse.  The same pass counts them, but it has to
+parse all nine columns instead of four.  With ``--versions`` a run fills a folder
+of its own below OUTPUT, and readers that follow OUTPUT/CURRENT see the results
+of one whole run or of the one before, never of two.
 """
 
+import argparse
 import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clicktally.jobs.options import input_arguments, job_session, read_input
+from clicktally.jobs.options import input_arguments, job_session, read_input, run_into
 from clicktally.plans import findings, rollup
 from clicktally.sinks.results import write_result
 
@@ -19,7 +26,7 @@ from clicktally.sinks.results import write_result
 PER_BRAND = {"brand_price_mix"}
 
 
-def results(table: DataFrame, valid: bool, extras: bool) -> dict[str, DataFrame]:
+def results(table: DataFrame, valid: bool, extras: bool, rejected: bool = False) -> dict[str, DataFrame]:
     daily = rollup.daily_purchase_revenue_from_rollup(table)
     answers = {
         "total_events": rollup.total_events_from_rollup(table),
@@ -27,6 +34,8 @@ def results(table: DataFrame, valid: bool, extras: bool) -> dict[str, DataFrame]
         "daily_purchase_revenue": daily,
         "top10_brands": rollup.top_brands_from_rollup(table),
     }
+    if rejected:
+        answers["input_rows"] = rollup.rejected_rows_from_rollup(table)
     if valid:
         answers["daily_purchase_revenue_valid"] = rollup.valid_daily_revenue_from_rollup(table)
         answers["top10_brands_valid"] = rollup.valid_top_brands_from_rollup(table)
@@ -44,8 +53,12 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
     parser = input_arguments("Event distribution, daily revenue and top brands.")
     parser.add_argument("--valid-prices", action="store_true", help="add the valid-price variants")
     parser.add_argument("--findings", action="store_true", help="add conversion, gaps, spikes, price mix")
+    parser.add_argument("--count-rejected", action="store_true", help="add the number of lines that did not parse")
     args = parser.parse_args(argv)
+    run_into(spark, args, lambda base: _write(spark, args, base))
+
 
+def _write(spark: SparkSession, args: argparse.Namespace, base: str) -> None:
     stages = []
 
     def timed(name: str, action):
@@ -54,9 +67,9 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
         stages.append((name, time.perf_counter() - started))
         return out
 
-    base = args.output.rstrip("/")
-    table = timed("event_rollup", lambda: rollup.write_rollup(read_input(spark, args), f"{base}/event_rollup"))
-    for name, result in results(table, args.valid_prices, args.findings).items():
+    events = read_input(spark, args, keep_rejected=args.count_rejected)
+    table = timed("event_rollup", lambda: rollup.write_rollup(events, f"{base}/event_rollup"))
+    for name, result in results(table, args.valid_prices, args.findings, args.count_rejected).items():
         timed(name, lambda: write_result(  # noqa: B023
             result, base, name, preview_rows=31 if args.preview else 0, single_file=name not in PER_BRAND  # noqa: B023
         ))

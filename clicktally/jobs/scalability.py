@@ -2,17 +2,18 @@
 
     spark-submit --py-files clicktally.zip clicktally/jobs/scalability.py INPUT OUTPUT
 
-The input is numbered in reading order and staged as narrow Parquet below
+The input is numbered in the order of its files and lines and staged as narrow Parquet below
 OUTPUT/staged.  With ``--key`` the input already carries a unique integer
 column to order by, for instance a table staged before, and nothing is staged.
 """
 
+import argparse
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
 from clicktally.functions.events import with_event_date
-from clicktally.jobs.options import input_arguments, job_session, read_input
+from clicktally.jobs.options import input_arguments, job_session, read_input, run_into
 from clicktally.operators.checks import require_columns
 from clicktally.plans.scalability import SAMPLE_SIZES, scalability_run
 from clicktally.sinks.results import write_result
@@ -26,7 +27,10 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--key", help="unique integer column of a Parquet input that orders its rows")
     args = parser.parse_args(argv)
 
-    base = args.output.rstrip("/")
+    run_into(spark, args, lambda base: _write(spark, args, base))
+
+
+def _write(spark: SparkSession, args: argparse.Namespace, base: str) -> None:
     if args.key:
         if args.format != "parquet":
             raise ValueError("--key needs --format parquet")
@@ -34,7 +38,7 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
             with_event_date(spark.read.parquet(args.input)), [args.key, "event_type", "event_date", "brand", "price"]
         )
     else:
-        table = stage_events(read_input(spark, args), f"{base}/staged")
+        table = stage_events(read_input(spark, args), f"{base}/staged", file_order=True)
     timings = scalability_run(
         table,
         args.sizes,

@@ -34,7 +34,7 @@ def revenue_by(
 
     Rows without a price count but add nothing to the sum or the mean.
     """
-    sums = purchases.groupBy(key).agg(F.count(F.lit(1)).alias(count), *money.parts(price, "price"))
+    sums = purchases.groupBy(key).agg(F.count(F.lit(1)).alias(count), *money.totals(price, "price"))
     measures = [F.col(count), money.revenue("price").alias(revenue)]
     if average:
         measures.append(money.average("price").alias(average))

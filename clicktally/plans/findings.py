@@ -5,7 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicktally.functions.events import has_brand, is_purchase, with_event_date
+from clicktally.functions.events import has_brand, is_purchase, valid_price, with_event_date
+from clicktally.operators.quantiles import counted_quantiles
 from clicktally.operators.totals import revenue_by
 from clicktally.schema import PURCHASE, VIEW
 
@@ -95,3 +96,21 @@ def brand_price_mix(events: DataFrame) -> DataFrame:
         )
         .orderBy(F.desc("num_purchases"), "brand")
     )
+
+
+def price_counts(events: DataFrame) -> DataFrame:
+    """How many purchases each brand has at each valid price: a rollup from which quantiles can be taken."""
+    priced = events.filter(is_purchase() & has_brand()).select("brand", valid_price().alias("price"))
+    return priced.filter(F.col("price").isNotNull()).groupBy("brand", "price").agg(F.count(F.lit(1)).alias("num_priced"))
+
+
+def brand_price_quartiles(counts: DataFrame) -> DataFrame:
+    """The typical price of each brand, and the prices a quarter of its purchases stay below or go beyond.
+
+    ``counts`` is the result of :func:`price_counts`, or several of them put together.  Quartiles are exact;
+    one between two prices is rounded to six decimals.
+    """
+    merged = counts.groupBy("brand", "price").agg(F.sum("num_priced").alias("num_priced"))
+    names = {"low": 0.25, "middle": 0.5, "high": 0.75}
+    found = counted_quantiles(merged, "brand", "price", "num_priced", names)
+    return found.select("brand", "num_priced", *[F.round(name, 6).alias(name) for name in names]).orderBy("brand")

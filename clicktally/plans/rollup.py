@@ -20,19 +20,31 @@ from clicktally.functions.events import (
 )
 from clicktally.operators.totals import top_by, with_share
 from clicktally.plans.findings import conversion_columns
+from clicktally.sources.csv_events import REJECT_COLUMN, rejected_line
 from clicktally.sources.scratch import replace_folder
 
+#: Lines with a field that did not parse, in rollups of events read with ``keep_rejected=True``.
+REJECTED_COUNT = "rejected_count"
+
+
 def event_rollup(events: DataFrame) -> DataFrame:
     """Counts and sums per (event_type, event_date, brand), NULLs included.
 
     The ``price_`` columns are the parts of :mod:`clicktally.functions.money`
-    over all prices, the ``valid_`` columns the same over valid prices.
+    over all prices, the ``valid_`` columns the same over valid prices.  Events
+    that were read with their rejected lines add ``rejected_count``: counting
+    them is part of the same pass, and stays exact when tasks run again.
     """
+    counts = [F.count(F.lit(1)).alias("event_count")]
+    rejected = []
+    if REJECT_COLUMN in events.columns:
+        rejected = [rejected_line().alias(REJECT_COLUMN)]
+        counts.append(F.count(REJECT_COLUMN).alias(REJECTED_COUNT))
     priced = with_event_date(events).select(
-        "event_type", "event_date", "brand", "price", valid_price().alias("valid_price")
+        "event_type", "event_date", "brand", "price", valid_price().alias("valid_price"), *rejected
     )
     return priced.groupBy("event_type", "event_date", "brand").agg(
-        F.count(F.lit(1)).alias("event_count"),
+        *counts,
         *money.parts(F.col("price"), "price"),
         *money.parts(F.col("valid_price"), "valid"),
     )
@@ -50,13 +62,22 @@ def write_rollup(events: DataFrame, path: str) -> DataFrame:
 
 
 def _sums_by(rollup: DataFrame, key: str, prefix: str) -> DataFrame:
-    return rollup.groupBy(key).agg(F.sum("event_count").alias("events"), *money.added_parts(prefix))
+    return rollup.groupBy(key).agg(F.sum("event_count").alias("events"), *money.added_totals(prefix))
 
 
 def total_events_from_rollup(rollup: DataFrame) -> DataFrame:
     return rollup.agg(F.coalesce(F.sum("event_count"), F.lit(0).cast("bigint")).alias("total_events"))
 
 
+def rejected_rows_from_rollup(rollup: DataFrame) -> DataFrame:
+    """One row: how many lines were read, and how many held a field that did not parse."""
+    none = F.lit(0).cast("bigint")
+    return rollup.agg(
+        F.coalesce(F.sum("event_count"), none).alias("total_rows"),
+        F.coalesce(F.sum(REJECTED_COUNT), none).alias("rejected_rows"),
+    )
+
+
 def event_distribution_from_rollup(rollup: DataFrame) -> DataFrame:
     counts = rollup.groupBy("event_type").agg(F.sum("event_count").alias("event_count"))
     return with_share(counts, "event_count", "pct_of_total").orderBy(

@@ -12,6 +12,9 @@ from clicktally.functions.events import with_event_date
 from clicktally.operators.first_n import nth_smallest
 from clicktally.plans.direct import daily_purchase_revenue, event_distribution, top_brands
 from clicktally.sinks.results import write_result
+from clicktally.sources.scratch import scratch_path
+
+SIZE_CLASS = "size_class"
 
 # Sample sizes and column names of the timing table.
 SAMPLE_SIZES = (100_000, 500_000, 1_000_000, 5_000_000)
@@ -40,6 +43,7 @@ def scalability_run(
     sizes: Sequence[int] = SAMPLE_SIZES,
     *,
     key: str,
+    keys: DataFrame | None = None,
     repeats: int = 3,
     results_path: str | None = None,
 ) -> DataFrame:
@@ -52,15 +56,19 @@ def scalability_run(
     executor ends has ``completed`` false, and the larger ones are tried all the
     same.  With ``results_path`` the answers of the largest completed sample are
     written there.
+
+    ``events`` is read once, to stage the rows of all samples.  Finding where the
+    samples end takes a few passes more over the key; ``keys`` may name a table
+    that has the same keys and is cheaper to read, such as the events before a join.
     """
     sizes = sorted(sizes)
-    cuts = nth_smallest(events, sizes, key)
-    narrow = with_event_date(events).select(key, "event_type", "event_date", "brand", "price")
+    cuts = nth_smallest(events if keys is None else keys, sizes, key)
+    staged = stage_samples(events, [cuts[size] for size in sizes], key)
     timings = []
-    for size in sizes:
+    for place, size in enumerate(sizes):
         try:
             warm_up = not any(done for *_, done in timings)
-            pool = narrow if cuts[size] is None else narrow.filter(F.col(key) <= F.lit(cuts[size]))
+            pool = staged.filter(F.col(SIZE_CLASS) <= place).drop(SIZE_CLASS)
             timings.append(_time_sample(pool, key, repeats, warm_up, results_path))
         except Exception as error:
             if not any(sign in str(error) for sign in OUT_OF_RESOURCES):
@@ -69,6 +77,22 @@ def scalability_run(
     return events.sparkSession.createDataFrame(timings, TIMING_SCHEMA)
 
 
+def stage_samples(events: DataFrame, cuts: Sequence[int | None], key: str) -> DataFrame:
+    """The rows of the largest sample, stored in one folder for each ``size_class``: the place of the smallest
+    sample that holds a row.  ``cuts`` are the last keys of the samples, rising, None for the whole table.
+
+    A sample is the folders up to its own place, which a filter on the class selects without reading others.
+    """
+    narrow = with_event_date(events).select(key, "event_type", "event_date", "brand", "price")
+    if cuts and cuts[-1] is not None:
+        narrow = narrow.filter(F.col(key) <= F.lit(cuts[-1]))
+    beyond = [(F.col(key) > F.lit(cut)).cast("int") for cut in cuts if cut is not None]
+    classed = narrow.withColumn(SIZE_CLASS, sum(beyond, F.lit(0)))
+    path = scratch_path(events.sparkSession, "samples")
+    classed.write.partitionBy(SIZE_CLASS).parquet(path)
+    return events.sparkSession.read.schema(classed.schema).parquet(path)
+
+
 def _time_sample(
     pool: DataFrame, key: str, repeats: int, warm_up: bool, results_path: str | None
 ) -> tuple:
@@ -107,7 +131,7 @@ def _run(question: Callable[[DataFrame], DataFrame], sample: DataFrame) -> float
 
 
 def scalability_rows(events: DataFrame, sizes: Sequence[int], *, key: str) -> DataFrame:
-    """Requested and actual rows per size: the run without its times."""
+    """Requested and actual rows per size: the run without its times.  Reads nothing but the key."""
     cuts = nth_smallest(events, sizes, key)
     inside = [
         F.count_if(F.lit(True) if cuts[size] is None else F.col(key) <= F.lit(cuts[size])).alias(f"n{i}")

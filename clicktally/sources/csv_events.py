@@ -2,10 +2,11 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicktally.schema import event_columns, event_schema
+from clicktally.sources.files import file_table
 
 REJECT_COLUMN = "_rejected"
 
@@ -40,19 +41,23 @@ def read_events_csv(
         reader = reader.option("pathGlobFilter", file_name)
 
     events = reader.schema(schema).csv(paths if isinstance(paths, str) else list(paths))
-    if recursive and not events.inputFiles():
+    if recursive and file_table(spark, paths, recursive=True, file_name=file_name).isEmpty():
         raise FileNotFoundError(f"no files named {file_name or '*'} below {paths}")
     return events
 
 
+def rejected_line() -> Column:
+    """Not NULL if a line read with ``keep_rejected=True`` held a field that did not parse; for ``count``."""
+    # Referring to every column makes the scan parse every field; a pruned scan
+    # would not notice bad text in a column it skips.
+    return F.when(F.col(REJECT_COLUMN).isNotNull(), F.struct(*event_columns()))
+
+
 def rejected_rows(events: DataFrame) -> DataFrame:
     """One row: how many lines were read, and how many held a field that did not parse.
 
     ``events`` comes from ``read_events_csv(..., keep_rejected=True)``.
     """
-    # Referring to every column makes the scan parse every field; a pruned scan
-    # would not notice bad text in a column it skips.
-    rejected = F.when(F.col(REJECT_COLUMN).isNotNull(), F.struct(*event_columns()))
     return events.agg(
-        F.count(F.lit(1)).alias("total_rows"), F.count(rejected).alias("rejected_rows")
+        F.count(F.lit(1)).alias("total_rows"), F.count(rejected_line()).alias("rejected_rows")
     )

@@ -25,10 +25,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def replace_folder(spark: SparkSession, fresh: str, path: str) -> None:
-    """Put the complete folder ``fresh`` in the place of ``path``, on whatever file system they are."""
+    """Put the complete folder ``fresh`` in the place of ``path``, on whatever file system they are.
+
+    The old folder is moved aside first and goes once the new one is in place, so
+    that a failure on the way loses neither.  Readers that must not find the
+    moment in between use :mod:`clicktally.sinks.versions`.
+    """
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    aside = hadoop.Path(f"{path.rstrip('/')}-old-{uuid.uuid4().hex}")
     fresh, path = hadoop.Path(fresh), hadoop.Path(path)
     files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.delete(path, True)
+    replaced = files.exists(path)
+    if replaced and not files.rename(path, aside):
+        raise OSError(f"{path} could not be renamed to {aside}")
     if not files.rename(fresh, path):
+        if replaced:
+            files.rename(aside, path)
         raise OSError(f"{fresh} could not be renamed to {path}")
+    if replaced:
+        files.delete(aside, True)

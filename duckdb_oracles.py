@@ -45,16 +45,21 @@ def _amount(price: str) -> str:
     return f"CASE WHEN NOT isnan({price}) THEN CAST({price} AS DECIMAL(26, 8)) END"
 
 
+def _nan_if_any(price: str, value: str) -> str:
+    """One NaN makes the result NaN."""
+    return f"CASE WHEN bool_or(isnan({price})) THEN CAST('NaN' AS DOUBLE) ELSE {value} END"
+
+
 def _sum(price: str) -> str:
     """An exact sum, rounded half-up to cents."""
-    return f"CAST(round(sum({_amount(price)}), 2) AS DOUBLE)"
+    return _nan_if_any(price, f"CAST(round(sum({_amount(price)}), 2) AS DOUBLE)")
 
 
 def _mean(price: str) -> str:
     """An exact mean, rounded half-up to cents, by whole numbers of 10^-8."""
     total, count = f"CAST(sum({_amount(price)}) * 100000000 AS HUGEINT)", f"count({price})"
     units = f"(2 * abs({total}) + 1000000 * {count}) // nullif(2000000 * {count}, 0)"
-    return f"sign({total}) * {units} / {_HUNDRED}"
+    return _nan_if_any(price, f"sign({total}) * {units} / {_HUNDRED}")
 
 
 def _clean(sql: str) -> str:
@@ -105,10 +110,9 @@ def _parts(price: str, prefix: str) -> str:
     whole = f"(abs({price}) < 1e13 AND round({price} * 100) / 100 = {price})"
     return f"""count({price}) AS {prefix}_priced,
        CAST(sum(CASE WHEN {whole} THEN CAST(round({price} * 100) AS BIGINT) END) AS DECIMAL(28, 0)) AS {prefix}_cents,
-       CAST(sum(CASE WHEN NOT {whole} AND NOT isnan({price}) THEN CAST({price} AS DECIMAL(26, 8)) END)
+       CAST(sum(CASE WHEN NOT {whole} AND abs({price}) < 1e18 THEN CAST({price} AS DECIMAL(26, 8)) END)
          AS DECIMAL(36, 8)) AS {prefix}_other,
-       CAST(count(*) FILTER (isnan({price})) AS BIGINT) AS {prefix}_nans,
-       CAST(0 AS BIGINT) AS {prefix}_highs, CAST(0 AS BIGINT) AS {prefix}_lows"""
+       CAST(sum(CASE WHEN abs({price}) >= 1e18 THEN {price} / pow(2, 64) END) AS DOUBLE) AS {prefix}_beyond"""
 
 
 def _rollup(table: str) -> str:
@@ -124,6 +128,16 @@ SELECT brand, count(*) AS num_purchases, {_sum("price")} AS estimated_revenue, {
 FROM {table} WHERE event_type = 'purchase' AND brand IS NOT NULL AND brand <> '' GROUP BY brand"""
 
 
+_FIRST_HALF = "(SELECT * FROM clean ORDER BY event_id LIMIT (SELECT count(*) // 2 FROM events))"
+
+def _quartiles(table: str) -> str:
+    return f"""
+SELECT brand, count(*) AS num_priced, round(quantile_cont(price, 0.25), 6) AS low,
+       round(quantile_cont(price, 0.5), 6) AS middle, round(quantile_cont(price, 0.75), 6) AS high
+FROM (SELECT brand, {_VALID} AS price FROM {table} WHERE event_type = 'purchase' AND brand IS NOT NULL AND brand <> '')
+WHERE price IS NOT NULL GROUP BY brand"""
+
+
 _CONVERSION = """
 SELECT v AS num_views, p AS num_purchases,
        CAST(p AS DOUBLE) / nullif(v, 0) AS conversion_rate,
@@ -183,7 +197,7 @@ def oracle_sql() -> dict[str, str]:
         "q3_from_rollup": _clean(_top_brands("clean")),
         "valid_daily_from_rollup": _dirty(_valid_daily()),
         "valid_top10_brands_from_rollup": _dirty(_valid_top_brands()),
-        "daily_purchase_revenue_damaged": _dirty(_daily("(SELECT * FROM dirty WHERE isnan(price) IS NOT TRUE)")),
+        "daily_purchase_revenue_damaged": _dirty(_daily("dirty")),
         "conversion_rate_from_rollup": _clean(_CONVERSION),
         "csv_round_trip": _clean(f"SELECT {_COLUMNS} FROM clean"),
         # An empty brand field reads as NULL.
@@ -192,7 +206,14 @@ def oracle_sql() -> dict[str, str]:
             "SELECT event_time, user_id, CAST(NULL AS BIGINT) AS product_id, 'x' AS product_text"
             " FROM dirty WHERE event_id % 37 = 0"
         ),
+        "staged_in_file_order": _clean(
+            f"SELECT row_number() OVER (ORDER BY event_id) - 1 AS row_id, event_type, {_DAY} AS event_date, brand, price FROM clean"
+        ),
         "stored_rollup": _clean(_rollup("clean")),
+        "growing_rollup": _clean(_rollup("clean")),
+        "report_input_rows": _dirty(
+            "SELECT count(*) AS total_rows, count(*) FILTER (event_id % 37 = 0) AS rejected_rows FROM dirty"
+        ),
         "recursive_csv_events": _clean(
             f"SELECT {_DAY} AS event_date, count(*) AS events, count(brand) AS branded FROM clean GROUP BY 1"
         ),
@@ -210,7 +231,9 @@ GROUP BY brand"""),
         "scalability_run": """
 SELECT least(total * pct // 100, total) AS rows, true AS completed, true AS timed
 FROM (SELECT count(*) AS total FROM events), (SELECT unnest([1, 10, 50, 100, 200]) AS pct)""",
-        "largest_sample": _clean(_daily("(SELECT * FROM clean ORDER BY event_id LIMIT (SELECT count(*) // 2 FROM events))")),
+        "largest_sample": _clean(_daily(_FIRST_HALF)),
+        "largest_sample_distribution": _clean(_distribution(_FIRST_HALF)),
+        "largest_sample_top10_brands": _clean(_top_brands(_FIRST_HALF)),
         "scalability_rows": """
 SELECT requested_rows, least(requested_rows, total) AS rows, true AS completed
 FROM (SELECT count(*) AS total FROM events),
@@ -237,5 +260,7 @@ SELECT measure, round(quantile_cont(v, 0.25), 4) AS low, round(quantile_cont(v,
        round(quantile_cont(v, 0.75), 4) AS high
 FROM long GROUP BY measure"""),
         "brand_price_mix": _clean(_price_mix("clean")),
+        "brand_price_quartiles": _clean(_quartiles("clean")),
+        "brand_price_quartiles_damaged": _dirty(_quartiles("dirty")),
         "brand_price_mix_from_rollup": _clean(_price_mix("clean")),
     }

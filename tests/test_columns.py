@@ -73,13 +73,15 @@ def test_every_price_in_cents_is_recognised(spark):
 
 def test_mean_rounds_half_cents_up(spark):
     sums = spark.createDataFrame(
-        [(10681, None, 2, 0), (-10681, None, 2, 0), (100, None, 3, 0), (None, None, 0, 0), (100, "0.005", 2, 0), (None, None, 1, 1)],
-        "p_cents bigint, other string, p_priced bigint, p_nans bigint",
+        [(10681, None, 2, None), (-10681, None, 2, None), (100, None, 3, None), (None, None, 0, None), (100, "0.005", 2, None),
+         (None, None, 1, float("nan"))],
+        "p_cents bigint, other string, p_priced bigint, p_beyond double",
     ).selectExpr(
         "CAST(p_cents AS DECIMAL(28, 0)) AS p_cents", "CAST(other AS DECIMAL(36, 8)) AS p_other",
-        "p_priced", "p_nans", "0L AS p_highs", "0L AS p_lows",
+        "p_priced", "p_beyond",
     )
-    got = sums.select(money.revenue("p"), money.average("p"))
+    totals = sums.withColumn("p_total", money.total_of(F.col("p_cents"), F.col("p_other")))
+    got = totals.select(money.revenue("p"), money.average("p"))
     assert [tuple(map(plain, row)) for row in got.collect()] == [
         (106.81, 53.41), (-106.81, -53.41), (1.0, 0.33), (None, None), (1.01, 0.5), ("NaN", "NaN"),
     ]

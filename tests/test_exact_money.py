@@ -1,7 +1,7 @@
 """Sums and means against decimal arithmetic in Python."""
 
 from collections import defaultdict
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import clicktally as ct
 from hypothesis import HealthCheck, given, settings
@@ -85,7 +85,32 @@ def test_what_is_no_amount(spark):
     inf = float("inf")
     assert totals(spark, [1.0, inf]) == (inf, inf)
     assert totals(spark, [1.0, -inf]) == (-inf, -inf)
-    assert totals(spark, [1e300, 2.0]) == (inf, inf)
     assert repr(totals(spark, [inf, -inf])) == "(nan, nan)"
     assert repr(totals(spark, [float("nan"), 1.0])) == "(nan, nan)"
     assert totals(spark, [None]) == (None, None)
+
+
+def test_finite_prices_stay_finite(spark):
+    for ansi in ("true", "false"):
+        assert totals(spark, [1e18], ansi) == (1e18, 1e18)
+        assert totals(spark, [1e300, 2.0], ansi) == (1e300, 5e299)
+        assert totals(spark, [-1e18, 0.05], ansi) == (-1e18, -5e17)
+        assert totals(spark, [1e18, -1e18, 1.25], ansi) == (1.25, 0.42)
+        assert totals(spark, [1.7e308, 1.7e308, -1.7e308, -1.7e308], ansi) == (0.0, 0.0)
+        assert totals(spark, [9.9e17] * 3 + [0.01], ansi) == (2.97e18, 7.425e17)
+    assert totals(spark, [1.7e308, 1.7e308]) == (float("inf"), 1.7e308)
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(prices=st.lists(st.one_of(
+    st.integers(-(10**15), 10**15).map(lambda c: c / 100),
+    st.floats(-1e12, 1e12),
+    st.sampled_from([0.0, -0.01, 0.005, 9999999999999.99, -9999999999999.99, 335544.32, -335544.32]),
+), min_size=1, max_size=30))
+def test_cents_and_fractions_against_decimals(spark, prices):
+    """Whole cents around the cut between the parts, and fractions of a cent to eight places."""
+    amounts = [Decimal(repr(p)).quantize(Decimal("1e-8"), ROUND_HALF_UP) for p in prices]
+    with localcontext(prec=60):
+        total, count = sum(amounts), len(amounts)
+        wanted = total.quantize(CENT, ROUND_HALF_UP), (total / count).quantize(CENT, ROUND_HALF_UP)
+    assert totals(spark, prices) == tuple(map(float, wanted))

@@ -92,7 +92,7 @@ def rollup_rows(spark, rows):
     """A rollup with whole-cent prices only: (type, day, brand, events, cents)."""
     parts = ", ".join(
         f"n AS {p}_priced, CAST(c AS DECIMAL(28, 0)) AS {p}_cents, CAST(NULL AS DECIMAL(36, 8)) AS {p}_other, "
-        f"0L AS {p}_nans, 0L AS {p}_highs, 0L AS {p}_lows"
+        f"CAST(NULL AS DOUBLE) AS {p}_beyond"
         for p in ("price", "valid")
     )
     return spark.sql(
