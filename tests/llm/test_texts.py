@@ -293,6 +293,107 @@ def test_near_copies_of_lines(documents):
     assert whole == {row[0] for row in rows}
 
 
+def test_short_lines_and_texts(documents):
+    """Five equal lines or texts of twelve words are found; seven words are no paragraph."""
+    rng = random.Random(8)
+    fresh = lambda k: " ".join("".join(rng.choices("abcdefghijklmn", k=6)) for _ in range(k))
+    line, text, short = fresh(12), fresh(12), fresh(7)
+    rows = [(i, f"{fresh(40)}\n{line.upper()}\n{fresh(40)}", "en", "s") for i in range(5)]
+    rows += [(10 + i, text.replace(" ", "  "), "en", "s") for i in range(5)]
+    rows += [(20 + i, f"{fresh(30)}\n{short}\n{fresh(30)}", "en", "s") for i in range(5)] + [(30, short, "en", "s"), (31, short, "en", "s")]
+    found = sorted((r.doc_id, r.first_word, r.end_word, r.kept) for r in passages.repeated_passages(documents(rows)).collect())
+    assert found == [(i, 40, 52, i == 0) for i in range(5)] + [(10 + i, 0, 12, i == 0) for i in range(5)]
+
+
+def shared_words(rows, size, inner=0):
+    """The words of each document that lie in a stretch of ``size`` words or more which another document holds,
+    without ``inner`` words at either end of a longest one."""
+    holders, split = {}, {i: plainly.words(text) for i, text, *_ in rows}
+    for i, own in split.items():
+        for k in range(len(own) - size + 1):
+            holders.setdefault(tuple(own[k : k + size]), []).append((i, k))
+    covered = {i: set() for i in split}
+    for i, own in split.items():
+        for k in range(len(own) - size + 1):
+            for j, at in holders[tuple(own[k : k + size])]:
+                if i == j or (k and at and own[k - 1] == split[j][at - 1]):
+                    continue  # not another document, or not where the stretch starts
+                n = size
+                while k + n < len(own) and at + n < len(split[j]) and own[k + n] == split[j][at + n]:
+                    n += 1
+                covered[i].update(range(k + inner, k + n - inner))
+    return covered
+
+
+def test_passages_against_all_stretches(documents, monkeypatch):
+    """Of a stretch of 23 words and more that any two documents share, only words among the eleven at an end may be
+    missed, and only where the first document with the window there lacks them; nothing unshared is reported."""
+    rng = random.Random(11)
+    fresh = lambda k: ["".join(rng.choices("abcdefghijklmn", k=5)) for _ in range(k)]
+    pool = [fresh(rng.randint(15, 70)) for _ in range(12)]
+    rows = []
+    for i in range(120):
+        words = []
+        for _ in range(rng.randint(1, 6)):
+            part = rng.choice(pool) if rng.random() < 0.5 else fresh(rng.randint(1, 50))
+            at = rng.randint(0, len(part) - 1)
+            words += part[at : at + rng.randint(1, len(part))]
+        text = "".join(w + rng.choice([" ", " ", " ", "  ", "\t", "\n" if rng.random() < 0.1 else " "]) for w in words)
+        rows.append((rng.randint(-(2**40), 2**40), text, "en", "s"))
+    inner, whole, short = shared_words(rows, 23, inner=11), shared_words(rows, 23), shared_words(rows, 8)
+    for block in (1_000_000, 700):
+        monkeypatch.setattr(passages, "BLOCK_CHARS", block)
+        found = {i: set() for i in inner}
+        for r in passages.repeated_passages(documents(rows), percent=100).collect():
+            found[r.doc_id].update(range(r.first_word, r.end_word))
+        for i, own in found.items():
+            assert inner[i] <= own, (block, i, sorted(inner[i] - own))
+            assert own <= short[i], (block, i, sorted(own - short[i]))
+        missed = sum(len(whole[i] - own) for i, own in found.items())
+        assert missed <= 0.05 * sum(map(len, whole.values()))
+
+
+def paragraphs_of(text):
+    lines = [plainly.words(line) for line in (text or "").split("\n")]
+    long = [own for own in lines if len(own) >= 8]
+    whole = plainly.words(text)
+    return long or ([whole] if len(whole) >= 8 else [])
+
+
+def test_near_paragraphs_against_all_pairs(documents):
+    """Lines at a similarity of 0.8 and more: nearly all are found whole, and no other line is."""
+    rng = random.Random(12)
+    fresh = lambda k: ["".join(rng.choices("abcdefghijklmn", k=5)) for _ in range(k)]
+    rows, base = [], [fresh(rng.randint(30, 120)) for _ in range(40)]
+    for i, line in enumerate(base * 3):
+        own = list(line)
+        for _ in range(rng.choice([0, 1, 1, 2, 6])):
+            own[rng.randrange(len(own))] = "changed"
+        rows.append((i, "\n".join([" ".join(fresh(20)), " ".join(own), " ".join(fresh(9))]), "en", "s"))
+    sets = [(i, k, plainly.shingles(" ".join(own), 5)) for i, text, *_ in rows for k, own in enumerate(paragraphs_of(text))]
+    near = {
+        i for i, k, a in sets if k == 1 for j, other, b in sets if i != j and other == 1 and len(a & b) >= 0.8 * len(a | b)
+    }
+    sizes = {i: len(paragraphs_of(text)[1]) for i, text, *_ in rows}
+    found = passages.repeated_passages(documents(rows)).collect()
+    whole = {r.doc_id for r in found if r.first_word <= 20 and r.end_word >= 20 + sizes[r.doc_id]}
+    assert len(near & whole) >= 0.95 * len(near) > 40
+    assert all(r.first_word >= 20 and r.end_word <= 20 + sizes[r.doc_id] for r in found)
+
+
+def test_a_text_longer_than_a_block(documents, monkeypatch):
+    """A text of more code points than a block, beside small ones, gives what it gives in one block."""
+    rng = random.Random(13)
+    fresh = lambda k: " ".join("".join(rng.choices("abcdefghijklmn", k=6)) for _ in range(k))
+    passage = fresh(60)
+    rows = [(i, fresh(20), "en", "s") for i in range(5)] + [(10, f"{fresh(3000)} {passage} {fresh(3000)}", "en", "s"), (11, passage, "en", "s")]
+    wanted = [(10, 3000, 3060, True), (11, 0, 60, False)]
+    for block in (1_000_000, 1000):
+        monkeypatch.setattr(passages, "BLOCK_CHARS", block)
+        found = passages.repeated_passages(documents(rows)).collect()
+        assert sorted((r.doc_id, r.first_word, r.end_word, r.kept) for r in found) == wanted
+
+
 def test_passages_of_odd_rows(documents):
     found = passages.repeated_passages(documents(ODD)).collect()
     assert {(r.doc_id, r.kept) for r in found} == {(6, True), (7, False)}
