@@ -60,6 +60,7 @@ class Encoder:
 
         self.library = Tokenizer.from_str(model)
         self.library.encode_special_tokens = True
+        self.library.model._resize_cache(0)  # it is given each word once
         (self.between,) = self._encoded([self.BETWEEN.decode()])[0].ids
         self._forget()
 
