@@ -12,7 +12,7 @@ from clicktally.functions.events import with_event_date
 from clicktally.operators.first_n import nth_smallest
 from clicktally.plans.direct import daily_purchase_revenue, event_distribution, top_brands
 from clicktally.sinks.results import write_result
-from clicktally.sources.scratch import scratch_path
+from clicktally.sources.scratch import scratch_path, scratch_scope
 
 SIZE_CLASS = "size_class"
 
@@ -63,6 +63,14 @@ def scalability_run(
     """
     sizes = sorted(sizes)
     cuts = nth_smallest(events if keys is None else keys, sizes, key)
+    with scratch_scope(events.sparkSession):
+        timings = _time_samples(events, sizes, cuts, key, repeats, results_path)
+    return events.sparkSession.createDataFrame(timings, TIMING_SCHEMA)
+
+
+def _time_samples(
+    events: DataFrame, sizes: list[int], cuts: dict[int, int | None], key: str, repeats: int, results_path: str | None
+) -> list[tuple]:
     staged = stage_samples(events, [cuts[size] for size in sizes], key)
     timings = []
     for place, size in enumerate(sizes):
@@ -74,7 +82,7 @@ def scalability_run(
             if not any(sign in str(error) for sign in OUT_OF_RESOURCES):
                 raise
             timings.append((size, None, None, None, None, None, False))
-    return events.sparkSession.createDataFrame(timings, TIMING_SCHEMA)
+    return timings
 
 
 def stage_samples(events: DataFrame, cuts: Sequence[int | None], key: str) -> DataFrame:

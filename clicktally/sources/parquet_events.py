@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from clicktally.functions.events import with_event_date
 from clicktally.operators.checks import conform
-from clicktally.sources.scratch import scratch_path
+from clicktally.sources.scratch import scratch_path, scratch_scope
 
 ROW_ID = "row_id"
 
@@ -27,14 +27,16 @@ def stage_events(events: DataFrame, path: str, *, file_order: bool = False) -> D
     With ``file_order`` the rows are numbered from 0 without a gap: files by their
     path, lines as they stand.  ``events`` must come straight from files.
     """
+    spark = events.sparkSession
     columns = ["event_type", "event_date", "brand", "price"]
     dated = with_event_date(events)
-    if file_order:
-        numbered = _in_file_order(dated, columns)
-    else:
-        numbered = dated.select(F.monotonically_increasing_id().alias(ROW_ID), *columns)
-    numbered.write.mode("overwrite").parquet(path)
-    return events.sparkSession.read.parquet(path)
+    with scratch_scope(spark):
+        if file_order:
+            numbered = _in_file_order(dated, columns)
+        else:
+            numbered = dated.select(F.monotonically_increasing_id().alias(ROW_ID), *columns)
+        numbered.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def _in_file_order(events: DataFrame, columns: list[str]) -> DataFrame:

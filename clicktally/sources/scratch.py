@@ -1,9 +1,11 @@
-"""Where a job may keep tables between two steps."""
+"""Where a job may keep tables between two steps, and when they go."""
 
 import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -21,7 +23,36 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="clicktally-")
         atexit.register(shutil.rmtree, shared, ignore_errors=True)
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    for scope in _scopes:
+        scope.append(path)
+    return path
+
+
+#: The paths handed out inside each scope that is open.
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end of the block, the folders of all paths that were handed out in it.
+
+    Whatever reads them has to be written elsewhere by then, to a path from outside the block.
+    """
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        for path in paths:
+            remove_folder(spark, path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is; none is no error."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def replace_folder(spark: SparkSession, fresh: str, path: str) -> None:

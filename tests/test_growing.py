@@ -1,16 +1,17 @@
 """Rollups that grow by files, versions that a failure can't tear, numbers in file order, quantiles of counts."""
 
+import pathlib
 import random
 import statistics
 
 import clicktally as ct
 import numpy as np
 import pytest
-from clicktally.jobs import report
+from clicktally.jobs import report, scalability
 from clicktally.operators.quantiles import counted_quantiles
 from clicktally.sinks import versions
 from clicktally.sources.files import file_table
-from clicktally.sources.scratch import scratch_path
+from clicktally.sources.scratch import scratch_path, scratch_scope
 from compare import spark_rows
 from edge_rows import LINES, write_edge_file
 
@@ -170,6 +171,28 @@ def test_rows_of_several_files_are_numbered_by_name_and_line(spark, tmp_path, sp
     assert ct.first_n(staged, 60, "row_id").count() == 60
 
 
+def test_scratch_goes_with_its_scope(spark, tmp_path):
+    shared = pathlib.Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    outside = scratch_path(spark, "outside")
+    spark.range(3).write.parquet(outside)
+    with pytest.raises(RuntimeError, match="lost"), scratch_scope(spark):
+        spark.range(3).write.parquet(scratch_path(spark, "first"))
+        with scratch_scope(spark):
+            spark.range(3).write.parquet(scratch_path(spark, "second"))
+        assert not list(shared.glob("second-*"))
+        assert list(shared.glob("first-*"))
+        raise RuntimeError("lost")
+    assert not list(shared.glob("first-*"))
+    assert spark.read.parquet(outside).count() == 3
+
+
+def test_jobs_leave_no_scratch_behind(spark, tmp_path):
+    shared = pathlib.Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(shared.iterdir())
+    scalability.run(spark, [write_edge_file(tmp_path), f"{tmp_path}/out", "--sizes", "5", "--repeats", "1"])
+    assert set(shared.iterdir()) == before
+
+
 def test_file_table(spark, tmp_path):
     for name in ("a/x.csv", "a/b/x.csv", "a/b/y.csv"):
         write_edge_file(tmp_path, name)

@@ -56,7 +56,7 @@ def test_distribution_of_a_cached_partition_groups_once(spark, events, capsys):
 
 
 def test_samples_are_cut_before_the_brand_join(spark, capsys):
-    """Finding the cut-offs reads the key column only, in one pass for all sizes."""
+    """Finding the cut-offs of all sizes together reads the key, and what the join needs."""
     clickstream = entries.read_clickstream(spark, FOLDER)
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("cuts", "cuts")
@@ -69,6 +69,31 @@ def test_samples_are_cut_before_the_brand_join(spark, capsys):
     assert all(columns <= {"event_id", "p_partkey", "props"} for columns in read_columns(plan))
 
 
+def test_cut_offs_join_nothing(spark, capsys, monkeypatch):
+    """With a table of keys the passes that find the cut-offs read one column and have no join; the joined events are
+    read once, for all samples."""
+    from clicktally.plans import scalability
+
+    keys = entries.read_star_events(spark, FOLDER)
+    plan = executed_plan(ct.scalability_rows(keys, [10, 100, 500, 1000], key="event_id"), capsys)
+    assert "Join" not in plan and read_columns(plan) == [{"event_id"}]
+
+    staged, original = [], scalability.stage_samples
+    monkeypatch.setattr(scalability, "stage_samples", lambda *a: staged.append(original(*a)) or staged[-1])
+    pools, load = [], scalability.load_sample
+
+    def seen(pool, key):
+        pool.explain()
+        pools.append(capsys.readouterr().out)
+        return load(pool, key)
+
+    monkeypatch.setattr(scalability, "load_sample", seen)
+    timings = ct.scalability_run(entries.read_clickstream(spark, FOLDER), [100, 1000], key="event_id", keys=keys, repeats=1)
+    assert [row["rows"] for row in timings.collect()] == [100, 1000]
+    assert len(staged) == 1 and len(pools) == 2
+    assert all("Join" not in pool and "PartitionFilters: [isnotnull(size_class" in pool for pool in pools)
+
+
 def test_daily_pushes_its_filter_and_reads_three_columns(events, capsys):
     plan = executed_plan(ct.daily_purchase_revenue(events), capsys)
     assert read_columns(plan) == [{"event_time", "event_type", "price"}]
