@@ -157,10 +157,12 @@ def without_repeated_lines(
         "batch",
     )
     runs = LineRuns(spark)
-    for batch in range(batches):
-        runs.add(hashes.filter(F.col("batch") == batch).drop("batch"))
-    repeated = runs.repeated(min_docs)
-    runs.close()
+    try:
+        for batch in range(batches):
+            runs.add(hashes.filter(F.col("batch") == batch).drop("batch"))
+        repeated = runs.repeated(min_docs)
+    finally:
+        runs.close()
     drops = (
         hashes.join(repeated, "hash")
         .filter("doc_id != last_doc")

@@ -10,7 +10,10 @@ from clicktally.sources.scratch import scratch_path
 
 def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """The rows of ``df``, kept in the shared folder, so that a lost executor costs no earlier step."""
-    path = scratch_path(df.sparkSession, name)
+    return written_to(df, scratch_path(df.sparkSession, name), *partition_by)
+
+
+def written_to(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
     df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -17,7 +17,8 @@ from clicktally.llm.languages import UNKNOWN, with_languages
 from clicktally.llm.line_runs import without_repeated_lines
 from clicktally.llm.mixing import mixed
 from clicktally.llm.near_duplicates import near_duplicates
-from clicktally.llm.tables import is_held_out, written
+from clicktally.llm.tables import is_held_out, written, written_to
+from clicktally.sources.scratch import remove_folder, scratch_path, scratch_scope
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -86,8 +87,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents of ``sf_dir``.
+
+    What a stage has put into the shared folder goes when its own result is written there, and that when the next
+    stage's is.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = scratch_path(spark, f"stage-{name}")
+        with scratch_scope(spark):
+            docs = written_to(stage(spark, docs, sf_dir), path)
+        if before:
+            remove_folder(spark, before)
+        before = path
     return docs
