@@ -13,6 +13,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clicktally.llm.tables import written
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with the columns of the group they belong to (by ``keys``, none of them NULL); rows without a group go.
+
+    ``groups`` has one row for each group and says in ``rows`` how many rows it has.  Groups with more than half of
+    what falls to a task are no more than twice as many as tasks, so they are broadcast, and their rows stay where
+    they are; only rows of the other groups are dealt out by key.
+    """
+    spark = rows.sparkSession
+    groups = written(groups, "groups")
+    share = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = groups.agg(F.sum("rows")).first()[0] or 0
+    crowded = F.col("rows") * share > total
+    large = F.broadcast(groups.filter(crowded).drop("rows"))
+    small = groups.filter(~crowded).drop("rows")
+    marked = rows.join(large.select(*keys, F.lit(True).alias("crowded")), keys, "left")
+    few = marked.filter("crowded is null").drop("crowded").join(small, keys)
+    return rows.join(large, keys).unionByName(few)
+
 
 def block_pairs(
     members: DataFrame, keys: list[str], payload: DataFrame, block_rows: int = 1024, block_weight: int = 1_000_000
@@ -24,8 +45,7 @@ def block_pairs(
         F.count(F.lit(1)).alias("rows"),
     )
     own = (
-        members.drop("weight")
-        .join(crowds.filter("rows > 1").drop("rows"), keys)
+        join_groups(members.drop("weight"), crowds.filter("rows > 1"), keys)
         .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
         .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
         .withColumn("i", F.least("own", "other"))
