@@ -25,9 +25,11 @@ from pyspark.sql import functions as F
 
 from clicktally.llm.codepoints import batched, mixed, points, span_hashes
 from clicktally.llm.shingles import _is_gap
+from clicktally.llm.tables import written
 
-#: At most so many labelled documents are learned from, those with the smallest hashes of their numbers.
-MAX_LABELLED = 6000
+#: At most so many labelled documents are learned from, those with the smallest hashes of their numbers, and of these
+#: as many as have so many bytes of buckets together, which the driver holds.
+MAX_LABELLED, MAX_BAG_BYTES = 6000, 256_000_000
 BITS = 16
 KINDS = 3
 _BLOCK_CHARS = 500_000
@@ -110,14 +112,15 @@ def train(
 def _bags(bits: int) -> Callable:
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True)
+            rows = zip(*(batch.column(c).to_pylist() for c in ("text", "label", "draw")), strict=True)
             for block in batched(rows, lambda row: len(row[0]), _BLOCK_CHARS):
                 own = [bag(found) for found in buckets([row[0] for row in block], bits)]
                 yield pa.record_batch(
                     [pa.array([b.tobytes() for b, _ in own], pa.binary()),
                      pa.array([w.tobytes() for _, w in own], pa.binary()),
-                     pa.array([row[1] for row in block], pa.int32())],
-                    names=["buckets", "weights", "label"],
+                     pa.array([row[1] for row in block], pa.int32()),
+                     pa.array([row[2] for row in block], pa.int64())],
+                    names=["buckets", "weights", "label", "draw"],
                 )
 
     return bags
@@ -126,6 +129,7 @@ def _bags(bits: int) -> Callable:
 def learn_quality(
     docs: DataFrame, labels: DataFrame, training: Column, label_col: str = "quality",
     id_col: str = "doc_id", text_col: str = "text", max_labelled: int = MAX_LABELLED, bits: int = BITS,
+    max_bag_bytes: int = MAX_BAG_BYTES,
 ) -> SubwordModel | None:
     """A model from at most ``max_labelled`` labelled rows that ``training`` holds for; None without any."""
     sample = (
@@ -135,16 +139,21 @@ def learn_quality(
         .limit(max_labelled)
     )
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = (
+    found = written(
         texts.join(sample, "doc_id")
         .select("doc_id", "text", "label")
         .repartition("doc_id")
-        .select("text", "label")
-        .mapInArrow(_bags(bits), "buckets binary, weights binary, label int")
-        .collect()
+        .select("text", "label", F.xxhash64("doc_id").alias("draw"))
+        .mapInArrow(_bags(bits), "buckets binary, weights binary, label int, draw long"),
+        "bags",
     )
-    if not rows:
+    size = F.sum(F.octet_length("buckets") + F.octet_length("weights")).alias("size")
+    sizes = sorted(tuple(r) for r in found.groupBy("draw").agg(size).collect())
+    if not sizes:
         return None
+    held = np.cumsum([size for _, size in sizes])
+    last = max(int(np.searchsorted(held, max_bag_bytes, side="right")) - 1, 0)
+    rows = found.filter(F.col("draw") <= sizes[last][0]).collect()
     rows.sort(key=lambda r: (r.buckets, r.label))
     bags = [(np.frombuffer(r.buckets, np.int32), np.frombuffer(r.weights, np.float32)) for r in rows]
     return train(bags, np.array([r.label for r in rows]), bits=bits)

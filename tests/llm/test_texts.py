@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 import regex
 import tiktoken
-from clicktally.llm import byte_pairs, licences, near_duplicates, passages
+from clicktally.llm import byte_pairs, licences, near_duplicates, passages, quality
 from clicktally.llm.languages import with_languages
 from clicktally.llm.line_runs import LineRuns, line_hashes, without_repeated_lines
 from clicktally.llm.mixing import mixed, source_rates
@@ -400,6 +400,25 @@ def test_passages_of_odd_rows(documents):
     assert passages.repeated_passages(documents([])).count() == 0
 
 
+def test_quality_of_no_documents_and_of_large_bags(spark, documents):
+    """An empty table gives no model and no scores; what the driver holds is bounded in bytes, however long the texts."""
+    schema = "doc_id long, quality int"
+    assert learn_quality(documents([]), spark.createDataFrame([], schema), F.lit(True)) is None
+    assert documents([]).select(quality_udf(None, spark)("text")).count() == 0
+    rng = random.Random(5)
+    text = lambda k: " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(k))
+    rows = [(i, text(3000 if i % 2 else 20), "en", "s") for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], schema)
+    learned = []
+    original = quality.train
+    quality_train = lambda bags, *a, **k: learned.append(sum(b.nbytes + w.nbytes for b, w in bags)) or original(bags, *a, **k)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(quality, "train", quality_train)
+        for most in (10**9, 300_000, 1):
+            assert learn_quality(documents(rows), labels, F.lit(True), max_bag_bytes=most) is not None
+    assert learned[0] > 400_000 and learned[1] <= 300_000 and 0 < learned[2] < learned[1]
+
+
 SENTENCES = {
     "en": "the people of this town were walking through their green fields with all of those things",
     "fr": "les gens de cette ville marchaient dans leurs champs verts avec toutes ces choses nouvelles",
