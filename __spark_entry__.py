@@ -23,9 +23,10 @@ from clicktally.functions.events import (  # noqa: E402
     valid_price,
     with_event_date,
 )
-from clicktally.jobs import report  # noqa: E402
+from clicktally.jobs import report, scalability  # noqa: E402
 from clicktally.schema import event_columns  # noqa: E402
 from clicktally.plans.rollup import write_rollup  # noqa: E402
+from clicktally.plans.scalability import TIMING_SCHEMA  # noqa: E402
 from clicktally.sinks.results import LOSSLESS  # noqa: E402
 from clicktally.sources.csv_events import REJECT_COLUMN  # noqa: E402
 from clicktally.sources.scratch import scratch_path  # noqa: E402
@@ -211,6 +212,23 @@ def _scalability_run(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _timing_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The table of timings as the job writes it, without the times."""
+    events, base = scratch_path(spark, "timed-events"), scratch_path(spark, "timings")
+    narrow = with_event_date(read_clickstream(spark, folder)).select("event_id", "event_type", "event_date", "brand", "price")
+    narrow.write.parquet(events)
+    sizes = map(str, _sizes(read_star_events(spark, folder)))
+    scalability.run(spark, [events, base, "--format", "parquet", "--key", "event_id", "--repeats", "1", "--sizes", *sizes])
+    timings = ct.read_result(spark, f"{base}/timings", T.StructType.fromDDL(TIMING_SCHEMA))
+    return timings.select("rows", "completed", (F.col("total_analysis_time_sec") > 0).alias("timed"))
+
+
+def _whole_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """The sizes that the table could fill: those it could not count as not completed."""
+    table = _scalability_rows(spark, folder)
+    return ct.completed_runs(table.withColumn("completed", F.col("rows") == F.col("requested_rows")))
+
+
 def _largest_sample(name: str, question: Callable[[DataFrame], DataFrame]) -> Query:
     """An answer that the timed run wrote for its largest sample."""
 
@@ -294,7 +312,10 @@ def event_queries() -> dict[str, Query]:
         "largest_completed": lambda spark, folder: ct.largest_completed(
             _scalability_rows(spark, folder)
         ),
+        "whole_samples": _whole_samples,
+        "largest_whole_sample": lambda spark, folder: ct.largest_completed(_whole_samples(spark, folder)),
         "scalability_run": _scalability_run,
+        "timing_table": _timing_table,
         "largest_sample": _largest_sample("daily_purchase_revenue", ct.daily_purchase_revenue),
         "largest_sample_distribution": _largest_sample("event_distribution", ct.event_distribution),
         "largest_sample_top10_brands": _largest_sample("top10_brands", ct.top_brands),

@@ -231,6 +231,13 @@ GROUP BY brand"""),
         "scalability_run": """
 SELECT least(total * pct // 100, total) AS rows, true AS completed, true AS timed
 FROM (SELECT count(*) AS total FROM events), (SELECT unnest([1, 10, 50, 100, 200]) AS pct)""",
+        "timing_table": """
+SELECT least(total * pct // 100, total) AS rows, true AS completed, true AS timed
+FROM (SELECT count(*) AS total FROM events), (SELECT unnest([1, 10, 50, 100, 200]) AS pct)""",
+        "whole_samples": """
+SELECT total * pct // 100 AS requested_rows, total * pct // 100 AS rows, true AS completed
+FROM (SELECT count(*) AS total FROM events), (SELECT unnest([1, 10, 50, 100]) AS pct)""",
+        "largest_whole_sample": "SELECT count(*) AS largest_rows FROM events",
         "largest_sample": _clean(_daily(_FIRST_HALF)),
         "largest_sample_distribution": _clean(_distribution(_FIRST_HALF)),
         "largest_sample_top10_brands": _clean(_top_brands(_FIRST_HALF)),
