@@ -28,7 +28,7 @@ from clicktally.llm.codepoints import LETTER, batched, kinds, mixed, points
 
 UNKNOWN = "und"
 BUCKET_BITS = 15
-_BLOCK_CHARS = 1_000_000
+_BLOCK_CHARS = 250_000
 _EM_BLOCK = 200_000
 
 
