@@ -15,6 +15,7 @@ Without training rows every document is ``und``.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from functools import cache
 
@@ -175,6 +176,14 @@ def mixtures(
     return answer
 
 
+def give_back_memory() -> None:
+    """Hand what the last task has freed back to the system: a Python worker waits for others while stages run that
+    need the memory."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of glibc
+        trim(0)
+
+
 def language_udf(languages: list[str], table: np.ndarray, spark, bits: int = BUCKET_BITS) -> Callable:
     """A function of a text column: struct of ``lang``, ``score``, ``n_languages``, ``languages`` and ``shares``
     (of the chosen set, the largest first) and ``has_letters``."""
@@ -198,6 +207,8 @@ def language_udf(languages: list[str], table: np.ndarray, spark, bits: int = BUC
                         answers[k] = (own[0], shares[0], len(own), own, shares, True)
                 out += answers
             yield pd.DataFrame(out, columns=["lang", "score", "n_languages", "languages", "shares", "has_letters"])
+        texts = out = grams = answers = None
+        give_back_memory()
 
     return language
 
