@@ -135,10 +135,27 @@ def _pieces(text: str) -> Iterator[str]:
     yield text[at:]
 
 
+def _distinct_words(text: str, chars: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+    """Where each distinct word first stands, its hash, and which of them every word is.
+
+    Words are sorted out by their hashes and then compared sign by sign with the first of the same hash.
+    """
+    hashes = span_hashes(chars, starts)
+    _, first, place = np.unique(hashes, return_index=True, return_inverse=True)
+    sizes, model = ends - starts, first[place]
+    same = (sizes == sizes[model]).all()
+    if not (same and (chars == chars[np.arange(len(chars)) + np.repeat(starts[model] - starts, sizes)]).all()):
+        known: dict[str, int] = {}
+        own = zip(starts.tolist(), ends.tolist(), strict=True)
+        place = np.array([known.setdefault(text[a:b], len(known)) for a, b in own])
+        first = np.unique(place, return_index=True)[1]
+    return first, hashes[first], place
+
+
 def _words_of(rows: list[tuple]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
     """The words of all rows in order, as numbers of distinct words; those words, their hashes, and the
     number of words of each row."""
-    order, words, seen, counts = [], [], {}, np.zeros(len(rows), np.int64)
+    order, seen, hashes, counts = [], {}, [], np.zeros(len(rows), np.int64)
     pieces = ((k, piece) for k, (_, text) in enumerate(rows) for piece in _pieces(text))
     for block in batched(pieces, lambda x: len(x[1]), _BLOCK_CHARS):
         text = "".join(piece for _, piece in block)
@@ -148,14 +165,15 @@ def _words_of(rows: list[tuple]) -> tuple[np.ndarray, list[str], np.ndarray, np.
         owner = np.searchsorted(doc_starts, starts, side="right") - 1
         np.add.at(counts, np.array([k for k, _ in block])[owner], 1)
         ends = np.append(starts[1:], len(text))
-        distinct, first, place = np.unique(span_hashes(chars, starts), return_index=True, return_inverse=True)
-        numbers = np.empty(len(distinct), np.int32)
-        for i, (h, a, b) in enumerate(zip(distinct.tolist(), starts[first].tolist(), ends[first].tolist(), strict=True)):
-            if (number := seen.setdefault(h, len(words))) == len(words):
-                words.append(text[a:b])
+        first, found, place = _distinct_words(text, chars, starts, ends)
+        numbers = np.empty(len(first), np.int32)
+        spans = zip(starts[first].tolist(), ends[first].tolist(), found.tolist(), strict=True)
+        for i, (a, b, h) in enumerate(spans):
+            if (number := seen.setdefault(text[a:b], len(seen))) == len(hashes):
+                hashes.append(h)
             numbers[i] = number
         order.append(numbers[place])
-    return np.concatenate([*order, np.zeros(0, np.int32)]), words, np.fromiter(seen, np.uint64, len(seen)), counts
+    return np.concatenate([*order, np.zeros(0, np.int32)]), list(seen), np.array(hashes, np.uint64), counts
 
 
 def _cut(buckets: int, chunk_chars: int) -> Callable:
