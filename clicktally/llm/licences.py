@@ -11,7 +11,7 @@ A window that holds the whole notice has a similarity of at least 0.5 with its
 template, and one that holds 0.8 of it at least 0.36.  With bands of one value
 they fail to meet with a probability of 0.5^16 = 2e-5 and 0.64^16 = 8e-4.
 A text that has none of the shingles of any template can't meet one, so windows
-are made of the other texts only.
+are made of the other texts only, and only windows with such a shingle are signed.
 
 Everything here is built from DataFrame functions.  Templates are broadcast:
 they are a parameter, and may have ``MAX_TEMPLATE_WORDS`` words together.
@@ -93,8 +93,13 @@ def _signature(shingles: Column, hashes: int) -> Column:
     return F.array(*(F.xxhash64(F.lit(k), _least(shingles, k)) for k in range(hashes)))
 
 
-def _meeting_windows(shingles: Column, width: int, span: int, keys: list[int], hashes: int) -> Column:
-    """The windows for templates of ``span`` shingles of ``width`` words that share a band with one of them."""
+def _meeting_windows(
+    shingles: Column, width: int, span: int, wanted: list[int], keys: list[int], hashes: int
+) -> Column:
+    """The windows for templates of ``span`` shingles of ``width`` words that share a band with one of them.
+
+    Windows without any of the ``wanted`` shingles of these templates can share none, and are not signed.
+    """
     starts = F.when(
         F.size(shingles) > 0, F.sequence(F.lit(0), F.floor((F.size(shingles) - 1) / span).cast("int"))
     ).otherwise(F.array().cast("array<int>"))
@@ -106,7 +111,7 @@ def _meeting_windows(shingles: Column, width: int, span: int, keys: list[int], h
         ),
     )
     signed = F.transform(
-        windows,
+        F.filter(windows, lambda w: F.arrays_overlap(w["have"], _numbers(wanted))),
         lambda w: F.struct(w["width"].alias("width"), w["span"].alias("span"), w["first"].alias("first"),
                            w["have"].alias("have"), _signature(w["have"], hashes).alias("keys")),
     )
@@ -162,13 +167,11 @@ def licence_matches(
         ),
         "texts-with-template-shingles",
     )
-    meeting = [
-        _meeting_windows(
-            F.col("shingles")[widths.index(width)], width, span,
-            sorted({k for row in known if (row["width"], row["span"]) == (width, span) for k in row["keys"]}), hashes,
-        )
-        for width, span in sorted({(row["width"], row["span"]) for row in known})
-    ]
+    meeting = []
+    for width, span in sorted({(row["width"], row["span"]) for row in known}):
+        alike = [row for row in known if (row["width"], row["span"]) == (width, span)]
+        wanted, keys = (sorted({x for row in alike for x in row[column]}) for column in ("wanted", "keys"))
+        meeting.append(_meeting_windows(F.col("shingles")[widths.index(width)], width, span, wanted, keys, hashes))
     if not meeting:
         meeting = [F.array().cast("array<struct<width:int,span:int,first:int,have:array<bigint>,keys:array<bigint>>>")]
     met = (
