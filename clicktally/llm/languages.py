@@ -90,28 +90,29 @@ def learn_languages(
 
     All rows that ``training`` holds for are counted.  What comes to the
     driver has a fixed size for each language, and there may be no more than
-    ``max_languages``.
+    ``max_languages``, which is tested before any text is read.
     """
-    rows = docs.filter(training & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+    labelled = docs.filter(training & F.col(lang_col).isNotNull())
+    if len(labelled.select(lang_col).distinct().limit(max_languages + 1).collect()) > max_languages:
+        raise ValueError(f"more than {max_languages} languages")
+    rows = labelled.filter(F.col(text_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
     )
-    counts = (
+    found = (
         rows.mapInArrow(_count(bits), "lang string, bucket int, n long")
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
         .groupBy("lang")
         .agg(F.collect_list(F.struct("bucket", "n")).alias("counts"))
-        .limit(max_languages + 1)
-        .collect()
+        .orderBy("lang")
+        .toArrow()  # packed numbers, no objects
     )
-    if len(counts) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
-    counts.sort(key=lambda row: row.lang)
-    table = np.full((len(counts), 1 << bits), 0.5)
-    for k, row in enumerate(counts):
-        table[k, [x.bucket for x in row.counts]] += [x.n for x in row.counts]
-    table = np.log(table / table.sum(axis=1, keepdims=True)) if len(counts) else table
-    return [row.lang for row in counts], table.astype(np.float32)
+    table = np.full((len(found), 1 << bits), 0.5)
+    for k, batch in enumerate(found.column("counts")):
+        own = batch.values
+        table[k, own.field("bucket").to_numpy()] += own.field("n").to_numpy()
+    table = np.log(table / table.sum(axis=1, keepdims=True)) if len(found) else table
+    return found.column("lang").to_pylist(), table.astype(np.float32)
 
 
 def _proportions(
