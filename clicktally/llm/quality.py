@@ -1,8 +1,10 @@
 """A quality classifier on learned subword vectors.
 
-A document is a bag of hashed words, pairs of words and character trigrams.  Each bucket has a
-learned vector, the document is their mean, and a softmax layer turns that into
-two probabilities.  Vectors and layer are trained by stochastic gradient
+A document is a bag of hashed words, ordered pairs of words and character
+trigrams.  The words are normalised first: one that repeats the word before it
+becomes a sign of repetition, as a repeated rare word is in no training text.
+Each bucket has a learned vector, the document is their mean, and a softmax
+layer turns that into two probabilities.  Vectors and layer are trained by stochastic gradient
 descent in numpy on a bounded sample of labelled documents.  As the layer is
 linear, scoring needs one number for each bucket: the difference of the two
 outputs its vector alone would give.
@@ -33,10 +35,13 @@ MAX_LABELLED, MAX_BAG_BYTES = 6000, 256_000_000
 BITS = 16
 KINDS = 3
 _BLOCK_CHARS = 500_000
+#: Stands for a word that repeats the one before it.
+_AGAIN = np.uint64(1)
 
 
 def buckets(texts: list[str], bits: int = BITS) -> list[np.ndarray]:
-    """For each text the buckets of its words, of its pairs of neighbouring words and of its character trigrams."""
+    """For each text the buckets of its words, of its ordered pairs of neighbouring words and of its character
+    trigrams; a word that repeats the one before is read as a sign of repetition, whatever the word."""
     sizes = np.array([len(t) + 1 for t in texts])
     chars = points("\n".join(texts) + "\n")
     ends = np.cumsum(sizes)
@@ -46,12 +51,13 @@ def buckets(texts: list[str], bits: int = BITS) -> list[np.ndarray]:
     words, at = span_hashes(chars, opens)[word], opens[word]
     owner = np.searchsorted(ends, at, side="right")
     pair = owner[1:] == owner[:-1]
-    # The same number for either order, and for every word beside itself: doubled words share a bucket.
-    doubles = mixed(words[1:] ^ words[:-1])[pair]
+    again = np.append(False, (words[1:] == words[:-1]) & pair)
+    words = np.where(again, _AGAIN, words)
+    couples = mixed(mixed(words[:-1]) + words[1:])[pair]
     key = (chars[:-2].astype(np.uint64) << np.uint64(42)) | (chars[1:-1].astype(np.uint64) << np.uint64(21)) | chars[2:]
     inside = np.repeat(ends, sizes)[: len(key)] - 1 >= np.arange(len(key)) + 3
     places = [at, at[:-1][pair], np.flatnonzero(inside)]
-    hashes = [words, doubles, mixed(key[inside])]
+    hashes = [words, couples, mixed(key[inside])]
     found = [(h >> np.uint64(64 - bits)).astype(np.int32) + np.int32(k << bits) for k, h in enumerate(hashes)]
     parts = [np.split(f, np.searchsorted(p, ends[:-1])) for p, f in zip(places, found, strict=True)]
     return [np.concatenate(own) for own in zip(*parts, strict=True)]
