@@ -39,14 +39,15 @@ from clicktally.llm.blocks import block_pairs, local_roots, pieces, sides
 from clicktally.llm.codepoints import mixed
 from clicktally.llm.components import components
 from clicktally.llm.tables import written
-from clicktally.llm.vectors import matrices, unpacked
+from clicktally.llm.vectors import given, packed, units, unpacked
 
 PROJECTIONS = 32
-CELL_ROWS = 2000
+CELL_ROWS = 100
 #: What vectors that are compared have in common: their length, and a cell of a table.
 KEYS = ["size", "t", "cell"]
 
-_CLASSED = "id long, digest binary, vector binary"
+_CLASSED = "id long, digest binary, size int, vector binary"
+_PLACED = "id long, n long, size int, vector binary, projected binary, cells array<long>"
 _FOUND = "id long, n long, root long"
 
 
@@ -75,8 +76,9 @@ def plan(n: int, size: int, threshold: float, miss: float = 1e-3) -> dict:
 
 
 def cell_keys(projected: np.ndarray, how: dict) -> np.ndarray:
-    """The cell of each vector in each table, as 64-bit numbers."""
+    """The cell of each vector (its projections as floats) in each table, as 64-bit numbers."""
     rng = np.random.default_rng(7)
+    projected = projected.astype(np.float64)
     keys = np.empty((len(projected), how["tables"]), np.int64)
     with np.errstate(over="ignore"):
         for t in range(how["tables"]):
@@ -91,27 +93,30 @@ def cell_keys(projected: np.ndarray, how: dict) -> np.ndarray:
 
 def _classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for ids, units in matrices(batch):
-            rows = [u.tobytes() for u in units]
+        for ids, block in given(batch):
+            size = block.shape[1]
+            digests = [hashlib.md5(u.tobytes()).digest() for u in units(block)]
             yield pa.record_batch(
-                [pa.array(ids), pa.array([hashlib.md5(r).digest() for r in rows]), pa.array(rows, pa.binary())],
-                names=["id", "digest", "vector"],
+                [pa.array(ids), pa.array(digests, pa.binary()), pa.array([size] * len(ids), pa.int32()),
+                 pa.array(packed(block), pa.binary())],
+                names=["id", "digest", "size", "vector"],
             )
 
 
 def _placed(how: dict[int, dict]) -> Callable:
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blobs = batch.column("vector").to_pylist()
-            keys = [None] * len(blobs)
-            for width in {len(b) for b in blobs}:
-                rows = [i for i, b in enumerate(blobs) if len(b) == width]
-                projected = unpacked([blobs[i] for i in rows]) @ directions(width // 8)
-                for i, own in zip(rows, cell_keys(projected, how[width // 8]), strict=True):
-                    keys[i] = own
+            blobs, sizes = batch.column("vector").to_pylist(), batch.column("size").to_numpy()
+            keys, places = [None] * len(blobs), [None] * len(blobs)
+            for size in np.unique(sizes).tolist():
+                rows = np.flatnonzero(sizes == size).tolist()
+                projected = (units(unpacked([blobs[i] for i in rows], size)) @ directions(size)).astype(np.float32)
+                for i, own, place in zip(rows, cell_keys(projected, how[size]), projected, strict=True):
+                    keys[i], places[i] = own, place.tobytes()
             yield pa.record_batch(
-                [*(batch.column(c) for c in ("id", "n", "vector")), pa.array(keys, pa.list_(pa.int64()))],
-                names=["id", "n", "vector", "cells"],
+                [*(batch.column(c) for c in ("id", "n", "size", "vector")), pa.array(places, pa.binary()),
+                 pa.array(keys, pa.list_(pa.int64()))],
+                names=["id", "n", "size", "vector", "projected", "cells"],
             )
 
     return placed
@@ -123,9 +128,8 @@ def _links_of(group: list[dict], threshold: float, how: dict[int, dict]) -> list
     rule = how[size]
     ids = np.array([row["id"] for row in group])
     counts = np.array([row["n"] for row in group])
-    units = unpacked([row["vector"] for row in group])
-    cells = np.array([row["cells"] for row in group])
-    projected = (units @ directions(size)).astype(np.float32)
+    projected = np.frombuffer(b"".join(row["projected"] for row in group), np.float32).reshape(len(group), -1)
+    vectors = cells = None
     x, y, same = sides(group)
     firsts, seconds = [], []
     step = max(1, 1_000_000 // (PROJECTIONS * max(len(y), 1)))
@@ -136,8 +140,12 @@ def _links_of(group: list[dict], threshold: float, how: dict[int, dict]) -> list
         p, q = some[p], y[q]
         if same:
             p, q = p[p < q], q[p < q]
-        linked = np.einsum("ij,ij->i", units[p], units[q]) >= threshold
+        if not len(p):
+            continue
+        vectors = units(unpacked([row["vector"] for row in group], size)) if vectors is None else vectors
+        linked = np.einsum("ij,ij->i", vectors[p], vectors[q]) >= threshold
         p, q = p[linked], q[linked]
+        cells = cell_keys(projected, rule) if cells is None else cells
         new = ~(cells[p, :table] == cells[q, :table]).any(axis=1)  # else an earlier table has counted it
         firsts.append(p[new])
         seconds.append(q[new])
@@ -172,22 +180,21 @@ def near_vectors(
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
     classed = written(rows.mapInArrow(_classed, _CLASSED), "unit-vectors")
     classes = written(
-        classed.groupBy("digest").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"), F.first("vector").alias("vector")),
+        classed.groupBy("digest").agg(
+            F.min("id").alias("id"), F.count(F.lit(1)).alias("n"), F.first("size").alias("size"), F.min("vector").alias("vector")
+        ),
         "vector-classes",
     )
-    lengths = classes.groupBy((F.length("vector") / 8).cast("int").alias("size")).count().limit(10_000).collect()
+    lengths = classes.groupBy("size").count().limit(10_000).collect()
     how = {row["size"]: plan(row["count"], row["size"], threshold) for row in lengths}
-    placed = written(
-        classes.mapInArrow(_placed(how), "id long, n long, vector binary, cells array<long>"), "vector-cells"
-    )
-    size = (F.octet_length("vector") / 8).cast("int")
-    cells = placed.select("id", size.alias("size"), F.posexplode("cells").alias("t", "cell"), F.lit(1).alias("weight"))
-    met = block_pairs(cells, KEYS, placed)
+    placed = written(classes.mapInArrow(_placed(how), _PLACED), "vector-cells")
+    cells = placed.select("id", "size", F.posexplode("cells").alias("t", "cell"), F.lit(1).alias("weight"))
+    met = block_pairs(cells, KEYS, placed.drop("size", "cells"))
     found = written(met.mapInArrow(_counted(threshold, how), _FOUND), "vector-links")
     joined = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     totals = found.groupBy("id").agg(F.sum("n").alias("links"))
     answers = (
-        classes.drop("vector")
+        classes.drop("vector", "size")
         .join(totals, "id", "left")
         .join(joined.withColumnRenamed("node", "id"), "id", "left")
         .select("digest", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),

@@ -14,6 +14,17 @@ def matrices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     Vectors that are NULL, zero, or hold NULL or non-finite components take no
     part, and neither do rows without a number.
     """
+    for ids, block in given(batch):
+        yield ids, units(block)
+
+
+def units(block: np.ndarray) -> np.ndarray:
+    block = block / np.abs(block).max(axis=1)[:, None]  # so that no square overflows
+    return block / np.sqrt((block * block).sum(axis=1))[:, None]
+
+
+def given(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """As ``matrices``, the vectors as they are."""
     lists = batch.column(1)
     present = np.flatnonzero(np.asarray(lists.is_valid()) & np.asarray(batch.column(0).is_valid()))
     if not len(present):
@@ -28,9 +39,21 @@ def matrices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         block = values[starts[rows, None] + np.arange(size)]
         peak = np.abs(block).max(axis=1)
         good = np.isfinite(peak) & (peak > 0)
-        block = block[good] / peak[good, None]  # so that no square overflows
-        yield ids[rows[good]], block / np.sqrt((block * block).sum(axis=1))[:, None]
+        yield ids[rows[good]], block[good]
+
+
+def packed(block: np.ndarray) -> list[bytes]:
+    """Each row as floats where that loses nothing, else as doubles."""
+    with np.errstate(over="ignore"):
+        short = block.astype(np.float32)
+    fits = (short == block).all(axis=1)
+    return [(s if f else d).tobytes() for s, d, f in zip(short, block, fits.tolist(), strict=True)]
 
 
-def unpacked(blobs: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(blobs), np.float64).reshape(len(blobs), -1) if blobs else np.zeros((0, 0))
+def unpacked(blobs: list[bytes], size: int | None = None) -> np.ndarray:
+    """The rows of ``packed``, all of ``size`` components; without it all rows are doubles."""
+    if not blobs:
+        return np.zeros((0, 0))
+    if size is None or {len(b) for b in blobs} == {8 * size}:
+        return np.frombuffer(b"".join(blobs), np.float64).reshape(len(blobs), -1)
+    return np.array([np.frombuffer(b, np.float32 if len(b) == 4 * size else np.float64) for b in blobs], np.float64)
