@@ -36,21 +36,29 @@ WITH sizes AS (
   SELECT source, k, sum(exp(-rate / steps) * pow(rate / steps, k) / gamma(k + 1.0))
     OVER (PARTITION BY source ORDER BY k) AS up_to
   FROM steps, (SELECT unnest(range(0, 81)) AS k)
+), held AS (
+  SELECT *, row_number() OVER () AS row_no, count(*) OVER (PARTITION BY doc_id) AS holders,
+         '{' || concat_ws(',', '"doc_id":' || doc_id, '"text":' || to_json(text), '"lang":' || to_json(lang),
+                          '"source":' || to_json(source), '"n_chars":' || n_chars) || '}' AS contents
+  FROM documents
+), named AS (
+  SELECT *, CASE WHEN doc_id IS NOT NULL AND holders = 1 THEN CAST(doc_id AS VARCHAR)
+                 ELSE md5(contents) || '/' || row_number() OVER (PARTITION BY contents) END AS id
+  FROM held
 ), draws AS (
-  SELECT d.doc_id, d.source, d.text, row_number() OVER () AS row_no, unnest(range(1, s.steps + 1)) AS step
-  FROM documents d JOIN steps s ON d.source IS NOT DISTINCT FROM s.source
+  SELECT d.doc_id, d.source, d.text, d.row_no, d.id, unnest(range(1, s.steps + 1)) AS step
+  FROM named d JOIN steps s ON d.source IS NOT DISTINCT FROM s.source
 ), drawn AS (
-  SELECT *, CAST('0x' || substr(md5('0:copies:' || step || ':' || coalesce(doc_id, -1)), 1, 13) AS BIGINT)
-    / 4503599627370496.0 AS u
+  SELECT *, CAST('0x' || substr(md5('0:copies:' || step || ':' || id), 1, 13) AS BIGINT) / 4503599627370496.0 AS u
   FROM draws
 ), counted AS (
-  SELECT any_value(d.doc_id) AS doc_id, any_value(d.source) AS source, any_value(d.text) AS text,
+  SELECT any_value(d.doc_id) AS doc_id, any_value(d.id) AS id, any_value(d.source) AS source, any_value(d.text) AS text,
          CAST(count(*) FILTER (p.up_to <= d.u) AS INTEGER) AS copies
   FROM drawn d JOIN up_to p ON d.source IS NOT DISTINCT FROM p.source GROUP BY d.row_no
 ), copied AS (
-  SELECT doc_id, source, text, CAST(unnest(range(1, copies + 1)) AS INTEGER) AS copy FROM counted
+  SELECT doc_id, id, source, text, CAST(unnest(range(1, copies + 1)) AS INTEGER) AS copy FROM counted
 )
-SELECT doc_id, source, copy, md5('0:place:' || coalesce(doc_id, -1) || ':' || copy) AS place, text FROM copied
+SELECT doc_id, source, copy, md5('0:place:' || id || ':' || copy) AS place, text FROM copied
 """
 
 FILL_IN_MIDDLE = """

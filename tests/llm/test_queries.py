@@ -1,6 +1,7 @@
 """The registered corpus queries: SQL where there is some, the pipeline step by step."""
 
 import corpus_pipeline
+import duckdb
 import plainly
 import pytest
 from clicktally.llm import queries
@@ -15,6 +16,20 @@ def test_same_rows_as_sql(spark, name):
     assert spark_rows(queries.queries()[name](spark, FOLDER)) == duckdb_rows(connect(FOLDER), queries.oracle_sql()[name])
 
 
+def test_mix_of_rows_without_own_numbers_against_sql(spark, tmp_path):
+    """Numbers that are NULL or repeat, equal rows, texts that JSON has to quote."""
+    texts = ["plain", 'quoted "words"\tand\nlines\\', "für Ölçü ☃", "", None]
+    rows = [(i % 7 if i % 3 else None, texts[i % 5], [None, "de"][i % 2], ["a", "b", None][i % 4 % 3], i % 2) for i in range(400)]
+    rows += [(1000 + i, "a number of its own " * 3, "en", "a", None) for i in range(50)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).coalesce(3).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    name = "op7_poisson_mix"
+    found = spark_rows(queries.queries()[name](spark, str(tmp_path)))
+    assert len(found[1]) > 200 and found == duckdb_rows(con, queries.oracle_sql()[name])
+
+
 def test_licence_scan_is_native(spark, capsys):
     queries.queries()["op1_licence_scan"](spark, FOLDER).explain()
     plan = capsys.readouterr().out

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -10,7 +11,8 @@ import public_tokenizers
 import pytest
 import regex
 import tiktoken
-from clicktally.llm import byte_pairs, licences, near_duplicates, passages, quality
+from clicktally.llm import byte_pairs, languages, licences, near_duplicates, passages, quality
+from clicktally.llm.codepoints import mixed as mixed_bits
 from clicktally.llm.languages import with_languages
 from clicktally.llm.line_runs import LineRuns, line_hashes, without_repeated_lines
 from clicktally.llm.mixing import mixed, source_rates
@@ -475,3 +477,72 @@ def test_digests_are_those_of_the_parts(documents):
     (row,) = byte_pairs.token_digests(documents([(1, "abc", "en", "s")]), RANKS).collect()
     ids = np.array(LIBRARY.encode_ordinary("abc"), "<u4").tobytes()
     assert (row.n_tokens, row.ids_sha256) == (len(ids) // 4, hashlib.sha256(ids).hexdigest())
+
+
+@pytest.mark.parametrize("hashes", [lambda sizes: sizes % 3, lambda sizes: sizes])
+def test_words_with_equal_hashes_are_told_apart(monkeypatch, hashes):
+    rows = [(1, "one two six ten one two"), (2, ""), (3, "six one\n\nfour nine ten" * 3)]
+    monkeypatch.setattr(byte_pairs, "span_hashes", lambda chars, starts: hashes(np.diff(np.append(starts, len(chars)))).astype(np.uint64))
+    order, words, found, counts = byte_pairs._words_of(rows)
+    assert len(set(words)) == len(words) == len(found)
+    ends = np.cumsum(counts)
+    assert ["".join(words[k] for k in order[b - n : b]) for n, b in zip(counts, ends, strict=True)] == [t for _, t in rows]
+
+
+def test_trigrams_and_mixtures_against_plain_versions():
+    sentences = [*SENTENCES.values(), "die stadt; the fields, zwölf Hügel 7 x"]
+    grams = languages.trigrams([*sentences, ""])
+    for text, (buckets, counts) in zip([*sentences, ""], grams, strict=True):
+        runs = Counter(plainly.trigrams(text))
+        keys = np.array([sum(ord(c) << s for c, s in zip(run, (42, 21, 0), strict=True)) for run in runs], np.uint64)
+        wanted = Counter()
+        for bucket, n in zip((mixed_bits(keys) >> np.uint64(64 - languages.BUCKET_BITS)).tolist(), runs.values(), strict=True):
+            wanted[bucket] += n
+        assert dict(zip(buckets.tolist(), counts.tolist(), strict=True)) == wanted
+    table = np.full((3, 1 << languages.BUCKET_BITS), 0.5)
+    for k in range(3):
+        table[k, grams[k][0]] += grams[k][1]
+    table = np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
+    rng, lists = random.Random(3), [text.split() for text in SENTENCES.values()]
+    asked = languages.trigrams([" ".join(rng.choice(lists[rng.randrange(1 + i % 3)]) for _ in range(1 + 2 * i)) for i in range(40)])
+    sizes = set()
+    for (buckets, counts), found in zip(asked, languages.mixtures(asked, table), strict=True):
+        wanted = plainly.mixture(counts.tolist(), table[:, buckets].T.tolist())
+        assert [k for k, _ in found] == [k for k, _ in wanted]
+        assert [share for _, share in found] == pytest.approx([share for _, share in wanted], abs=1e-3)
+        sizes.add(len(found))
+    assert sizes >= {1, 2}
+
+
+def test_more_languages_than_allowed(documents):
+    docs = documents([(i, "some words", f"l{i}", "s") for i in range(5)])
+    with pytest.raises(ValueError, match="more than 4 languages"):
+        languages.learn_languages(docs, F.lit(True), max_languages=4)
+    names, table = languages.learn_languages(docs, F.lit(True), max_languages=5)
+    assert names == [f"l{i}" for i in range(5)] and (table == table[0]).all()
+
+
+def test_training_against_plain_steps():
+    rng = random.Random(1)
+    texts = [" ".join(rng.choices(["up", "on"] if i % 2 else ["down", "off", "on"], k=6)) for i in range(12)]
+    labels = np.array([i % 2 for i in range(12)])
+    bags = [quality.bag(found) for found in quality.buckets(texts, 5)]
+    model = quality.train(bags, labels, size=3, epochs=2, rate=2.0, seed=4, bits=5)
+    draw = np.random.default_rng(4)
+    vectors = draw.uniform(-1 / 3, 1 / 3, (quality.KINDS << 5, 3)).tolist()
+    layer = draw.uniform(-1 / 3, 1 / 3, (3, 2)).tolist()
+    orders = [draw.permutation(12).tolist() for _ in range(2)]
+    plain = [list(zip(b.tolist(), w.tolist(), strict=True)) for b, w in bags]
+    wanted = plainly.gradient_steps(plain, labels.tolist(), vectors, layer, np.log([0.5, 0.5]).tolist(), orders, 2.0)
+    for found, own in zip((model.vectors, model.layer, model.offsets), wanted, strict=True):
+        assert np.allclose(found, own, atol=1e-4)
+
+
+def test_word_pairs_are_ordered_and_repetition_is_a_sign():
+    def pairs(text):
+        (found,) = quality.buckets([text], 16)
+        return set(found[(found >> 16) == 1].tolist())
+
+    assert pairs("red sky") != pairs("sky red") and len(pairs("red sky red")) == 2
+    assert len(pairs("red red red red")) == 2 and len(pairs("red red red") & pairs("sky sky sky")) == 1
+    assert quality.buckets(["red", "red"], 16)[1].tolist() == quality.buckets(["red"], 16)[0].tolist()
