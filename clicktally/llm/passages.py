@@ -1,11 +1,15 @@
 """Passages that several documents share: near copies of paragraphs by MinHash, pasted words by anchors.
 
 Natural paragraphs are the lines of at least ``LINE_WORDS`` words, or the whole
-text where all its lines are shorter.  Those of ``BANDED_WORDS`` words and more
-that share a band of their MinHash signatures meet; shorter ones meet by all
-their words.  Equal ones form a class; different ones in a bucket are compared by
-the exact Jaccard similarity of their shingles, in blocks, of which only a tree
-over the links leaves a task.
+text where all its lines are shorter.  The signature of a paragraph is the least
+hashes of its shingles under one permutation, as many as the similarity asked for
+allows to be missing in a similar paragraph and one more: with 0.8 a fifth of its
+``n`` shingles and one.  So the least hash that two similar paragraphs share is in
+both signatures, and every link meets in a bucket, however short the paragraph.
+Equal paragraphs form a class.  Of the different ones in a bucket, sizes, the rank
+of the shared hash in both sets and a bitmap of each set rule out what cannot be
+similar; the others are compared by the exact Jaccard similarity of their shingles,
+in blocks, of which only a tree over the links leaves a task.
 
 Line breaks say little about passages that were pasted into other texts, so
 windows of ``SPAN`` words are laid by content too.  A window is an anchor if its
@@ -40,15 +44,13 @@ from pyspark.sql import functions as F
 from clicktally.llm.blocks import block_pairs, join_groups, local_roots, pieces, sides
 from clicktally.llm.codepoints import batched, mixed, points, span_hashes
 from clicktally.llm.components import components
-from clicktally.llm.near_duplicates import permuted
 from clicktally.llm.shingles import BLOCK_CHARS, shingle_hashes
 from clicktally.llm.tables import identified_texts, written
 
 SHINGLE_WORDS, SPAN, REACH = 5, 12, 12
-LINE_WORDS, BANDED_WORDS = 8, 16
-#: At similarity 0.8 two paragraphs share no band with probability (1 - 0.8^2)^4 = 0.017, at 0.9 with 0.0013.
-#: Equal ones always meet.
-BANDS, ROWS = 4, 2
+LINE_WORDS = 8
+#: The bits that say which shingles a paragraph may have, as long numbers of 64.
+BITMAP = 2
 _PLACE_BITS, _PLACE_MASK = np.uint64(26), np.uint64((1 << 26) - 1)
 _LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -115,24 +117,20 @@ class Words:
             out = mixed(out * np.uint64(factor) + self.hashes[starts + k])
         return out
 
-    def band_keys(self, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """A row of band keys for each paragraph, from the least of its shingles under several permutations."""
-        if not len(starts):
-            return np.zeros((0, BANDS), np.uint64)
-        order = np.argsort(starts)
+    def signatures(self, starts: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """The least shingle hashes of each paragraph, and which paragraph each is of."""
+        n = np.maximum(sizes - SHINGLE_WORDS + 1, 0)
+        of = np.repeat(np.arange(len(n)), n)
         runs = shingle_hashes(self.hashes, SHINGLE_WORDS)
-        place = permuted((runs >> np.uint64(32)).astype(np.uint32), 0x7FEB352D, 0x846CA68B)
-        # From the first to the last shingle of each paragraph, and from there to the next one.
-        edges = np.stack([starts[order], starts[order] + sizes[order] - SHINGLE_WORDS + 1], axis=1).ravel()
-        ends_last = edges[-1] == len(place)
-        least = np.empty((len(starts), BANDS * ROWS), np.uint64)
-        for k in range(BANDS * ROWS):
-            turned = permuted(place - np.uint32(k), 0x21F0AAAD, 0xD35A2D97)
-            least[order, k] = np.minimum.reduceat(turned, edges[:-1] if ends_last else edges)[::2]
-        keys = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(starts), 1))
-        for r in range(ROWS):
-            keys = mixed(keys + least[:, r::ROWS])
-        return keys
+        own = runs[np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        order = np.lexsort((own, of))
+        of, own = of[order], own[order]
+        fresh = np.append(True, (own[1:] != own[:-1]) | (of[1:] != of[:-1]))[: len(own)]
+        of, own = of[fresh], own[fresh]
+        distinct = np.bincount(of, minlength=len(n))
+        rank = np.arange(len(own)) - np.repeat(np.cumsum(distinct) - distinct, distinct)
+        least = rank <= (distinct - -(-percent * distinct // 100))[of]
+        return own[least], of[least]
 
 
 def _check(words: Words, starts: np.ndarray) -> np.ndarray:
@@ -140,71 +138,130 @@ def _check(words: Words, starts: np.ndarray) -> np.ndarray:
     return (words.folded(starts, SPAN, factor=0x9E3779B1) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def keys_of(texts: list[str]) -> tuple[np.ndarray, ...]:
-    """Key, check, text, first word in the text, and words of each anchor (0), banded paragraph (more) and
-    paragraph that is sought as it stands (less)."""
+def keys_of(texts: list[str], percent: int) -> tuple[np.ndarray, ...]:
+    """Key, check, text, first word in the text, and words of each anchor (0) and of each paragraph, once for each
+    hash of its signature."""
     words = Words(texts)
     places, windows = words.anchors()
     starts, sizes = words.paragraphs()
-    found = [(windows[places], _check(words, places), places, np.zeros(len(places), np.int64))]
-    long = sizes >= BANDED_WORDS
-    for band in words.band_keys(starts[long], sizes[long]).T:
-        found.append((band, np.zeros(long.sum(), np.int32), starts[long], sizes[long]))
-    for size in np.unique(sizes[~long]).tolist():
-        own = starts[sizes == size]
-        found.append((words.folded(own, size), np.full(len(own), -size, np.int32), own, np.full(len(own), -size)))
-    key, check, place, n = (np.concatenate(c) for c in zip(*found, strict=True))
+    least, of = words.signatures(starts, sizes, percent)
+    key = np.concatenate((windows[places], least))
+    check = np.concatenate((_check(words, places), np.zeros(len(least), np.int32)))
+    place = np.concatenate((places, starts[of]))
+    n = np.concatenate((np.zeros(len(places), np.int32), sizes[of].astype(np.int32)))
     text = words.text_of(place)
-    return key.view(np.int64), check, text, (place - words.bounds[text]).astype(np.int32), n.astype(np.int32)
+    return key.view(np.int64), check, text, (place - words.bounds[text]).astype(np.int32), n
 
 
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_KEYS = "key long, check int, doc_id long, first int, n int"
+
+
+def _keys(percent: int) -> Callable:
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            for block in batched(rows, lambda row: len(row[1]), BLOCK_CHARS):
+                key, check, text, first, n = keys_of([text for _, text in block], percent)
+                doc_ids = np.array([doc_id for doc_id, _ in block], np.int64)[text]
+                yield pa.record_batch(
+                    [pa.array(c) for c in (key, check, doc_ids, first, n)], names=["key", "check", "doc_id", "first", "n"]
+                )
+
+    return keys
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by key, check and document those whose key several documents have, and whether theirs is the
+    first of these.  Held back are only the rows of the first document of the last key."""
+    held: tuple[np.ndarray, ...] | None = None
+    open_key, open_doc = None, None  # the last key, if more than one document is known to have it, and the first of them
     for batch in batches:
-        rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-        for block in batched(rows, lambda row: len(row[1]), BLOCK_CHARS):
-            key, check, text, first, n = keys_of([text for _, text in block])
-            doc_ids = np.array([doc_id for doc_id, _ in block], np.int64)[text]
-            yield pa.record_batch([pa.array(c) for c in (key, check, doc_ids, first, n)], names=["key", "check", "doc_id", "first", "n"])
+        columns = tuple(batch.column(c).to_numpy() for c in range(5))
+        if held is not None:
+            columns = tuple(np.concatenate(pair) for pair in zip(held, columns, strict=True))
+        key, check, doc_id, first, n = columns
+        total = len(key)
+        if not total:
+            continue
+        opens = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (check[1:] != check[:-1])))
+        sizes = np.diff(np.append(opens, total))
+        first_doc, last_doc = doc_id[opens], doc_id[opens + sizes - 1]
+        if open_key == (key[0], check[0]):
+            first_doc[0] = open_doc
+        shared = first_doc < last_doc
+        if shared[-1]:
+            held, open_key, open_doc = None, (key[-1], check[-1]), first_doc[-1]
+        else:
+            held, open_key = tuple(c[opens[-1] :] for c in columns), None
+        keep = np.repeat(shared, sizes)
+        kept = doc_id == np.repeat(first_doc, sizes)
+        yield pa.record_batch(
+            [pa.array(c[keep]) for c in (doc_id, key, first, n, kept)], names=["doc_id", "key", "first", "n", "kept"]
+        )
 
 
 _NATURAL, _CHAIN, _ENDS = 0, 1, 2
 _FOUND = """kind int, key long, doc_id long, first int, n int, kept boolean, windows int,
-    keys array<long>, words string, left string, right string"""
+    keys array<long>, ranks array<int>, size int, b0 long, b1 long, words string, left string, right string"""
 
 
 def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of texts and the keys they share: paragraphs with their words, runs of shared windows, and the words
     beside windows at the ends of runs and beside windows of which this is the first document."""
+    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int32(), pa.list_(pa.int64()),
+             pa.list_(pa.int32()), pa.int32(), *[pa.int64()] * BITMAP, pa.string(), pa.string(), pa.string())
+    names = [field.split()[0] for field in _FOUND.split(",")]
     for batch in batches:
-        rows = []
-        for doc_id, text, asked in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "asked")), strict=True):
-            words = text.encode("utf-8", "surrogatepass").lower().split()
-            rows += _paragraph_rows(doc_id, text, words, [a for a in asked if a["n"]])
-            rows += _window_rows(doc_id, words, sorted(((a["first"], a["key"], a["kept"]) for a in asked if not a["n"])))
-        if rows:
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int32(),
-                     pa.list_(pa.int64()), pa.string(), pa.string(), pa.string())
-            yield pa.record_batch(
-                [pa.array(own, kind) for own, kind in zip(zip(*rows, strict=True), kinds, strict=True)],
-                names=[field.split()[0] for field in _FOUND.split(",")],
-            )
+        asked = batch.column("asked")
+        key, first, n, kept = (
+            asked.flatten().field(c).to_numpy(zero_copy_only=False) for c in ("key", "first", "n", "kept")
+        )
+        ends = np.cumsum(asked.value_lengths().to_numpy(zero_copy_only=False))
+        of_doc = zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), [0, *ends[:-1].tolist()], ends.tolist())
+        for block in batched(of_doc, lambda row: len(row[1]), BLOCK_CHARS):
+            hashed = Words([text for _, text, *_ in block])
+            runs, rows = shingle_hashes(hashed.hashes, SHINGLE_WORDS), []
+            of_text = zip(hashed.bounds[:-1].tolist(), hashed.bounds[1:].tolist(), strict=True)
+            for (doc_id, text, low, high), (start, end) in zip(block, of_text, strict=True):
+                words = text.encode("utf-8", "surrogatepass").lower().split()
+                own = low + np.lexsort((key[low:high], n[low:high], first[low:high]))
+                lines, windows = own[n[own] > 0], own[n[own] == 0]
+                if len(lines):
+                    rows += _paragraph_rows(doc_id, words, runs[start:end], first[lines], n[lines], key[lines])
+                if len(windows):
+                    rows += _window_rows(
+                        doc_id, words, list(zip(*(c[windows].tolist() for c in (first, key, kept)), strict=True))
+                    )
+            if rows:
+                columns = zip(zip(*rows, strict=True), kinds, strict=True)
+                yield pa.record_batch([pa.array(own, kind) for own, kind in columns], names=names)
 
 
 def _joined_words(words: list[bytes]) -> str:
     return b" ".join(words).decode("utf-8", "replace")
 
 
-def _paragraph_rows(doc_id: int, text: str, words: list[bytes], asked: list[dict]) -> list[tuple]:
-    if not asked:
-        return []
-    met: dict[tuple[int, int], list[int]] = {}
-    for own in asked:
-        met.setdefault((own["first"], abs(own["n"])), []).append(own["key"])
-    runs, rows = shingle_hashes(Words([text]).hashes, SHINGLE_WORDS), []
-    for (first, n), keys in met.items():
-        shingles = np.unique(runs[first : first + n - SHINGLE_WORDS + 1]).tobytes()
-        name = int.from_bytes(hashlib.blake2b(shingles, digest_size=8).digest(), "little", signed=True)
-        rows.append((_NATURAL, name, doc_id, first, n, None, None, keys, _joined_words(words[first : first + n]), None, None))
+def _paragraph_rows(
+    doc_id: int, words: list[bytes], runs: np.ndarray, first: np.ndarray, n: np.ndarray, key: np.ndarray
+) -> list[tuple]:
+    """One row for each paragraph, from its rows one for each hash that it shares."""
+    rows = []
+    opens = np.flatnonzero(np.append(True, (first[1:] != first[:-1]) | (n[1:] != n[:-1])))
+    for low, high in zip(opens.tolist(), [*opens[1:].tolist(), len(first)], strict=True):
+        at, size = int(first[low]), int(n[low])
+        shingles, keys = np.unique(runs[at : at + size - SHINGLE_WORDS + 1]), np.unique(key[low:high])
+        keys = keys[np.isin(keys.view(np.uint64), shingles)]
+        if not len(keys):
+            continue  # a paragraph of another text of the same number
+        name = int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
+        bits = np.zeros(64 * BITMAP, bool)
+        bits[(shingles % np.uint64(64 * BITMAP)).astype(np.int64)] = True
+        bitmap = np.packbits(bits).view(np.int64).tolist()
+        ranks = np.searchsorted(shingles, keys.view(np.uint64)).tolist()
+        rows.append((
+            _NATURAL, name, doc_id, at, size, None, None, keys.tolist(), ranks, len(shingles), *bitmap,
+            _joined_words(words[at : at + size]), None, None,
+        ))
     return rows
 
 
@@ -213,19 +270,19 @@ def _window_rows(doc_id: int, words: list[bytes], asked: list[tuple[int, int, bo
         after = first + SPAN
         return _joined_words(words[max(first - REACH + 1, 0) : first]), _joined_words(words[after : after + REACH - 1])
 
-    rows, ends = [], set()
+    rows, ends, nothing = [], set(), [None] * (BITMAP + 4)
     at = 0
     for k in range(1, len(asked) + 1) if asked else ():
         run_ends = k == len(asked) or asked[k][0] > asked[k - 1][0] + SPAN
         if run_ends or asked[k][2] != asked[at][2]:
             n = asked[k - 1][0] + SPAN - asked[at][0]
-            rows.append((_CHAIN, asked[at][1], doc_id, asked[at][0], n, asked[at][2], k - at, None, None, None, None))
+            rows.append((_CHAIN, asked[at][1], doc_id, asked[at][0], n, asked[at][2], k - at, *nothing, None, None))
             ends.add(at)
             ends.add(k - 1)
             at = k
     for k, (first, key, kept) in enumerate(asked):
         if kept or k in ends:
-            rows.append((_ENDS, key, doc_id, first, SPAN, kept, int(k in ends), None, None, *beside(first)))
+            rows.append((_ENDS, key, doc_id, first, SPAN, kept, int(k in ends), *nothing, *beside(first)))
     return rows
 
 
@@ -242,6 +299,34 @@ def _same_beside(left: pa.Array, right: pa.Array, left_too: pa.Array, right_too:
     return pa.StructArray.from_arrays([counted(left, left_too, -1), counted(right, right_too, 1)], ["before", "after"])
 
 
+def _hopeful(percent: int) -> Callable:
+    """Of the members of each pair of blocks of a bucket those that may be similar to another one there."""
+
+    def hopeful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches, ["key"]):
+            x, y, same = sides(piece)
+            size, rank = (np.array([row[c] for row in piece], np.int64) for c in ("size", "rank"))
+            bits = np.array([[row[f"b{k}"] for k in range(BITMAP)] for row in piece], np.int64).view(np.uint64)
+            left, met = size - rank, np.zeros(len(piece), bool)
+            for at, k in enumerate(x.tolist()):
+                other = y[at + 1 :] if same else y
+                both = size[other] + size[k]
+                least = -(-percent * both // (100 + percent))  # that many shingles two similar ones share
+                # The first hash that both have is followed by the others that they share.
+                other, least, both = (c[np.minimum(left[other], left[k]) >= least] for c in (other, least, both))
+                apart = np.bitwise_count(bits[other] ^ bits[k]).sum(axis=1, dtype=np.int64)
+                near = other[apart <= both - 2 * least]
+                if len(near):
+                    met[near] = met[k] = True
+            found = [row for row, own in zip(piece, met.tolist(), strict=True) if own]
+            if found:
+                yield pa.record_batch(
+                    [pa.array([row[c] for row in found], pa.int64()) for c in ("key", "id", "size")], names=["key", "id", "size"]
+                )
+
+    return hopeful
+
+
 def _linked(percent: int) -> Callable:
     """A tree over the links of each pair of blocks of a bucket."""
 
@@ -252,16 +337,21 @@ def _linked(percent: int) -> Callable:
         runs, ends = shingle_hashes(words.hashes, SHINGLE_WORDS), words.bounds[1:] - SHINGLE_WORDS + 1
         sets = [np.unique(runs[a:b]) for a, b in zip(words.bounds[:-1].tolist(), ends.tolist(), strict=True)]
         sizes = np.array([len(own) for own in sets])
-        flat, bounds = np.concatenate([sets[k] for k in y.tolist()]), np.cumsum(sizes[y]) - sizes[y]
-        firsts, seconds = [], []
-        for k in x.tolist():
-            at = np.minimum(np.searchsorted(sets[k], flat), sizes[k] - 1)
-            shared = np.add.reduceat(sets[k][at] == flat, bounds)
-            near = y[100 * shared >= percent * (sizes[y] + sizes[k] - shared)]
-            near = near[near > k] if same else near
-            firsts.append(np.full(len(near), k))
-            seconds.append(near)
-        root = local_roots(ids, np.concatenate(firsts), np.concatenate(seconds))
+        root = ids.copy()
+        for at, k in enumerate(x.tolist()):
+            # Those that links already join need no comparison.
+            other = y[at + 1 :] if same else y
+            other = other[root[other] != root[k]]
+            other = other[100 * np.minimum(sizes[other], sizes[k]) >= percent * np.maximum(sizes[other], sizes[k])]
+            if not len(other):
+                continue
+            flat = np.concatenate([sets[o] for o in other.tolist()])
+            place = np.minimum(np.searchsorted(sets[k], flat), sizes[k] - 1)
+            shared = np.add.reduceat(sets[k][place] == flat, np.cumsum(sizes[other]) - sizes[other])
+            near = other[100 * shared >= percent * (sizes[other] + sizes[k] - shared)]
+            if len(near):
+                joined = np.isin(root, np.append(root[near], root[k]))
+                root[joined] = root[joined].min()
         return [(int(r), int(i)) for r, i in zip(root, ids, strict=True) if r != i]
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,6 +362,29 @@ def _linked(percent: int) -> Callable:
     return linked
 
 
+def _paragraph_links(natural: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Links ``a``, ``b`` between classes of paragraphs that join all that are similar."""
+    standing = (
+        natural.select(F.explode(F.arrays_zip("keys", "ranks")).alias("met"), "id", "size")
+        .groupBy(F.col("met.keys").alias("key"), "id")
+        .agg(F.max("met.ranks").alias("rank"), F.max("size").alias("size"), F.lit(1).alias("weight"))
+    )
+    bitmaps = classes.select("id", *(f"b{k}" for k in range(BITMAP)))
+    met = block_pairs(written(standing, "standing"), ["key"], bitmaps, block_rows=2048)
+    hopeful = written(
+        met.mapInArrow(_hopeful(percent), "key long, id long, size long")
+        .groupBy("key", "id")
+        .agg(F.max("size").alias("weight")),
+        "hopeful",
+    )
+    words = written(
+        natural.select("id", "words").join(hopeful.select("id").distinct(), "id", "left_semi")
+        .groupBy("id").agg(F.first("words").alias("words")),
+        "paragraph-words",
+    )
+    return written(block_pairs(hopeful, ["key"], words).mapInArrow(_linked(percent), "a long, b long"), "paragraph-links")
+
+
 def _extended(ends: DataFrame) -> DataFrame:
     """The windows at the ends of runs with the words beside them that the first document has as well; for the
     first document, those that one of the others has."""
@@ -306,36 +419,30 @@ def repeated_passages(docs: DataFrame, percent: int = 80, id_col: str = "doc_id"
     Documents without shared passages do not appear.
     """
     texts = identified_texts(docs, id_col, text_col).filter("doc_id is not null")
-    # Made twice from the texts: storing the keys would take more room than the texts do.
-    keyed = texts.mapInArrow(_keys, "key long, check int, doc_id long, first int, n int")
-    crowds = written(
-        keyed.groupBy("key", "check")
-        .agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
-        .filter("first_doc < last_doc")
-        .drop("last_doc"),
+    # Written, so that the room of all keys can be had again; they take more than the texts do.
+    shared_keys = written(
+        texts.mapInArrow(_keys(percent), _KEYS)
+        .repartition("key")
+        .sortWithinPartitions("key", "check", "doc_id")
+        .mapInArrow(_shared, "doc_id long, key long, first int, n int, kept boolean"),
         "shared-keys",
     )
-    kept = F.col("doc_id") == F.col("first_doc")
-    places = (
-        keyed.join(crowds, ["key", "check"])
-        .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("key", "first", "n", kept.alias("kept"))).alias("asked"))
-    )
+    places = shared_keys.groupBy("doc_id").agg(F.collect_list(F.struct("key", "first", "n", "kept")).alias("asked"))
     found = written(texts.join(places, "doc_id").select("doc_id", "text", "asked").mapInArrow(_found, _FOUND), "paragraphs")
-    natural = found.filter(F.col("kind") == _NATURAL).select(F.col("key").alias("id"), "doc_id", "first", "n", "keys", "words")
+    natural = found.filter(F.col("kind") == _NATURAL).select(
+        F.col("key").alias("id"), "doc_id", "first", "n", "keys", "ranks", "size", *(f"b{k}" for k in range(BITMAP)), "words"
+    )
     classes = written(
         natural.groupBy("id").agg(
-            F.first("words").alias("words"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"),
-            F.count(F.lit(1)).alias("copies"),
+            *(F.first(f"b{k}").alias(f"b{k}") for k in range(BITMAP)), F.min("doc_id").alias("low"),
+            F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("copies"),
         ),
         "classes",
     )
-    standing = natural.select(F.explode("keys").alias("key"), "id", "n").groupBy("key", "id").agg(F.max("n").alias("weight"))
-    met = block_pairs(written(standing, "standing"), ["key"], classes.select("id", "words"))
-    links = written(met.mapInArrow(_linked(percent), "a long, b long"), "paragraph-links")
+    links = _paragraph_links(natural, classes, percent)
     # Copies go where the one that stands for them goes, so components are sought among those only.
     joined = components(links).select(F.col("node").alias("id"), F.col("component_id").alias("whole"))
-    placed = classes.drop("words").join(joined, "id", "left").withColumn("component_id", F.coalesce("whole", "id"))
+    placed = classes.join(joined, "id", "left").withColumn("component_id", F.coalesce("whole", "id"))
     spread = (
         placed.groupBy("component_id")
         .agg(F.min("low").alias("first_doc"), F.max("high").alias("last_doc"), F.count(F.lit(1)).alias("rows"))
@@ -346,7 +453,7 @@ def repeated_passages(docs: DataFrame, percent: int = 80, id_col: str = "doc_id"
         "id", "component_id", "first_doc", F.col("copies").alias("rows")
     )
     paragraphs = join_groups(natural.select("id", "doc_id", "first", "n"), shared_classes, ["id"]).select(
-        "doc_id", kept.alias("kept"), "component_id", F.col("first").alias("place"),
+        "doc_id", (F.col("doc_id") == F.col("first_doc")).alias("kept"), "component_id", F.col("first").alias("place"),
         (F.col("first") + F.col("n")).alias("end"), F.lit(1).alias("windows"),
     )
     chains = found.filter(F.col("kind") == _CHAIN).select(

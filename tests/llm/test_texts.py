@@ -7,6 +7,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import plainly
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import regex
@@ -383,6 +384,51 @@ def test_near_paragraphs_against_all_pairs(documents):
     assert all(r.first_word >= 20 and r.end_word <= 20 + sizes[r.doc_id] for r in found)
 
 
+def test_no_link_between_paragraphs_is_lost(documents, monkeypatch):
+    """Lines of eight words and more at a similarity of exactly 0.8 and more, short ones too, are all found whole."""
+    rng = random.Random(21)
+    fresh = lambda k: ["".join(rng.choices("abcdefghijklmn", k=5)) for _ in range(k)]
+    common = fresh(9)  # in many lines that are not similar
+    lines = []
+    for size in [*range(8, 24), *range(24, 70, 4)] * 4:
+        line = fresh(size)
+        if rng.random() < 0.3:
+            line = line[:4] + common + line[4:]
+        lines += [line, line + fresh((size - 4) // 4), line[1:] if rng.random() < 0.5 else line[:-1] + fresh(1)]
+        lines.append(line[: size // 2] + fresh(1) + line[size // 2 :])
+    rows = [(i, " ".join(line), "en", "s") for i, line in enumerate(lines)]
+    sets = [plainly.shingles(text, 5) for _, text, *_ in rows]
+    near = {
+        i for i, a in enumerate(sets) for j, b in enumerate(sets)
+        if i != j and min(len(lines[i]), len(lines[j])) >= 8 and 10 * len(a & b) >= 8 * len(a | b)
+    }
+    exact = [i for i, a in enumerate(sets) for b in sets if 10 * len(a & b) == 8 * len(a | b)]
+    assert len(exact) > 20 and sum(len(lines[i]) < 16 for i in near) > 40
+    for block in (1_000_000, 700):
+        monkeypatch.setattr(passages, "BLOCK_CHARS", block)
+        found = passages.repeated_passages(documents(rows)).collect()
+        whole = {r.doc_id for r in found if (r.first_word, r.end_word) == (0, len(lines[r.doc_id]))}
+        assert near <= whole, [len(lines[i]) for i in sorted(near - whole)]
+
+
+def test_shared_keys_over_batches():
+    """Keys that several documents have, however the sorted rows fall into batches."""
+    rng = random.Random(22)
+    for size in (1, 2, 3, 7, 100):
+        rows = sorted((rng.randint(0, 20), rng.randint(0, 1), rng.choice([1, 1, 1, 2, 9]), k, 0) for k in range(60))
+        docs = {}
+        for key, check, doc_id, *_ in rows:
+            docs.setdefault((key, check), set()).add(doc_id)
+        wanted = [(d, key, first, n, d == min(docs[key, c])) for key, c, d, first, n in rows if len(docs[key, c]) > 1]
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
+        batches = [
+            pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows[i : i + size], strict=True), kinds, strict=True)], names=list("abcde"))
+            for i in range(0, len(rows), size)
+        ]
+        found = [tuple(row.values()) for batch in passages._shared(iter(batches)) for row in batch.to_pylist()]
+        assert found == wanted
+
+
 def test_a_text_longer_than_a_block(documents, monkeypatch):
     """A text of more code points than a block, beside small ones, gives what it gives in one block."""
     rng = random.Random(13)
