@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,7 @@ from pyspark.sql import functions as F
 from clicktally.llm.blocks import block_pairs, join_groups, local_roots, pieces, sides
 from clicktally.llm.codepoints import batched, mixed, points, span_hashes
 from clicktally.llm.components import components
-from clicktally.llm.shingles import BLOCK_CHARS, shingle_hashes
+from clicktally.llm.shingles import BLOCK_CHARS, shingle_hashes, texts_with_words
 from clicktally.llm.tables import identified_texts, written
 
 SHINGLE_WORDS, SPAN, REACH = 5, 12, 12
@@ -300,29 +301,45 @@ def _same_beside(left: pa.Array, right: pa.Array, left_too: pa.Array, right_too:
 
 
 def _hopeful(percent: int) -> Callable:
-    """Of the members of each pair of blocks of a bucket those that may be similar to another one there."""
+    """Of the members of each pair of blocks of a bucket, sorted by these, those that may be similar to another one
+    there.  Held back is the last pair of blocks of a batch."""
+    names = ["key", "i", "j", "id", "size", "rank", *(f"b{k}" for k in range(BITMAP))]
+
+    def met(columns: list[np.ndarray], ends: np.ndarray) -> np.ndarray:
+        size, rank = columns[4].astype(np.int64), columns[5]
+        bits, left, found = [c.view(np.uint64) for c in columns[6:]], size - rank, np.zeros(len(size), bool)
+        at, step = np.arange(len(size)), 1
+        # Each row with the one so many places on, as far as its piece goes.
+        while len(at := at[at + step < ends[at]]):
+            both = size[at] + size[at + step]
+            least = -(-percent * both // (100 + percent))  # that many shingles two similar ones share
+            # The first hash that both have is followed by the others that they share.
+            near = np.minimum(left[at], left[at + step]) >= least
+            x, most = at[near], (both - 2 * least)[near]
+            apart = sum(np.bitwise_count(b[x] ^ b[x + step]).astype(np.int64) for b in bits)
+            x = x[apart <= most]
+            found[x] = found[x + step] = True
+            step += 1
+        return found
 
     def hopeful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, ["key"]):
-            x, y, same = sides(piece)
-            size, rank = (np.array([row[c] for row in piece], np.int64) for c in ("size", "rank"))
-            bits = np.array([[row[f"b{k}"] for k in range(BITMAP)] for row in piece], np.int64).view(np.uint64)
-            left, met = size - rank, np.zeros(len(piece), bool)
-            for at, k in enumerate(x.tolist()):
-                other = y[at + 1 :] if same else y
-                both = size[other] + size[k]
-                least = -(-percent * both // (100 + percent))  # that many shingles two similar ones share
-                # The first hash that both have is followed by the others that they share.
-                other, least, both = (c[np.minimum(left[other], left[k]) >= least] for c in (other, least, both))
-                apart = np.bitwise_count(bits[other] ^ bits[k]).sum(axis=1, dtype=np.int64)
-                near = other[apart <= both - 2 * least]
-                if len(near):
-                    met[near] = met[k] = True
-            found = [row for row, own in zip(piece, met.tolist(), strict=True) if own]
-            if found:
-                yield pa.record_batch(
-                    [pa.array([row[c] for row in found], pa.int64()) for c in ("key", "id", "size")], names=["key", "id", "size"]
-                )
+        held = None
+        for batch in chain(batches, [None]):
+            columns = held
+            if batch is not None:
+                columns = [batch.column(c).to_numpy() for c in names]
+                if held is not None:
+                    columns = [np.concatenate(pair) for pair in zip(held, columns, strict=True)]
+            if columns is None or not len(columns[0]):
+                continue
+            changes = np.logical_or.reduce([c[1:] != c[:-1] for c in columns[:3]])
+            opens = np.flatnonzero(np.append(True, changes))
+            whole = len(columns[0]) if batch is None else opens[-1]
+            held = [c[whole:] for c in columns]
+            columns = [c[:whole] for c in columns]
+            sizes = np.diff(np.append(opens[opens < whole], whole))
+            own = met(columns, np.repeat(np.cumsum(sizes), sizes))
+            yield pa.record_batch([pa.array(columns[c][own].astype(np.int64)) for c in (0, 3, 4)], names=["key", "id", "size"])
 
     return hopeful
 
@@ -333,9 +350,7 @@ def _linked(percent: int) -> Callable:
     def links(piece: list[dict]) -> list[tuple[int, int]]:
         x, y, same = sides(piece)
         ids = np.array([row["id"] for row in piece])
-        words = Words([row["words"] for row in piece])
-        runs, ends = shingle_hashes(words.hashes, SHINGLE_WORDS), words.bounds[1:] - SHINGLE_WORDS + 1
-        sets = [np.unique(runs[a:b]) for a, b in zip(words.bounds[:-1].tolist(), ends.tolist(), strict=True)]
+        sets = [np.frombuffer(row["shingles"], np.uint64) for row in piece]
         sizes = np.array([len(own) for own in sets])
         root = ids.copy()
         for at, k in enumerate(x.tolist()):
@@ -362,6 +377,14 @@ def _linked(percent: int) -> Callable:
     return linked
 
 
+def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sorted shingle hashes of paragraphs."""
+    for batch in batches:
+        found = [(key, np.unique(shingle_hashes(own, SHINGLE_WORDS)).tobytes()) for key, own in texts_with_words([batch])]
+        ids, sets = zip(*found, strict=True) if found else ([], [])
+        yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["id", "shingles"])
+
+
 def _paragraph_links(natural: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Links ``a``, ``b`` between classes of paragraphs that join all that are similar."""
     standing = (
@@ -377,12 +400,12 @@ def _paragraph_links(natural: DataFrame, classes: DataFrame, percent: int) -> Da
         .agg(F.max("size").alias("weight")),
         "hopeful",
     )
-    words = written(
+    words = (
         natural.select("id", "words").join(hopeful.select("id").distinct(), "id", "left_semi")
-        .groupBy("id").agg(F.first("words").alias("words")),
-        "paragraph-words",
+        .groupBy("id").agg(F.first("words").alias("words"))
     )
-    return written(block_pairs(hopeful, ["key"], words).mapInArrow(_linked(percent), "a long, b long"), "paragraph-links")
+    sets = written(words.mapInArrow(_shingle_sets, "id long, shingles binary"), "paragraph-shingles")
+    return written(block_pairs(hopeful, ["key"], sets).mapInArrow(_linked(percent), "a long, b long"), "paragraph-links")
 
 
 def _extended(ends: DataFrame) -> DataFrame:
