@@ -1,7 +1,8 @@
 """Token sequences of one length, packed by best fit.
 
 Texts become token ids; what has no white space between is encoded once for each
-task that meets it, and the ids of a text are gathered from there.  Every task
+task that meets it, without the punctuation at its end, and the ids of a text are
+gathered from there.  Every task
 packs the documents it reads in stretches of about ``chunk_tokens``:
 
 1. A document of more tokens than a window is cut into full windows and a rest.
@@ -23,7 +24,9 @@ ordinary text.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
@@ -43,6 +46,11 @@ _KNOWN_WORDS, _KNOWN_BYTES = 1_000_000, 32_000_000
 
 _PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
+#: Letters, digits and punctuation at the end are never in one token, so these are encoded apart.
+#: Of other letters than ASCII those of Latin-1 are looked at; they are one sign each.
+_WITH_SIGNS = re.compile(rb"(.*(?:[0-9A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([!-/:-@\[-`{-~]+)", re.DOTALL)
+_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+
 #: A piece of a document: its place in the stretch, the first token, the number of tokens.
 Piece = tuple[int, int, int]
 
@@ -52,42 +60,69 @@ class Encoder:
 
     #: Stands between words that are encoded in one call; its id tells them apart, as no other byte gives it.
     BETWEEN = b"\0"
-    WORDS_A_CALL = 2000
+    WORDS_A_CALL = 500
 
     def __init__(self, model: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        self.library = self._tokenizer(model)
+        # Small letters of ASCII and Latin-1 are one word, as they are, to every pattern and form: here without these.
+        signs = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+        plain = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, signs]}
+        self.of_letters = self._tokenizer(json.dumps(json.loads(model) | {"normalizer": None, "pre_tokenizer": plain}))
+        (self.between,) = self._encoded(self.library, [self.BETWEEN.decode()])[0].ids
+        self._forget()
+
+    @staticmethod
+    def _tokenizer(model: str):
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_str(model)
-        self.library.encode_special_tokens = True
-        self.library.model._resize_cache(0)  # it is given each word once
-        (self.between,) = self._encoded([self.BETWEEN.decode()])[0].ids
-        self._forget()
+        library = Tokenizer.from_str(model)
+        library.encode_special_tokens = True
+        library.model._resize_cache(0)  # it is given each word once
+        return library
 
     def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.known_bytes = 0
         self.pool, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _encoded(self, texts: list[str]) -> list:
-        return self.library.encode_batch_fast(texts, add_special_tokens=False)
+    def _encoded(self, library, texts: list[str]) -> list:
+        return library.encode_batch_fast(texts, add_special_tokens=False)
+
+    def _known(self, words: list[bytes], ids: list[np.ndarray], sizes: np.ndarray) -> None:
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
+        self.known_bytes += sum(map(len, words))
+        self.pool, self.sizes = np.concatenate([self.pool, *ids]), np.concatenate((self.sizes, sizes))
+        self.starts = np.cumsum(self.sizes) - self.sizes
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn_whole(self, library, words: list[bytes]) -> None:
         plain = [w for w in words if self.BETWEEN not in w]
         rest = [w for w in words if self.BETWEEN in w]
         glue = b" " + self.BETWEEN + b" "
         lots = [plain[i : i + self.WORDS_A_CALL] for i in range(0, len(plain), self.WORDS_A_CALL)]
         texts = [(glue.join(lot) + glue).decode("utf-8", "replace") for lot in lots]
-        ids = np.concatenate([np.zeros(0, np.uint32), *[np.array(e.ids, np.uint32) for e in self._encoded(texts)]])
+        ids = np.concatenate([np.zeros(0, np.uint32), *[np.array(e.ids, np.uint32) for e in self._encoded(library, texts)]])
         last = np.flatnonzero(ids == self.between)
-        sizes, pool = np.diff(last, prepend=-1) - 1, [self.pool, ids[ids != self.between]]
-        for own in self._encoded([w.decode("utf-8", "replace") for w in rest]):
-            sizes = np.append(sizes, len(own.ids))
-            pool.append(np.array(own.ids, np.uint32))
-        self.known.update(zip(plain + rest, range(len(self.known), len(self.known) + len(words)), strict=True))
-        self.known_bytes += sum(map(len, words))
-        self.pool, self.sizes = np.concatenate(pool), np.concatenate((self.sizes, sizes))
-        self.starts = np.cumsum(self.sizes) - self.sizes
+        sizes, own = np.diff(last, prepend=-1) - 1, [ids[ids != self.between]]
+        for e in self._encoded(library, [w.decode("utf-8", "replace") for w in rest]):
+            sizes = np.append(sizes, len(e.ids))
+            own.append(np.array(e.ids, np.uint32))
+        self._known(plain + rest, own, sizes)
+
+    def _learn(self, words: set[bytes]) -> None:
+        ended = {w: found.groups() for w in words if (found := _WITH_SIGNS.fullmatch(w))}
+        whole = words.difference(ended).union(chain.from_iterable(ended.values())).difference(self.known)
+        letters = [w for w in whole if _LETTERS.fullmatch(w)]
+        self._learn_whole(self.of_letters, letters)
+        self._learn_whole(self.library, list(whole.difference(letters)))
+        parts = np.fromiter(map(self.known.__getitem__, chain.from_iterable(ended.values())), np.int64, 2 * len(ended))
+        self._known(list(ended), [self._ids(parts)], self.sizes[parts].reshape(-1, 2).sum(axis=1))
+
+    def _ids(self, words: np.ndarray) -> np.ndarray:
+        """The ids of known words, one after the other."""
+        width = self.sizes[words]
+        ends = np.cumsum(width)
+        return self.pool[np.repeat(self.starts[words] - (ends - width), width) + np.arange(int(width.sum()))]
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self.known) > _KNOWN_WORDS or self.known_bytes > _KNOWN_BYTES:
@@ -95,13 +130,11 @@ class Encoder:
         # The model lower-cases every letter; in front of an accent of its own that is not the same beforehand.
         split = [(text.lower() if text.isascii() else text).split() for text in texts]
         if fresh := set().union(*split).difference(self.known):
-            self._learn(list(fresh))
+            self._learn(fresh)
         counts = np.fromiter(map(len, split), np.int64, len(split))
         words = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
-        width = self.sizes[words]
-        ends = np.cumsum(width)
-        ids = self.pool[np.repeat(self.starts[words] - (ends - width), width) + np.arange(int(width.sum()))]
-        return np.split(ids, np.append(0, ends)[np.cumsum(counts)][:-1]) if texts else []
+        ends = np.append(0, np.cumsum(self.sizes[words]))[np.cumsum(counts)]
+        return np.split(self._ids(words), ends[:-1]) if texts else []
 
 
 @lru_cache(maxsize=1)

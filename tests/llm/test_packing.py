@@ -94,6 +94,19 @@ def test_ids_are_those_of_whole_texts(monkeypatch):
         assert [f.tolist() for f in found] == [whole(t)[:-1] for t in texts]
 
 
+def test_words_that_differ_in_their_end_are_encoded_once():
+    """Punctuation at the end of a word takes no further call of the library, and the ids are the library's."""
+    encoder, given = Encoder(MODEL), []
+    encoded = encoder._encoded
+    encoder._encoded = lambda library, texts: given.extend(" ".join(texts).split()) or encoded(library, texts)
+    ends = ["", ".", ",", "!?", "')", "...", "'", "`", "~", "{[", "<|", "_"]
+    heads = ["word", "don't", "we'", "Große", "Été", "Ete\u0301", "a.b", "'s", "1", "x'S", "é", "e\u0301", "<|endoftext|", "中", "'"]
+    texts = [head + end for head in heads for end in ends]
+    found = encoder.encode([t.encode() for t in texts])
+    assert [f.tolist() for f in found] == [whole(t)[:-1] for t in texts]
+    assert sum("word" in w for w in given) == sum("don't" in w for w in given) == 1
+
+
 @pytest.mark.parametrize("chunk_tokens", [4_000_000, 3000])
 def test_pieces_rebuild_their_documents(spark, documents, chunk_tokens):
     rng = random.Random(7)
