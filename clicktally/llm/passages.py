@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import cache, cached_property
 from itertools import chain
 
 import numpy as np
@@ -43,10 +44,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicktally.llm.blocks import block_pairs, join_groups, local_roots, pieces, sides
-from clicktally.llm.codepoints import batched, mixed, points, span_hashes
+from clicktally.llm.codepoints import batched, mixed, points
 from clicktally.llm.components import components
-from clicktally.llm.shingles import BLOCK_CHARS, shingle_hashes, texts_with_words
-from clicktally.llm.tables import identified_texts, written
+from clicktally.llm.shingles import BLOCK_CHARS
+from clicktally.llm.tables import identified_texts, written, written_to
+from clicktally.sources.scratch import scratch_path, scratch_scope
 
 SHINGLE_WORDS, SPAN, REACH = 5, 12, 12
 LINE_WORDS = 8
@@ -54,6 +56,92 @@ LINE_WORDS = 8
 BITMAP = 2
 _PLACE_BITS, _PLACE_MASK = np.uint64(26), np.uint64((1 << 26) - 1)
 _LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Code points and places in a word up to which hashes are looked up, and numbers worked on at once.
+_SIGNS, _PLACES, _STEP = 256, 32, 1 << 15
+
+
+@cache
+def _sign_hashes() -> np.ndarray:
+    """What each of the first code points, A-Z lower-cased, adds to the hash of a word at each of the first places."""
+    signs = np.arange(_SIGNS, dtype=np.uint64)
+    signs[65:91] += np.uint64(32)
+    places = np.arange(_PLACES, dtype=np.uint64) << np.uint64(24)
+    return mixed(signs + places[:, None] + np.uint64(1)).ravel()
+
+
+def _stretch_hashes(chars: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """``span_hashes`` of ``chars`` with A-Z lower-cased, mostly looked up."""
+    place = np.arange(len(chars), dtype=np.int32)
+    place -= np.repeat(starts.astype(np.int32), np.diff(np.append(starts, len(chars))))
+    rare = np.flatnonzero((chars >= _SIGNS) | (place >= _PLACES))
+    at = place * np.int32(_SIGNS) + chars.astype(np.int32)
+    at[rare] = 0
+    hashes = _sign_hashes()[at]
+    own = chars[rare].astype(np.uint64)
+    own[(own >= 65) & (own <= 90)] += np.uint64(32)
+    hashes[rare] = mixed(own + (place[rare].astype(np.uint64) << np.uint64(24)) + np.uint64(1))
+    return np.add.reduceat(hashes, starts)
+
+
+def _runs(words: np.ndarray, size: int) -> np.ndarray:
+    """``shingle_hashes`` of ``size`` words or more, made in place and in steps; of fewer words none."""
+    out = np.empty(max(len(words) - size + 1, 0), np.uint64)
+    spare = np.empty(min(len(out), _STEP), np.uint64)
+    for at in range(0, len(out), _STEP):
+        x = out[at : at + _STEP]
+        y = spare[: len(x)]
+        x[:] = words[at : at + len(x)]
+        for k in range(size):
+            if k:
+                np.multiply(x, np.uint64(31), out=x)
+                np.add(x, words[at + k : at + k + len(x)], out=x)
+            # As ``mixed`` does.
+            for shift, factor in ((31, 0x9E3779B97F4A7C15), (29, 0xBF58476D1CE4E5B9), (32, 1)):
+                np.right_shift(x, np.uint64(shift), out=y)
+                np.bitwise_xor(x, y, out=x)
+                if factor > 1:
+                    np.multiply(x, np.uint64(factor), out=x)
+    return out
+
+
+class _Sets:
+    """The distinct hashes of several stretches of ``runs``, sorted: ``own``, one stretch after the other, ``of`` which
+    each is, and ``bounds`` where the stretches begin among them."""
+
+    def __init__(self, runs: np.ndarray, starts: np.ndarray, counts: np.ndarray):
+        total, self.total = int(counts.sum()), len(counts)
+        of = np.repeat(np.arange(len(counts)), counts)
+        own = runs[np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(total)]
+        # Sorted as one number, the stretch in front; the last bits that this leaves out hardly ever matter.
+        order = np.argsort(self._named(of, own))
+        sorted_ = own[order]
+        again = of[1:] == of[:-1]
+        if (again & (sorted_[1:] < sorted_[:-1])).any():
+            sorted_ = own[np.lexsort((own, of))]
+        fresh = np.append(True, ~again | (sorted_[1:] != sorted_[:-1]))[:total]
+        self.own, self.of = sorted_[fresh], of[fresh]
+        self.sizes = np.bincount(self.of, minlength=self.total)
+        self.bounds = np.append(0, np.cumsum(self.sizes))
+
+    def _named(self, of: np.ndarray, own: np.ndarray) -> np.ndarray:
+        bits = np.uint64(max(self.total - 1, 1).bit_length())
+        return (of.astype(np.uint64) << (np.uint64(64) - bits)) | (own >> bits)
+
+    def ranks(self, of: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rank of each hash in the set of its stretch, and whether it is there."""
+        end = self.bounds[of + 1]
+        at = np.searchsorted(self._named(self.of, self.own), self._named(of, own))
+        at = np.clip(at, self.bounds[of], end)
+        while len(self.own) and (low := (at < end) & (self.own[np.minimum(at, len(self.own) - 1)] < own)).any():
+            at += low
+        there = at < end
+        there[there] = self.own[at[there]] == own[there]
+        return at - self.bounds[of], there
+
+    def bitmaps(self) -> np.ndarray:
+        bits = np.zeros((self.total, 64 * BITMAP), bool)
+        bits[self.of, (self.own % np.uint64(64 * BITMAP)).astype(np.int64)] = True
+        return np.packbits(bits, axis=1).view(np.int64)
 
 
 class Words:
@@ -62,10 +150,10 @@ class Words:
     def __init__(self, texts: list[str]):
         chars = points("\n".join(texts) + "\n")
         gap = (chars == 0x20) | ((chars >= 9) & (chars <= 13))
-        low = np.where((chars >= 65) & (chars <= 90), chars + 32, chars)
         opens = np.flatnonzero(np.append(True, gap[1:] != gap[:-1]))
-        places = opens[~gap[opens]]
-        self.hashes = span_hashes(low, opens)[~gap[opens]]
+        word = ~gap[opens]
+        places = opens[word]
+        self.hashes = _stretch_hashes(chars, opens)[word]
         ends = np.cumsum([len(t) + 1 for t in texts])
         self.bounds = np.append(0, np.searchsorted(places, ends))
         lines = np.append(0, np.searchsorted(places, np.flatnonzero(chars == 0x0A)))
@@ -90,10 +178,11 @@ class Words:
         total = len(self.hashes)
         windows = np.full(total, _LAST)
         if total >= SPAN:
-            windows[: total - SPAN + 1] = shingle_hashes(self.hashes, SPAN)
+            windows[: total - SPAN + 1] = _runs(self.hashes, SPAN)
         sizes = np.maximum(np.diff(self.bounds) - SPAN + 1, 0)  # windows of each text
-        owner = self.text_of(np.arange(total))
-        inside = np.arange(total) - self.bounds[owner] < sizes[owner]
+        of_text = np.arange(total) - np.repeat(self.bounds[:-1], np.diff(self.bounds))
+        sizes_here = np.repeat(sizes, np.diff(self.bounds))
+        inside = of_text < sizes_here
         # The place goes into the low bits, so that the minimum names it and equal hashes go by place.
         least = np.where(inside, windows >> _PLACE_BITS << _PLACE_BITS, _LAST) | np.arange(total, dtype=np.uint64)
         first = least
@@ -104,8 +193,7 @@ class Words:
         rest = REACH - reach
         if rest:
             first = np.minimum(first[: max(len(first) - rest, 0)], first[rest:])
-        at = np.arange(len(first))
-        whole = at - self.bounds[owner[at]] <= sizes[owner[at]] - REACH
+        whole = of_text[: len(first)] <= sizes_here[: len(first)] - REACH
         found = [(first[whole] & _PLACE_MASK).astype(np.int64)]
         for k in np.flatnonzero((sizes > 0) & (sizes < REACH)).tolist():
             found.append(np.array([self.bounds[k] + int(np.argmin(least[self.bounds[k] : self.bounds[k] + sizes[k]]))]))
@@ -120,18 +208,18 @@ class Words:
 
     def signatures(self, starts: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
         """The least shingle hashes of each paragraph, and which paragraph each is of."""
-        n = np.maximum(sizes - SHINGLE_WORDS + 1, 0)
-        of = np.repeat(np.arange(len(n)), n)
-        runs = shingle_hashes(self.hashes, SHINGLE_WORDS)
-        own = runs[np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
-        order = np.lexsort((own, of))
-        of, own = of[order], own[order]
-        fresh = np.append(True, (own[1:] != own[:-1]) | (of[1:] != of[:-1]))[: len(own)]
-        of, own = of[fresh], own[fresh]
-        distinct = np.bincount(of, minlength=len(n))
-        rank = np.arange(len(own)) - np.repeat(np.cumsum(distinct) - distinct, distinct)
-        least = rank <= (distinct - -(-percent * distinct // 100))[of]
-        return own[least], of[least]
+        sets = self.sets(starts, sizes)
+        rank = np.arange(len(sets.own)) - sets.bounds[sets.of]
+        least = rank <= (sets.sizes - -(-percent * sets.sizes // 100))[sets.of]
+        return sets.own[least], sets.of[least]
+
+    def sets(self, starts: np.ndarray, sizes: np.ndarray) -> _Sets:
+        """The shingles of stretches of words."""
+        return _Sets(self.shingles, starts, np.maximum(sizes - SHINGLE_WORDS + 1, 0))
+
+    @cached_property
+    def shingles(self) -> np.ndarray:
+        return _runs(self.hashes, SHINGLE_WORDS)
 
 
 def _check(words: Words, starts: np.ndarray) -> np.ndarray:
@@ -154,7 +242,8 @@ def keys_of(texts: list[str], percent: int) -> tuple[np.ndarray, ...]:
     return key.view(np.int64), check, text, (place - words.bounds[text]).astype(np.int32), n
 
 
-_KEYS = "key long, check int, doc_id long, first int, n int"
+#: Few columns, and the one that varies least at the end: shuffled rows are smaller so.
+_KEYS = "key long, check int, place long, doc_id long"
 
 
 def _keys(percent: int) -> Callable:
@@ -164,13 +253,26 @@ def _keys(percent: int) -> Callable:
             for block in batched(rows, lambda row: len(row[1]), BLOCK_CHARS):
                 key, check, text, first, n = keys_of([text for _, text in block], percent)
                 doc_ids = np.array([doc_id for doc_id, _ in block], np.int64)[text]
+                place = n.astype(np.int64) << 32 | first
                 yield pa.record_batch(
-                    [pa.array(c) for c in (key, check, doc_ids, first, n)], names=["key", "check", "doc_id", "first", "n"]
+                    [pa.array(c) for c in (key, check, place, doc_ids)], names=["key", "check", "place", "doc_id"]
                 )
 
     return keys
 
 
+def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``_shared`` of rows as ``_keys`` has them."""
+
+    def apart(batch: pa.RecordBatch) -> pa.RecordBatch:
+        key, check, place, doc_id = batch.columns
+        at = place.to_numpy()
+        columns = [key, check, doc_id, pa.array((at & 0xFFFFFFFF).astype(np.int32)), pa.array((at >> 32).astype(np.int32))]
+        return pa.record_batch(columns, names=["key", "check", "doc_id", "first", "n"])
+
+    yield from _shared(map(apart, batches))
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by key, check and document those whose key several documents have, and whether theirs is the
     first of these.  Held back are only the rows of the first document of the last key."""
@@ -204,14 +306,22 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _NATURAL, _CHAIN, _ENDS = 0, 1, 2
 _FOUND = """kind int, key long, doc_id long, first int, n int, kept boolean, windows int,
     keys array<long>, ranks array<int>, size int, b0 long, b1 long, words string, left string, right string"""
+_FOUND_KINDS = dict(zip(
+    [field.split()[0] for field in _FOUND.split(",")],
+    (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int32(), pa.list_(pa.int64()),
+     pa.list_(pa.int32()), pa.int32(), *[pa.int64()] * BITMAP, pa.string(), pa.string(), pa.string()),
+    strict=True,
+))
+
+
+def _found_batch(rows: int, columns: dict[str, pa.Array]) -> pa.RecordBatch:
+    """Some columns of ``_FOUND``, the others NULL."""
+    return pa.record_batch([columns.get(c, pa.nulls(rows, kind)) for c, kind in _FOUND_KINDS.items()], names=list(_FOUND_KINDS))
 
 
 def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of texts and the keys they share: paragraphs with their words, runs of shared windows, and the words
     beside windows at the ends of runs and beside windows of which this is the first document."""
-    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int32(), pa.list_(pa.int64()),
-             pa.list_(pa.int32()), pa.int32(), *[pa.int64()] * BITMAP, pa.string(), pa.string(), pa.string())
-    names = [field.split()[0] for field in _FOUND.split(",")]
     for batch in batches:
         asked = batch.column("asked")
         key, first, n, kept = (
@@ -220,50 +330,77 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = np.cumsum(asked.value_lengths().to_numpy(zero_copy_only=False))
         of_doc = zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), [0, *ends[:-1].tolist()], ends.tolist())
         for block in batched(of_doc, lambda row: len(row[1]), BLOCK_CHARS):
-            hashed = Words([text for _, text, *_ in block])
-            runs, rows = shingle_hashes(hashed.hashes, SHINGLE_WORDS), []
-            of_text = zip(hashed.bounds[:-1].tolist(), hashed.bounds[1:].tolist(), strict=True)
-            for (doc_id, text, low, high), (start, end) in zip(block, of_text, strict=True):
-                words = text.encode("utf-8", "surrogatepass").lower().split()
-                own = low + np.lexsort((key[low:high], n[low:high], first[low:high]))
-                lines, windows = own[n[own] > 0], own[n[own] == 0]
-                if len(lines):
-                    rows += _paragraph_rows(doc_id, words, runs[start:end], first[lines], n[lines], key[lines])
-                if len(windows):
-                    rows += _window_rows(
-                        doc_id, words, list(zip(*(c[windows].tolist() for c in (first, key, kept)), strict=True))
-                    )
+            own = slice(block[0][2], block[-1][3])
+            text = np.repeat(np.arange(len(block)), [high - low for *_, low, high in block])
+            order = np.lexsort((key[own], n[own], first[own], text))
+            key_, first_, n_, kept_, text = key[own][order], first[own][order], n[own][order], kept[own][order], text[order]
+            doc_ids = np.array([doc_id for doc_id, *_ in block], np.int64)
+            split = [text.encode("utf-8", "surrogatepass").lower().split() for _, text, *_ in block]
+            line = n_ > 0
+            if line.any():
+                hashed = Words([text for _, text, *_ in block])
+                yield from _paragraphs(hashed, split, doc_ids, text[line], first_[line], n_[line], key_[line])
+            rows, columns = [], [c[~line].tolist() for c in (first_, key_, kept_)]
+            opens = np.searchsorted(text[~line], np.arange(len(block) + 1)).tolist()
+            for k, (low, high) in enumerate(zip(opens[:-1], opens[1:], strict=True)):
+                if low < high:
+                    rows += _window_rows(block[k][0], split[k], list(zip(*(c[low:high] for c in columns), strict=True)))
             if rows:
-                columns = zip(zip(*rows, strict=True), kinds, strict=True)
-                yield pa.record_batch([pa.array(own, kind) for own, kind in columns], names=names)
+                columns = zip(_WINDOW_COLUMNS, zip(*rows, strict=True), strict=True)
+                yield _found_batch(len(rows), {c: pa.array(own, _FOUND_KINDS[c]) for c, own in columns})
 
 
 def _joined_words(words: list[bytes]) -> str:
     return b" ".join(words).decode("utf-8", "replace")
 
 
-def _paragraph_rows(
-    doc_id: int, words: list[bytes], runs: np.ndarray, first: np.ndarray, n: np.ndarray, key: np.ndarray
-) -> list[tuple]:
-    """One row for each paragraph, from its rows one for each hash that it shares."""
-    rows = []
-    opens = np.flatnonzero(np.append(True, (first[1:] != first[:-1]) | (n[1:] != n[:-1])))
-    for low, high in zip(opens.tolist(), [*opens[1:].tolist(), len(first)], strict=True):
-        at, size = int(first[low]), int(n[low])
-        shingles, keys = np.unique(runs[at : at + size - SHINGLE_WORDS + 1]), np.unique(key[low:high])
-        keys = keys[np.isin(keys.view(np.uint64), shingles)]
-        if not len(keys):
-            continue  # a paragraph of another text of the same number
-        name = int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
-        bits = np.zeros(64 * BITMAP, bool)
-        bits[(shingles % np.uint64(64 * BITMAP)).astype(np.int64)] = True
-        bitmap = np.packbits(bits).view(np.int64).tolist()
-        ranks = np.searchsorted(shingles, keys.view(np.uint64)).tolist()
-        rows.append((
-            _NATURAL, name, doc_id, at, size, None, None, keys.tolist(), ranks, len(shingles), *bitmap,
-            _joined_words(words[at : at + size]), None, None,
-        ))
-    return rows
+def _paragraphs(
+    hashed: Words, split: list[list[bytes]], doc_ids: np.ndarray, text: np.ndarray, first: np.ndarray, n: np.ndarray, key: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """One row for each paragraph, from sorted rows one for each hash that it shares."""
+    new = np.append(True, (text[1:] != text[:-1]) | (first[1:] != first[:-1]) | (n[1:] != n[:-1]))
+    once = new | np.append(True, key[1:] != key[:-1])
+    of, key = np.cumsum(new)[once] - 1, key[once].view(np.uint64)
+    text, first, n = text[new], first[new], n[new]
+    # A paragraph of another text of the same number may go on where this text ends.
+    starts = hashed.bounds[text] + first
+    sizes = np.maximum(np.minimum(n, hashed.bounds[text + 1] - starts), 0)
+    for low, high in _portions(sizes, BLOCK_CHARS):
+        here = slice(*np.searchsorted(of, [low, high]))
+        sets = hashed.sets(starts[low:high], sizes[low:high])
+        ranks, there = sets.ranks(of[here] - low, key[here])
+        keys, ranks, owner = key[here][there].view(np.int64), ranks[there], (of[here] - low)[there]
+        held = np.bincount(owner, minlength=high - low)
+        rows = np.flatnonzero(held)  # the others are of another text of the same number
+        if not len(rows):
+            continue
+        offsets = pa.array(np.append(0, np.cumsum(held[rows])), pa.int32())
+        data, ends = memoryview(sets.own).cast("B"), (8 * sets.bounds).tolist()
+        names = b"".join(hashlib.blake2b(data[ends[k] : ends[k + 1]], digest_size=8).digest() for k in rows.tolist())
+        bitmaps = sets.bitmaps()[rows]
+        at = zip(*(c[low:high][rows].tolist() for c in (text, first, n)), strict=True)
+        yield _found_batch(len(rows), {
+            "kind": pa.array(np.full(len(rows), _NATURAL, np.int32)),
+            "key": pa.array(np.frombuffer(names, "<i8")),
+            "doc_id": pa.array(doc_ids[text[low:high][rows]]),
+            "first": pa.array(first[low:high][rows]),
+            "n": pa.array(n[low:high][rows]),
+            "keys": pa.ListArray.from_arrays(offsets, pa.array(keys)),
+            "ranks": pa.ListArray.from_arrays(offsets, pa.array(ranks.astype(np.int32))),
+            "size": pa.array(sets.sizes[rows].astype(np.int32)),
+            **{f"b{k}": pa.array(np.ascontiguousarray(bitmaps[:, k])) for k in range(BITMAP)},
+            "words": pa.array([_joined_words(split[k][a : a + size]) for k, a, size in at], pa.string()),
+        })
+
+
+def _portions(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Where to cut a list so that the sizes in a portion add up to about ``limit``."""
+    part = (np.cumsum(sizes) - sizes) // limit
+    cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(sizes)]
+    yield from zip(cuts[:-1], cuts[1:], strict=True)
+
+
+_WINDOW_COLUMNS = ["kind", "key", "doc_id", "first", "n", "kept", "windows", "left", "right"]
 
 
 def _window_rows(doc_id: int, words: list[bytes], asked: list[tuple[int, int, bool]]) -> list[tuple]:
@@ -271,19 +408,19 @@ def _window_rows(doc_id: int, words: list[bytes], asked: list[tuple[int, int, bo
         after = first + SPAN
         return _joined_words(words[max(first - REACH + 1, 0) : first]), _joined_words(words[after : after + REACH - 1])
 
-    rows, ends, nothing = [], set(), [None] * (BITMAP + 4)
+    rows, ends = [], set()
     at = 0
     for k in range(1, len(asked) + 1) if asked else ():
         run_ends = k == len(asked) or asked[k][0] > asked[k - 1][0] + SPAN
         if run_ends or asked[k][2] != asked[at][2]:
             n = asked[k - 1][0] + SPAN - asked[at][0]
-            rows.append((_CHAIN, asked[at][1], doc_id, asked[at][0], n, asked[at][2], k - at, *nothing, None, None))
+            rows.append((_CHAIN, asked[at][1], doc_id, asked[at][0], n, asked[at][2], k - at, None, None))
             ends.add(at)
             ends.add(k - 1)
             at = k
     for k, (first, key, kept) in enumerate(asked):
         if kept or k in ends:
-            rows.append((_ENDS, key, doc_id, first, SPAN, kept, int(k in ends), *nothing, *beside(first)))
+            rows.append((_ENDS, key, doc_id, first, SPAN, kept, int(k in ends), *beside(first)))
     return rows
 
 
@@ -380,9 +517,15 @@ def _linked(percent: int) -> Callable:
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The sorted shingle hashes of paragraphs."""
     for batch in batches:
-        found = [(key, np.unique(shingle_hashes(own, SHINGLE_WORDS)).tobytes()) for key, own in texts_with_words([batch])]
-        ids, sets = zip(*found, strict=True) if found else ([], [])
-        yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["id", "shingles"])
+        rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+        for block in batched(rows, lambda row: len(row[1]), BLOCK_CHARS):
+            hashed = Words([words for _, words in block])
+            sets = hashed.sets(hashed.bounds[:-1], np.diff(hashed.bounds))
+            data, ends = sets.own.tobytes(), (8 * sets.bounds).tolist()
+            own = [data[low:high] for low, high in zip(ends[:-1], ends[1:], strict=True)]
+            yield pa.record_batch(
+                [pa.array([key for key, _ in block], pa.int64()), pa.array(own, pa.binary())], names=["id", "shingles"]
+            )
 
 
 def _paragraph_links(natural: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -400,12 +543,20 @@ def _paragraph_links(natural: DataFrame, classes: DataFrame, percent: int) -> Da
         .agg(F.max("size").alias("weight")),
         "hopeful",
     )
+    # Similar paragraphs meet once for each hash that they share: of buckets with the same members one is enough.
+    buckets = hopeful.groupBy("key").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.bit_xor(F.xxhash64("id")).alias("members"),
+        F.bit_xor(F.xxhash64("id", F.lit(1))).alias("members_too"),
+    )
+    different = buckets.groupBy("rows", "members", "members_too").agg(F.min("key").alias("key")).select("key")
+    once = written(hopeful.join(different, "key", "left_semi"), "hopeful-once")
     words = (
         natural.select("id", "words").join(hopeful.select("id").distinct(), "id", "left_semi")
         .groupBy("id").agg(F.first("words").alias("words"))
     )
     sets = written(words.mapInArrow(_shingle_sets, "id long, shingles binary"), "paragraph-shingles")
-    return written(block_pairs(hopeful, ["key"], sets).mapInArrow(_linked(percent), "a long, b long"), "paragraph-links")
+    return written(block_pairs(once, ["key"], sets).mapInArrow(_linked(percent), "a long, b long"), "paragraph-links")
 
 
 def _extended(ends: DataFrame) -> DataFrame:
@@ -442,16 +593,20 @@ def repeated_passages(docs: DataFrame, percent: int = 80, id_col: str = "doc_id"
     Documents without shared passages do not appear.
     """
     texts = identified_texts(docs, id_col, text_col).filter("doc_id is not null")
-    # Written, so that the room of all keys can be had again; they take more than the texts do.
-    shared_keys = written(
-        texts.mapInArrow(_keys(percent), _KEYS)
-        .repartition("key")
-        .sortWithinPartitions("key", "check", "doc_id")
-        .mapInArrow(_shared, "doc_id long, key long, first int, n int, kept boolean"),
-        "shared-keys",
-    )
-    places = shared_keys.groupBy("doc_id").agg(F.collect_list(F.struct("key", "first", "n", "kept")).alias("asked"))
-    found = written(texts.join(places, "doc_id").select("doc_id", "text", "asked").mapInArrow(_found, _FOUND), "paragraphs")
+    spark = docs.sparkSession
+    found_path = scratch_path(spark, "paragraphs")
+    with scratch_scope(spark):
+        # Written, so that the room of all keys can be had again; they take more than the texts do.
+        shared_keys = written(
+            texts.mapInArrow(_keys(percent), _KEYS)
+            .repartition("key")
+            .sortWithinPartitions("key", "check", "doc_id")
+            .mapInArrow(_shared_keys, "doc_id long, key long, first int, n int, kept boolean"),
+            "shared-keys",
+        )
+        places = shared_keys.groupBy("doc_id").agg(F.collect_list(F.struct("key", "first", "n", "kept")).alias("asked"))
+        asked = texts.join(places, "doc_id").select("doc_id", "text", "asked")
+        found = written_to(asked.mapInArrow(_found, _FOUND), found_path)
     natural = found.filter(F.col("kind") == _NATURAL).select(
         F.col("key").alias("id"), "doc_id", "first", "n", "keys", "ranks", "size", *(f"b{k}" for k in range(BITMAP)), "words"
     )

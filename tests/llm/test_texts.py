@@ -19,6 +19,7 @@ from clicktally.llm.line_runs import LineRuns, line_hashes, without_repeated_lin
 from clicktally.llm.mixing import mixed, source_rates
 from clicktally.llm.oracles import licence_scan
 from clicktally.llm.quality import learn_quality, quality_udf
+from clicktally.llm.shingles import shingle_hashes, word_hashes
 from clicktally.llm.tables import is_held_out
 from compare import duckdb_rows, spark_rows
 from pyspark.sql import functions as F
@@ -429,6 +430,51 @@ def test_shared_keys_over_batches():
         assert found == wanted
 
 
+def test_similar_paragraphs_are_compared_in_one_bucket(documents, monkeypatch):
+    """Two or three similar lines meet once for each hash that they share, but are compared once."""
+    rng = random.Random(24)
+    fresh = lambda k: ["".join(rng.choices("abcdefghijklmn", k=6)) for _ in range(k)]
+    rows = []
+    for k in range(10):
+        line = fresh(120)
+        for i in range(2 + k % 2):
+            rows.append((10 * k + i, " ".join(line[: 40 * i] + fresh(1) + line[40 * i + 1 :]), "en", "s"))
+    compared, block_pairs = [], passages.block_pairs
+
+    def counted(members, *args, **kwargs):
+        compared.append(members.count())
+        return block_pairs(members, *args, **kwargs)
+
+    monkeypatch.setattr(passages, "block_pairs", counted)
+    found = passages.repeated_passages(documents(rows)).collect()
+    assert {(r.doc_id, r.first_word, r.end_word) for r in found} == {(i, 0, 120) for i, *_ in rows}
+    met, once = compared
+    # Three may also meet in twos: nine rows at most.
+    assert met > 200 and 2 * 5 + 3 * 5 <= once <= 2 * 5 + 9 * 5
+
+
+def test_hashes_and_sets_against_plain_versions():
+    rng = random.Random(25)
+    signs = "aAbZz \n\t\x0b.éÉß中\U0001f600\ud800Àñ[@`{"
+    words = passages.Words([])
+    for _ in range(100):
+        texts = ["".join(rng.choices(signs, k=rng.randint(0, 60))) + rng.choice(["", "Q" * 40, "É" * 40 + "Zy"]) for _ in range(4)]
+        words, plain = passages.Words(texts), word_hashes(texts)
+        assert words.hashes.tolist() == np.concatenate(plain).tolist()
+        assert np.diff(words.bounds).tolist() == [len(own) for own in plain]
+        if len(words.hashes) >= 5:
+            assert words.shingles.tolist() == shingle_hashes(words.hashes, 5).tolist()
+    # Equal in all bits that fit beside the number of a stretch, or not.
+    runs = np.array([5, 4, 1, 1, 2**63 + 1, 2**63, 2**63 + 3, 2**63, 7], np.uint64)
+    sets = passages._Sets(runs, np.array([0, 3, 3, 4]), np.array([5, 0, 4, 5]))
+    wanted = [sorted(set(runs[a:b].tolist())) for a, b in ((0, 5), (3, 3), (3, 7), (4, 9))]
+    assert [sets.own[a:b].tolist() for a, b in zip(sets.bounds[:-1], sets.bounds[1:], strict=True)] == wanted
+    asked = [(k, h) for k in range(4) for h in sorted(set(runs.tolist()) | {0, 2**63 + 2, 2**64 - 1})]
+    ranks, there = sets.ranks(np.array([k for k, _ in asked]), np.array([h for _, h in asked], np.uint64))
+    assert there.tolist() == [h in wanted[k] for k, h in asked]
+    assert all(wanted[k][rank] == h for (k, h), rank, found in zip(asked, ranks.tolist(), there, strict=True) if found)
+
+
 def test_a_text_longer_than_a_block(documents, monkeypatch):
     """A text of more code points than a block, beside small ones, gives what it gives in one block."""
     rng = random.Random(13)
